@@ -86,11 +86,17 @@ def table_ddl(
         "name", F.lit(" "), "type_name", F.lit("("), F.col("max_length").cast("string"), F.lit(") "),
         F.coalesce("_key", F.lit("")), F.lit(","),
     )
-    ddl = ordered_concat(
-        described, keys, text, [F.col("column_id")], " ", max_cell_bytes=max_cell_bytes
+    rows = described.select(*keys, F.col("column_id").alias("_place"), text.alias("_text"))
+    # The head is a row of its own in front of the columns, so that it stands once whatever the
+    # number of parts.
+    head = F.concat(F.lit("CREATE TABLE "), F.col(keys[-1]).cast("string"))
+    heads = columns.select(*keys).distinct().select(
+        *keys, F.lit(None).cast(columns.schema["column_id"].dataType).alias("_place"), head.alias("_text")
+    )
+    return ordered_concat(
+        heads.unionByName(rows), keys, F.col("_text"), [F.col("_place")], " ",
+        max_cell_bytes=max_cell_bytes,
     )
-    head = F.concat(F.lit("CREATE TABLE "), F.col(keys[-1]).cast("string"), F.lit(" "))
-    return ddl.withColumn("definition", F.concat(head, "definition"))
 
 
 def schema_list(
@@ -267,19 +273,21 @@ def account_definition(accounts: DataFrame, grants: DataFrame) -> DataFrame:
         F.col("account").alias("_account"),
         "part_no",
         F.replace("definition", F.lit("; "), F.lit(";\n")).alias("_definition"),
-        F.lit(True).alias("_hit"),
     )
     keyed = accounts.withColumn("_account", F.concat("user_name", F.lit("@"), "user_host"))
-    joined = keyed.join(lines, ["dbserver_id", "_account"], "left")
-    values = {
-        "password": F.nullif("password", F.lit("NULL")).alias("password"),
-        "definition": F.when(F.col("_hit"), F.col("_definition"))
-        .otherwise(F.col("definition"))
-        .alias("definition"),
-    }
-    return joined.select(
-        *[values.get(c, F.col(c)) for c in accounts.columns],
-        F.coalesce("part_no", F.lit(0)).alias("part_no"),
+    on = ["dbserver_id", "_account"]
+    # Two joins rather than one left join: in an inner join adaptive execution can split the many
+    # parts of a very large account, on the right of a left join it cannot.
+    with_grants = lines.join(keyed, on, "inner")
+    without = keyed.join(lines.select(*on), on, "left_anti")
+    password = F.nullif("password", F.lit("NULL")).alias("password")
+
+    def rows(df: DataFrame, definition: Column, part: Column) -> DataFrame:
+        values = {"password": password, "definition": definition.alias("definition")}
+        return df.select(*[values.get(c, F.col(c)) for c in accounts.columns], part.alias("part_no"))
+
+    return rows(with_grants, F.col("_definition"), F.col("part_no")).unionByName(
+        rows(without, F.col("definition"), F.lit(0))
     )
 
 

@@ -22,6 +22,7 @@ def ordered_concat(
     sep: str = "",
     out: str = "definition",
     max_cell_bytes: int = MAX_CELL_BYTES,
+    last: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key holding its texts joined by ``sep`` in ``order``: (keys, part_no, out).
 
@@ -29,27 +30,31 @@ def ordered_concat(
     to one task: their rows are range-partitioned by (key, order), each partition gives one part,
     and the parts in ascending ``part_no`` (gaps allowed), joined by ``sep``, are the whole text.
     Whether any such key exists is found by a count of bytes per key, which is summed map-side.
+    Columns named in ``last`` come from the last row of the key, or of the part.
     """
     keys = list(keys)
-    rows = rows.select(*keys, text.alias("_text"), F.struct(*order).alias("_order"))
+    rows = rows.select(*keys, text.alias("_text"), F.struct(*order).alias("_order"), *last)
     bytes_of = F.sum(F.octet_length("_text") + len(sep.encode()))
     large = rows.groupBy(*keys).agg(bytes_of.alias("_bytes")).filter(F.col("_bytes") > max_cell_bytes)
     total = large.agg(F.sum("_bytes")).first()[0]
 
-    joined = F.expr(f"listagg(_text, {sql_string(sep)}) within group (order by _order)").alias(out)
+    joined = [
+        F.expr(f"listagg(_text, {sql_string(sep)}) within group (order by _order)").alias(out),
+        *[F.max_by(c, "_order").alias(c) for c in last],
+    ]
+    columns = [*keys, "part_no", out, *last]
     if total is None:
-        return rows.groupBy(*keys).agg(F.lit(0).alias("part_no"), joined).select(*keys, "part_no", out)
+        return rows.groupBy(*keys).agg(F.lit(0).alias("part_no"), *joined).select(*columns)
 
     large = large.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     same_key = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     small_rows = rows.join(large, same_key, "left_anti")
-    small = small_rows.groupBy(*keys).agg(F.lit(0).alias("part_no"), joined)
+    small = small_rows.groupBy(*keys).agg(F.lit(0).alias("part_no"), *joined)
     parts = max(2, math.ceil(2 * total / max_cell_bytes))
     split = (
         rows.join(large, same_key, "left_semi")
         .repartitionByRange(parts, *keys, "_order")
         .withColumn("part_no", F.spark_partition_id())
     )
-    split = split.groupBy(*keys, "part_no").agg(joined)
-    columns = [*keys, "part_no", out]
+    split = split.groupBy(*keys, "part_no").agg(*joined)
     return small.select(*columns).unionByName(split.select(*columns))

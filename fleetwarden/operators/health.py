@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwarden.functions.text import contains_any
+from fleetwarden.functions.text import contains_any, record_value
 from fleetwarden.functions.times import from_day_number, log_prefixes, midnight, time_literal
 from fleetwarden.operators.collect import BACKUP_COMPLETE
 from fleetwarden.operators.concat import MAX_CELL_BYTES, ordered_concat
@@ -136,9 +136,9 @@ def log_exclude_table(
 ) -> DataFrame:
     """:func:`log_exclude` with the patterns in a table.
 
-    Up to ``max_filter_patterns`` they become the filter. More are matched by a hash join: each
-    line is cut at every pattern length that occurs, and the pieces are compared for equality, so
-    a piece meets one pattern at most. ``ids`` identify a line.
+    Up to ``max_filter_patterns`` they are collected and become the filter. More are matched by a
+    hash join: each line is cut into its pieces of every pattern length that occurs, and pieces
+    are compared for equality, so a piece meets one pattern at most. ``ids`` identify a line.
     """
     wanted = patterns.select(F.col(pattern).alias("_piece")).filter(F.col("_piece").isNotNull())
     wanted = wanted.distinct()
@@ -147,20 +147,14 @@ def log_exclude_table(
         return log_exclude(lines, [r["_piece"] for r in head], line)
     if wanted.filter(F.col("_piece") == "").limit(1).count():
         raise ValueError("an empty pattern would match every line")
-    lengths = wanted.select(F.length("_piece").alias("_n")).distinct()
-    # All lengths in one row: at most one entry per length, bounded by the longest line.
-    spans = [r["_n"] for r in lengths.sort("_n").collect()]
-    text = F.col(line)
-    pieces = F.flatten(
-        F.transform(
-            F.array(*[F.lit(n) for n in spans]),
-            lambda n: F.when(
-                F.length(text) >= n,
-                F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: text.substr(i, n)),
-            ).otherwise(F.array().cast("array<string>")),
-        )
+    # One number per pattern length that occurs, at most as many as the longest line has characters.
+    lengths = [r[0] for r in wanted.select(F.length("_piece")).distinct().collect()]
+    spans = lines.select(*ids, line, F.explode(F.lit(sorted(lengths))).alias("_n"))
+    spans = spans.filter(F.length(line) >= F.col("_n"))
+    starts = F.explode(F.sequence(F.lit(1), F.length(line) - F.col("_n") + 1)).alias("_at")
+    cut = spans.select(*ids, line, "_n", starts).select(
+        *ids, F.col(line).substr(F.col("_at"), F.col("_n")).alias("_piece")
     )
-    cut = lines.select(*ids, F.explode(F.array_distinct(pieces)).alias("_piece"))
     hits = cut.join(wanted, "_piece", "left_semi").select(*ids).distinct()
     return lines.join(hits, list(ids), "left_anti")
 
@@ -245,13 +239,18 @@ def replication_health(
     return status.withColumn("state", lag_state(F.col(lag), max_lag))
 
 
-def replication_channels(records: DataFrame, max_lag: int = REPLICATION_MAX_LAG) -> DataFrame:
-    """State per named channel from (dbserver_id, channel, fields map) status records."""
+def replication_channels(
+    records: DataFrame, record: str = "record", max_lag: int = REPLICATION_MAX_LAG
+) -> DataFrame:
+    """State per named channel from (dbserver_id, channel, record) status texts.
+
+    Only the two fields needed are cut out of the text; ``parse_records`` gives all of them.
+    """
+    text = F.col(record)
     rows = records.select(
-        "dbserver_id",
-        "channel",
-        F.col("fields")["Seconds_Behind_Master"].alias("lag"),
-        F.col("fields")["Master_Host"].alias("source_host"),
+        *[c for c in records.columns if c != record],
+        record_value(text, "Seconds_Behind_Master").alias("lag"),
+        record_value(text, "Master_Host").alias("source_host"),
     )
     return replication_health(rows, max_lag=max_lag)
 

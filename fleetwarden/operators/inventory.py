@@ -33,54 +33,84 @@ def job_filter(
     The replication jobs also take a location or game in ``game_id``; the object jobs take a
     single ``ip`` as an alternative to the site.
     """
-    site = [
-        F.col(name) == value
-        for name, value in (("game_id", game_id), ("location", location))
-        if value is not None
-    ]
-    scope = reduce(lambda a, b: a & b, site) if site else F.lit(True)
-    active = F.col("active") == 1
-    has_primary = F.col("id_master").isNotNull()
-    any_name = F.lit(True)
-    if game_id is not None:
-        any_name = (F.col("game_id") == game_id) | (F.col("location") == game_id)
-    site_or_ip = scope if ip is None else ((F.col("ip") == ip) | (scope if site else F.lit(False)))
+    def scope() -> Column:
+        wanted = {"game_id": game_id, "location": location}
+        parts = [F.col(name) == value for name, value in wanted.items() if value is not None]
+        return reduce(lambda a, b: a & b, parts) if parts else F.lit(True)
+
+    def game_or_location() -> Column:
+        if game_id is None:
+            return F.lit(True)
+        return (F.col("game_id") == game_id) | (F.col("location") == game_id)
+
+    def scope_or_ip() -> Column:
+        if ip is None:
+            return scope()
+        listed = F.col("ip") == ip
+        return listed if game_id is None and location is None else listed | scope()
+
+    def active() -> Column:
+        return F.col("active") == 1
+
+    def known() -> Column:
+        return F.col("active") >= 1
+
+    def replica() -> Column:
+        return active() & game_or_location() & F.col("id_master").isNotNull()
+
     filters = {
-        "backups": _kind(MYSQL_LIKE) & active & scope & _usage(BACKUP_USAGE),
-        "backup_alert": _kind(MYSQL_LIKE) & active & scope & _usage(BACKUP_USAGE)
+        "backups": lambda: _kind(MYSQL_LIKE) & active() & scope() & _usage(BACKUP_USAGE),
+        "backup_alert": lambda: _kind(MYSQL_LIKE) & active() & scope() & _usage(BACKUP_USAGE)
         & ~F.col("game_id").isin(list(excluded_games)),
-        "error_logs": _kind([MYSQL]) & active & scope,
-        "partitions": _kind(MYSQL_LIKE) & active & scope,
-        "replication_mysql": _kind([MYSQL]) & active & any_name & has_primary,
-        "replication_mariadb": _kind([MARIADB]) & active & any_name & has_primary,
-        "replication_mssql": _kind([MSSQL]) & active & scope & _usage(DISTRIBUTOR_USAGE),
-        "objects_mysql": _kind(MYSQL_LIKE) & (F.col("active") >= 1) & site_or_ip,
-        "objects_mssql": _kind([MSSQL]) & (F.col("active") >= 1) & site_or_ip,
-        "accounts_mysql": _kind(MYSQL_LIKE) & active & scope,
-        "accounts_mssql": _kind([MSSQL]) & active & scope,
-        "sessions": _kind(MYSQL_LIKE) & scope,
-        "dictionary": _kind([MYSQL, MSSQL]) & (F.col("active") >= 1) & scope & (F.col("env") == "Live"),
-        "fleet": F.col("active") <= 1,
-        "site_map": F.col("active") < 2,
+        "error_logs": lambda: _kind([MYSQL]) & active() & scope(),
+        "partitions": lambda: _kind(MYSQL_LIKE) & active() & scope(),
+        "replication_mysql": lambda: _kind([MYSQL]) & replica(),
+        "replication_mariadb": lambda: _kind([MARIADB]) & replica(),
+        "replication_mssql": lambda: _kind([MSSQL]) & active() & scope() & _usage(DISTRIBUTOR_USAGE),
+        "objects_mysql": lambda: _kind(MYSQL_LIKE) & known() & scope_or_ip(),
+        "objects_mssql": lambda: _kind([MSSQL]) & known() & scope_or_ip(),
+        "accounts_mysql": lambda: _kind(MYSQL_LIKE) & active() & scope(),
+        "accounts_mssql": lambda: _kind([MSSQL]) & active() & scope(),
+        "sessions": lambda: _kind(MYSQL_LIKE) & scope(),
+        "dictionary": lambda: _kind([MYSQL, MSSQL]) & known() & scope() & (F.col("env") == "Live"),
+        "fleet": lambda: F.col("active") <= 1,
+        "site_map": lambda: F.col("active") < 2,
     }
-    return filters[job]
+    return filters[job]()
 
 
-def display_name(sep_site: str = "@") -> Column:
+def display_name() -> Column:
     """``game@location-descr:usage``; NULL if any part is."""
     return F.concat(
-        "game_id", F.lit(sep_site), "location", F.lit("-"), "descr", F.lit(":"), "dbusage"
+        "game_id", F.lit("@"), "location", F.lit("-"), "descr", F.lit(":"), "dbusage"
     )
 
 
+def subscription_name() -> Column:
+    """The shorter name that the subscription check uses: ``game-location-descr``."""
+    return F.concat("game_id", F.lit("-"), "location", F.lit("-"), "descr")
+
+
+def job_targets(servers: DataFrame, jobs: dict[str, Column]) -> DataFrame:
+    """(job, id) for every job whose filter a server passes: one scan for all jobs."""
+    passed = F.array(*[F.when(where, F.lit(job)) for job, where in jobs.items()])
+    rows = servers.select("id", F.explode(passed).alias("job"))
+    return rows.filter(F.col("job").isNotNull()).select("job", "id")
+
+
 def server_targets(
-    servers: DataFrame, gateways: DataFrame, contacts: DataFrame, where: Column | None = None
+    servers: DataFrame,
+    gateways: DataFrame,
+    contacts: DataFrame,
+    where: Column | None = None,
+    name: Column | None = None,
 ) -> DataFrame:
     """Servers with display name, gateway and contact address, ordered by ip.
 
     A site with two gateways gives two rows per server. Filters apply before the joins; the
     gateway and contact tables are broadcast by Spark where their measured size allows.
     """
+    name = display_name() if name is None else name
     if where is not None:
         servers = servers.filter(where)
     gates = gateways.select(
@@ -89,8 +119,7 @@ def server_targets(
     people = contacts.select(F.col("id").alias("contact_id"), "email_to")
     return (
         servers.select(
-            "id", "ip", "port", "game_id", "location", "contact_id", "id_master",
-            display_name().alias("name"),
+            "id", "ip", "port", "game_id", "location", "contact_id", "id_master", name.alias("name")
         )
         .join(gates, ["game_id", "location"], "left")
         .join(people, "contact_id", "left")

@@ -60,6 +60,7 @@ def site_map(
 ) -> DataFrame:
     """Per country: kinds with counts and the total, inactive count, and a colour.
 
+    Servers are counted per (site, kind) before the join and the rollup.
     Totals are told by the rollup's grouping, not by a NULL kind; sites of unknown location have
     no country and drop out, as does a NULL ``active``.
     """
@@ -67,15 +68,18 @@ def site_map(
     rows = servers.filter(job_filter("site_map")).select("location", "dbtype", "active").unionByName(
         gateways.select("location", F.lit(GATEWAY_TYPE).alias("dbtype"), F.lit(1).alias("active"))
     )
+    per_site = rows.groupBy("location", "dbtype").agg(
+        F.count("*").alias("n"), F.count_if(F.col("active") != 1).alias("inactive")
+    )
     counts = (
-        rows.join(places, "location", "inner")
+        per_site.join(places, "location", "inner")
         .filter(F.col("country").isNotNull())
         .rollup("country", "dbtype")
         .agg(
             F.grouping("dbtype").alias("is_total"),
             F.grouping("country").alias("is_grand_total"),
-            F.count("*").alias("n"),
-            F.count_if(F.col("active") != 1).alias("inactive"),
+            F.sum("n").alias("n"),
+            F.sum("inactive").alias("inactive"),
             F.min("location_name").alias("location_name"),
         )
         .filter(F.col("is_grand_total") == 0)
@@ -201,15 +205,10 @@ def dictionary_report(
     lines = dictionary_lines(objects, dictionary)
     keys = ["dbserver_id", "dbschema", "name"]
     order = ["line_num", "comments", "created", "modified"]
-    text = ordered_concat(
+    return ordered_concat(
         lines, keys, F.col("comments"), [F.col(c) for c in order], "<br>", out="comments",
-        max_cell_bytes=max_cell_bytes,
-    )
-    last = F.struct(*[F.coalesce(F.col(c), F.lit("")) if c != "line_num" else F.col(c) for c in order])
-    dates = lines.groupBy(*keys).agg(
-        F.max_by("created", last).alias("created"), F.max_by("modified", last).alias("modified")
+        max_cell_bytes=max_cell_bytes, last=["created", "modified"],
     )
-    return text.join(dates, keys, "inner")
 
 
 def fleet_summary_rows(summary: DataFrame) -> DataFrame:

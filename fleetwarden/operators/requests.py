@@ -245,6 +245,17 @@ def quota_check(
     )
 
 
+def first_per_batch(requests: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The earliest request of each batch by ``order``; the others wait for the next run.
+
+    :func:`quota_check` compares with stored codes only. Running the requests of one batch one
+    after the other, as a sheet is worked off, keeps them from passing the limit together.
+    """
+    rest = [c for c in requests.columns if c != "batch_id" and c not in order]
+    first = requests.groupBy("batch_id").agg(F.min(F.struct(*order, *rest)).alias("_first"))
+    return first.select("batch_id", "_first.*").select(*requests.columns)
+
+
 def code_text(seed: str, request_id: Column, n: Column) -> Column:
     """16 characters A–Z, 0–9 from a digest of (seed, request, running number).
 

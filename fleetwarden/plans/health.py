@@ -7,15 +7,14 @@ from fleetwarden.operators import health as hl
 from fleetwarden.operators.inventory import job_filter, route_to_contacts
 from fleetwarden.plans.registry import query
 from fleetwarden.plans.snapshots import _doc_lines
-from fleetwarden.sources import readers
 
-AS_OF = "1998-07-02"
+AS_OF = "1998-07-18"
 
 FAILED = """
     select h.contact_id, h.game_id, h.location, h.descr, h.ip, b.file, b.start as start_time,
       b."end" as end_time, b.status as failure_reason
     from backups b join hosts h on b.dbserver_id = h.id
-    where b.start >= timestamp '1998-07-01' and b."end" < timestamp '1998-07-02'
+    where b.start >= timestamp '1998-07-17' and b."end" < timestamp '1998-07-18'
       and coalesce(b.status, '') <> 'COMPLETE'
 """
 MISSING = """
@@ -23,7 +22,7 @@ MISSING = """
       'No backups found yesterday' as failure_reason
     from hosts where dbusage like '%bkp%' group by contact_id, game_id, location, ip
     having min(id) not in (select dbserver_id from backups
-      where start >= timestamp '1998-07-01' and start < timestamp '1998-07-02')
+      where start >= timestamp '1998-07-17' and start < timestamp '1998-07-18')
 """
 TIMES = {"start": "start_time", "end": "end_time"}
 
@@ -167,7 +166,7 @@ def replication_health(t):
     "lags",
 )
 def replication_channels(t):
-    return hl.replication_channels(readers.parse_records(t.channel_records))
+    return hl.replication_channels(t.channel_records)
 
 
 @query(

@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from fleetwarden.operators import inventory as inv
 from fleetwarden.plans.registry import query
 
@@ -56,16 +51,22 @@ def server_targets(t):
     "servers",
 )
 def job_targets(t):
-    servers = t.servers
-    return reduce(
-        DataFrame.unionByName,
-        [
-            servers.filter(inv.job_filter(job, excluded_games=("ASIA",))).select(
-                F.lit(job).alias("job"), "id"
-            )
-            for job in JOBS
-        ],
-    )
+    filters = {job: inv.job_filter(job, excluded_games=("ASIA",)) for job in JOBS}
+    return inv.job_targets(t.servers, filters)
+
+
+@query(
+    """
+    select s.id, s.ip, s.port, game_id || '-' || location || '-' || descr as name,
+      g.ip as gateway_ip, c.email_to, s.id_master
+    from servers s left join gateways g using (game_id, location)
+    left join contacts c on s.contact_id = c.id
+    where dbtype = 'MSSQL' and active = 1 and dbusage like '%dist%'""",
+    "servers gateways contacts",
+)
+def subscription_targets(t):
+    where = inv.job_filter("replication_mssql")
+    return inv.server_targets(t.servers, t.gateways, t.contacts, where, inv.subscription_name())
 
 
 @query(

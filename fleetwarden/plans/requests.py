@@ -149,6 +149,16 @@ def quota_check(t):
     return rq.quota_check(t.code_requests, t.code_batches, t.stored_codes, limit=100_000)
 
 
+@query(
+    """
+    select * exclude (rn) from (select *, row_number() over (partition by batch_id order by request_id)
+      as rn from code_requests) where rn = 1""",
+    "code_requests",
+)
+def first_per_batch(t):
+    return rq.first_per_batch(t.code_requests, ["request_id"])
+
+
 def _base36(value: str) -> str:
     """The low eight base-36 digits of ``value``."""
     return " || ".join(

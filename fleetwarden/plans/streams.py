@@ -31,11 +31,11 @@ def _run(writer, folder: str) -> int:
 @query(
     """
     with e as (select cast(user_id as int) as dbserver_id, event_type,
-        date_trunc('second', ts) as at from events),
-    w as (select dbserver_id, date_trunc('hour', at) as window_start, count(*) as error_lines from e
+        date_trunc('second', ts) as stamp from events),
+    w as (select dbserver_id, date_trunc('hour', stamp) as window_start, count(*) as error_lines from e
       where event_type <> 'view' group by 1, 2)
     select * from w where window_start + interval 1 hour <=
-      (select max(at) - interval 10 minute from e where event_type <> 'view')"""
+      (select max(stamp) - interval 10 minute from e where event_type <> 'view')"""
 )
 def stream_log_errors(t):
     """Windows closed by the watermark; the batch form's counts over the same windows."""

@@ -65,8 +65,8 @@ DERIVED = {
         select n_name as location, upper(substr(r_name, 1, 2)) as location_iso,
           r_name as location_name from {nation} join {region} on n_regionkey = r_regionkey""",
     "reported_primaries": """
-        select id, case when env = 'Live' then concat(ip, 'x') else ip end as source_host
-        from {servers}""",
+        select r.id, case when r.contact_id < 12 then p.ip else r.ip end as source_host
+        from {servers} r left join {servers} p on r.id_master = p.id""",
     # Sessions: line items are connections; events are two collections of session counts.
     "processlist": """
         select cast(l_suppkey as int) as dbserver_id, concat(l_returnflag, l_linestatus) as user_name,
@@ -345,13 +345,17 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = str(sf_dir).rstrip("/")
+        self.opened: dict[str, DataFrame] = {}
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in GIVEN:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        text = _template(name, "spark")
-        return self.spark.sql(text, **{n: self[n] for n in _inputs(text)})
+        if name not in self.opened:
+            if name in GIVEN:
+                self.opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            else:
+                text = _template(name, "spark")
+                self.opened[name] = self.spark.sql(text, **{n: self[n] for n in _inputs(text)})
+        return self.opened[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in GIVEN or name in DERIVED:

@@ -68,23 +68,19 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 def parse_records(records: DataFrame, text: str = "record") -> DataFrame:
     """``Key: value`` lines of a status record as a map column ``fields``; client NULLs are NULL."""
     lines = F.filter(F.split(F.col(text), "\n"), lambda s: s.contains(":"))
-    pairs = F.transform(
-        lines,
-        lambda s: F.struct(
-            F.trim(F.substring_index(s, ":", 1)).alias("key"),
-            client_null(F.trim(F.substring(s, F.instr(s, ":") + 1, F.length(s)))).alias("value"),
-        ),
+    keys = F.transform(lines, lambda s: F.trim(F.substring_index(s, ":", 1)))
+    values = F.transform(
+        lines, lambda s: client_null(F.trim(F.substring(s, F.instr(s, ":") + 1, F.length(s))))
     )
-    # Of a repeated key the last value is kept, as for output that is read line by line.
-    fields = F.map_from_entries(
-        F.filter(
-            pairs,
-            lambda p, i: ~F.exists(
-                F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]
-            ),
-        )
+    # Of a repeated key the last value is kept, as for output that is read line by line: both
+    # arrays are turned round, and the first place of each key is its last one in the text.
+    rows = records.withColumn("_keys", F.reverse(keys)).withColumn("_values", F.reverse(values))
+    names = F.array_distinct("_keys")
+    found = F.transform(
+        names, lambda k: F.element_at("_values", F.array_position("_keys", k).cast("int"))
     )
-    return records.withColumn("fields", fields).drop(text)
+    fields = F.map_from_arrays(names, found)
+    return rows.withColumn("fields", fields).drop(text, "_keys", "_values")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:

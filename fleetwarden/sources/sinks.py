@@ -22,11 +22,12 @@ def page_lines(rows: DataFrame, template: DataFrame, mark: str) -> DataFrame:
     rows: (value); template: (line_no, line) with one marked line. Result: (section, line_no,
     value), to be sorted by its first two columns; rows keep the order of their text.
     """
-    marked = template.filter(F.col("line").contains(mark)).select(F.col("line_no").alias("_mark"))
-    first = marked.agg(F.min("_mark").alias("_mark")).withColumn("_one", F.lit(1))
-    lines = template.withColumn("_one", F.lit(1)).join(first, "_one", "inner")
-    frame = lines.filter(~F.col("line").contains(mark)).select(
-        F.when(F.col("line_no") < F.col("_mark"), 0).otherwise(2).alias("section"),
+    marked = F.col("line").contains(mark)
+    at = template.filter(marked).agg(F.min("line_no")).first()[0]
+    if at is None:
+        raise ValueError(f"the template has no line with {mark!r}")
+    frame = template.filter(~marked).select(
+        F.when(F.col("line_no") < at, 0).otherwise(2).alias("section"),
         F.col("line_no").cast("bigint").alias("line_no"),
         F.col("line").alias("value"),
     )
