@@ -90,7 +90,7 @@ def table_ddl(
     # The head is a row of its own in front of the columns, so that it stands once whatever the
     # number of parts.
     head = F.concat(F.lit("CREATE TABLE "), F.col(keys[-1]).cast("string"))
-    heads = columns.select(*keys).distinct().select(
+    heads = described.select(*keys).distinct().select(
         *keys, F.lit(None).cast(columns.schema["column_id"].dataType).alias("_place"), head.alias("_text")
     )
     return ordered_concat(

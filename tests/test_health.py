@@ -1,0 +1,231 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from fleetwarden import schemas
+from fleetwarden.functions.text import contains_any
+from fleetwarden.functions.times import log_prefixes
+from fleetwarden.operators import checksum as chk
+from fleetwarden.operators import health as hl
+from tests.conftest import rows
+
+AS_OF = "2024-02-01"
+
+
+def at(text):
+    return dt.datetime.fromisoformat(text)
+
+
+@pytest.fixture
+def backups(table):
+    return table(
+        [
+            (1, "f1", 1, at("2024-01-31 00:00:00"), at("2024-01-31 05:00:00"), "broken", "r"),
+            (1, "f2", 1, at("2024-01-31 01:00:00"), at("2024-01-31 05:00:00"), None, "r"),
+            (1, "f3", 1, at("2024-01-31 01:00:00"), at("2024-01-31 05:00:00"), "COMPLETE", "r"),
+            (1, "f4", 1, at("2024-01-31 01:00:00"), None, "broken", "r"),
+            (1, "f5", 1, at("2024-01-30 23:59:59"), at("2024-01-31 05:00:00"), "broken", "r"),
+            (1, "f6", 1, at("2024-01-31 23:00:00"), at("2024-02-01 00:00:00"), "broken", "r"),
+            (None, "f7", 1, at("2024-01-31 01:00:00"), at("2024-01-31 05:00:00"), "broken", "r"),
+        ],
+        schemas.BACKUPS,
+    )
+
+
+@pytest.fixture
+def servers(table):
+    base = ("MySQL", "Live", 1, None)
+    return table(
+        [
+            (1, "G", "SG", "d1", "bkp", "10.0.0.1", 1, *base, 7),
+            (2, "G", "SG", "d2", "bkp", "10.0.0.1", 1, *base, 7),
+            (3, "G", "SG", "d3", "bkp", "10.0.0.2", 1, *base, 7),
+            (4, "G", "SG", "d4", "bkp", "10.0.0.2", 1, *base, 7),
+        ],
+        schemas.SERVERS,
+    )
+
+
+def test_failed_backups(backups, servers):
+    got = hl.failed_backups(backups, servers, AS_OF)
+    assert rows(got, "file", "failure_reason") == [("f1", "broken"), ("f2", None)]
+
+
+def test_missing_backups_ignore_rows_without_server(backups, servers):
+    got = hl.missing_backups(backups, servers, AS_OF)
+    assert rows(got, "ip", "descr") == [("10.0.0.2", "d3,d4")]
+    # A plain NOT IN loses the whole result because of the one NULL.
+    spark = backups.sparkSession
+    plain = spark.sql(
+        "select * from {s} where id not in (select dbserver_id from {b})", s=servers, b=backups
+    )
+    assert plain.count() == 0
+
+
+def test_backup_alert(backups, servers):
+    got = hl.backup_alert(backups, servers, AS_OF)
+    assert rows(got, "ip", "file", "failure_reason") == [
+        ("10.0.0.1", "f1", "broken"), ("10.0.0.1", "f2", None),
+        ("10.0.0.2", None, "No backups found yesterday"),
+    ]
+
+
+def test_log_prefixes():
+    assert log_prefixes("2024-03-01 09:05:00", "day") == ("240229", "2024-02-29")
+    assert log_prefixes("2024-03-01 10:05:00", "hour") == ("240301  9", "2024-03-01 09")
+    assert log_prefixes("2024-03-01 00:05:00", "hour") == ("240229 23", "2024-02-29 23")
+    assert log_prefixes("2024-03-01 10:05:00", "now") == ("240301 10", "2024-03-01 10")
+    with pytest.raises(ValueError):
+        log_prefixes("2024-03-01", "week")
+
+
+LINES = [
+    (1, "240301  9:01:02 [ERROR] disk full"),
+    (1, "2024-03-01 09:59:59 0 [Warning] Aborted connection 5"),
+    (1, "2024-03-01T09:00:00 [ERROR] iso"),
+    (1, "    at stack.trace"),
+    (2, "240301 10:00:00 [ERROR] later"),
+    (2, "240301  9:30:00 [Note] Coordinator"),
+    (3, "2024-03-01 09:00:00 [Error] aborted CONNECTION"),
+]
+
+
+def test_log_errors(table):
+    lines = table(LINES, "dbserver_id int, line string")
+    assert rows(hl.log_window(lines, "2024-03-01 10:00:00", "hour"), "dbserver_id") == [
+        (1,), (1,), (2,), (3,),
+    ]
+    assert rows(hl.log_errors(lines, "2024-03-01 10:00:00", "hour")) == [(1, 1), (3, 1)]
+
+
+def test_exclusion_is_by_fixed_string(table):
+    lines = table([(1, "a.b"), (2, "axb"), (3, "x[1]"), (4, None)], "id int, line string")
+    assert rows(hl.log_exclude(lines, ["a.b", "[1]"]), "id") == [(2,), (4,)]
+    with pytest.raises(ValueError):
+        hl.log_exclude(lines, [""])
+    assert hl.log_exclude(lines, []).count() == 4
+
+
+def test_all_ways_of_exclusion_agree(spark, table):
+    lines = spark.range(300).select(
+        F.col("id"), F.concat(F.lit("é line "), (F.col("id") * 37).cast("string"), F.lit(" end")).alias("line")
+    )
+    patterns = [f"{n}7" for n in range(10, 60)] + ["é line 1110 end", "no such text at all"]
+    table_of = table([(p,) for p in patterns], "pattern string")
+    texts = {r["id"]: r["line"] for r in lines.collect()}
+    want = sorted(i for i, s in texts.items() if not any(p in s for p in patterns))
+    automaton = hl.log_exclude(lines, patterns)
+    tried = lines.filter(~contains_any(F.col("line"), patterns[:10]))
+    by_filter = hl.log_exclude_table(lines, table_of, ["id"])
+    by_join = hl.log_exclude_table(lines, table_of, ["id"], max_filter_patterns=5)
+    for got in (automaton, by_filter, by_join):
+        assert sorted(r["id"] for r in got.collect()) == want
+    assert sorted(r["id"] for r in tried.collect()) == sorted(
+        i for i, s in texts.items() if not any(p in s for p in patterns[:10])
+    )
+
+
+def test_log_size(table):
+    files = table([("16106127360",), ("16106127359",), ("denied",), (None,)], "size string")
+    assert rows(hl.log_size_alarm(files)) == [
+        (None, None, "unreachable"), ("16106127359", 15359, "ok"), ("16106127360", 15360, "oversize"),
+        ("denied", None, "unreachable"),
+    ]
+
+
+def test_partition_horizon(table):
+    def part(name, expr, bound, p="p", schema="s", method="RANGE"):
+        return (schema, name, p, method, expr, bound)
+
+    day = lambda d: str((dt.date.fromisoformat(d) - dt.date(1970, 1, 1)).days + 719528)
+    sec = lambda d: str((dt.date.fromisoformat(d) - dt.date(1970, 1, 1)).days * 86400)
+    parts = table(
+        [
+            part("numbers", "TO_DAYS(d)", "9"), part("numbers", "TO_DAYS(d)", "10"),
+            part("due", "UNIX_TIMESTAMP(t)", sec("2024-02-02")),
+            part("fine", "UNIX_TIMESTAMP(t)", sec("2024-02-03")),
+            part("days", "to_days(d)", day("2024-02-02")),
+            part("far", "TO_DAYS(d)", day("2024-03-02")), part("far", "TO_DAYS(d)", "5"),
+            part("open", "TO_DAYS(d)", "5"), part("open", "TO_DAYS(d)", "MAXVALUE"),
+            part("other", "id", "5"), part("whole", "TO_DAYS(d)", "5", p=None),
+            part("list", "TO_DAYS(d)", "5", method="LIST"),
+            part("sys", "TO_DAYS(d)", "5", schema="MYSQL"),
+            part("far", "TO_DAYS(d)", "5", schema="other"),
+            part("skipped", "TO_DAYS(d)", "5"),
+        ],
+        schemas.PARTITIONS,
+    )
+    got = hl.partition_horizon(parts, AS_OF, excluded_tables=["skipped"])
+    assert rows(got, "table_schema", "table_name", "last_bound") == [
+        ("other", "far", 5), ("s", "days", 739283), ("s", "due", int(sec("2024-02-02"))),
+        ("s", "numbers", 10),
+    ]
+
+
+def test_lag_states(table):
+    status = table(
+        [("0",), ("17999",), ("18000",), ("9" * 50,), ("NULL",), ("",), (None,), ("1.5",), ("-1",)],
+        "lag string",
+    )
+    got = dict(rows(hl.replication_health(status)))
+    assert got == {
+        "0": "ok", "17999": "ok", "18000": "lag", "9" * 50: "lag", "NULL": "error", "": "error",
+        None: "error", "1.5": "error", "-1": "error",
+    }
+
+
+def test_channels_and_subscriptions(table):
+    record = "*** 1. row ***\n  Master_Host: h1\nSeconds_Behind_Master: {}\n Last_Error: a: b"
+    records = table(
+        [(1, "c1", record.format("5")), (1, "c2", record.format("NULL")), (1, "c3", "no status")],
+        "dbserver_id int, channel string, record string",
+    )
+    assert rows(hl.replication_channels(records), "channel", "lag", "source_host", "state") == [
+        ("c1", "5", "h1", "ok"), ("c2", None, "h1", "error"), ("c3", None, None, "error"),
+    ]
+    report = table(
+        [
+            (1, "status,warning,subscriber"), (1, "------,---"), (1, "Changed database context to 'd'."),
+            (1, "2,0,sub,p,db,6,7,8,18001,10,11,12,13,14,2024-01-01,agent"), (1, "2,0,short"),
+        ],
+        "dbserver_id int, line string",
+    )
+    assert rows(hl.replication_subscriptions(report)) == [
+        (1, "2", "short", None, None, None, None, "error"),
+        (1, "2", "sub", "db", "18001", "2024-01-01", "agent", "lag"),
+    ]
+
+
+def test_checksum(spark):
+    base = spark.range(5000).select(
+        "id", (F.col("id") * 3).alias("a"), F.when(F.col("id") % 7 > 0, F.lit("")).alias("b")
+    )
+    columns = ["a", "b"]
+    for method in ("xxhash64", "md5"):
+        assert chk.checksum_diff(base, base, "id", columns, method=method).count() == 0
+        changed = base.withColumn("a", F.when(F.col("id") == 2500, -1).otherwise(F.col("a")))
+        assert rows(chk.checksum_diff(base, changed, "id", columns, method=method), "chunk") == [(2,)]
+        nulled = base.withColumn("b", F.when(F.col("id") != 3001, F.col("b")))
+        assert rows(chk.checksum_diff(base, nulled, "id", columns, method=method), "chunk") == [(3,)]
+    replica = changed.filter("id <> 10").unionByName(spark.sql("select 9000L id, 1L a, 'x' b"))
+    assert rows(chk.table_diff(base, replica, "id", columns)) == [
+        (10, "missing"), (2500, "changed"), (9000, "extra"),
+    ]
+    assert rows(chk.checksum_diff(base, replica, "id", columns)) == [(0, 1000, 999), (2, 1000, 1000), (9, 0, 1)]
+    negative = spark.range(-3, 0).withColumn("a", F.lit(1))
+    assert rows(chk.table_checksum(negative, "id", ["a"], 2), "chunk", "row_count") == [(-2, 1), (-1, 2)]
+
+
+def test_checksum_lists(spark):
+    base = spark.range(10).withColumn("a", F.col("id"))
+    other = base.filter("id <> 3")
+    tables = {
+        (db, t): (base, other, "id", ["a"]) for db in ("shop", "mysql") for t in ("x", "y")
+    }
+    assert rows(chk.checksum_tables(tables, ignored_tables=["y"]), "database_name", "table_name") == [
+        ("shop", "x")
+    ]
+    assert chk.checksum_tables(tables, only_tables=["x", "y"]).count() == 2
+    with pytest.raises(ValueError):
+        chk.checksum_tables(tables, databases=["mysql"])
