@@ -86,16 +86,9 @@ def table_ddl(
         "name", F.lit(" "), "type_name", F.lit("("), F.col("max_length").cast("string"), F.lit(") "),
         F.coalesce("_key", F.lit("")), F.lit(","),
     )
-    rows = described.select(*keys, F.col("column_id").alias("_place"), text.alias("_text"))
-    # The head is a row of its own in front of the columns, so that it stands once whatever the
-    # number of parts.
     head = F.concat(F.lit("CREATE TABLE "), F.col(keys[-1]).cast("string"))
-    heads = described.select(*keys).distinct().select(
-        *keys, F.lit(None).cast(columns.schema["column_id"].dataType).alias("_place"), head.alias("_text")
-    )
     return ordered_concat(
-        heads.unionByName(rows), keys, F.col("_text"), [F.col("_place")], " ",
-        max_cell_bytes=max_cell_bytes,
+        described, keys, text, [F.col("column_id")], " ", max_cell_bytes=max_cell_bytes, head=head
     )
 
 

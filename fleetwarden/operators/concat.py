@@ -23,6 +23,7 @@ def ordered_concat(
     out: str = "definition",
     max_cell_bytes: int = MAX_CELL_BYTES,
     last: Sequence[str] = (),
+    head: Column | None = None,
 ) -> DataFrame:
     """One row per key holding its texts joined by ``sep`` in ``order``: (keys, part_no, out).
 
@@ -30,7 +31,8 @@ def ordered_concat(
     to one task: their rows are range-partitioned by (key, order), each partition gives one part,
     and the parts in ascending ``part_no`` (gaps allowed), joined by ``sep``, are the whole text.
     Whether any such key exists is found by a count of bytes per key, which is summed map-side.
-    Columns named in ``last`` come from the last row of the key, or of the part.
+    Columns named in ``last`` come from the last row of the key, or of the part. ``head``, made of
+    the keys, goes once in front of the texts.
     """
     keys = list(keys)
     rows = rows.select(*keys, text.alias("_text"), F.struct(*order).alias("_order"), *last)
@@ -38,23 +40,29 @@ def ordered_concat(
     large = rows.groupBy(*keys).agg(bytes_of.alias("_bytes")).filter(F.col("_bytes") > max_cell_bytes)
     total = large.agg(F.sum("_bytes")).first()[0]
 
-    joined = [
-        F.expr(f"listagg(_text, {sql_string(sep)}) within group (order by _order)").alias(out),
-        *[F.max_by(c, "_order").alias(c) for c in last],
-    ]
+    texts = F.expr(f"listagg(_text, {sql_string(sep)}) within group (order by _order)")
+    others = [F.max_by(c, "_order").alias(c) for c in last]
     columns = [*keys, "part_no", out, *last]
+
+    def whole(part: DataFrame) -> DataFrame:
+        cell = texts if head is None else F.concat(head, F.lit(sep), texts)
+        cells = part.groupBy(*keys).agg(F.lit(0).alias("part_no"), cell.alias(out), *others)
+        return cells.select(*columns)
+
     if total is None:
-        return rows.groupBy(*keys).agg(F.lit(0).alias("part_no"), *joined).select(*columns)
+        return whole(rows)
 
     large = large.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     same_key = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    small_rows = rows.join(large, same_key, "left_anti")
-    small = small_rows.groupBy(*keys).agg(F.lit(0).alias("part_no"), *joined)
+    split = rows.join(large, same_key, "left_semi")
+    if head is not None:
+        # A row of its own, ordered before all others as its order is NULL.
+        named = large.select(*[F.col(f"_k_{k}").alias(k) for k in keys])
+        first = named.withColumn("_text", head)
+        for c in ("_order", *last):
+            first = first.withColumn(c, F.lit(None).cast(rows.schema[c].dataType))
+        split = split.unionByName(first)
     parts = max(2, math.ceil(2 * total / max_cell_bytes))
-    split = (
-        rows.join(large, same_key, "left_semi")
-        .repartitionByRange(parts, *keys, "_order")
-        .withColumn("part_no", F.spark_partition_id())
-    )
-    split = split.groupBy(*keys, "part_no").agg(*joined)
-    return small.select(*columns).unionByName(split.select(*columns))
+    split = split.repartitionByRange(parts, *keys, "_order").withColumn("part_no", F.spark_partition_id())
+    split = split.groupBy(*keys, "part_no").agg(texts.alias(out), *others)
+    return whole(rows.join(large, same_key, "left_anti")).unionByName(split.select(*columns))

@@ -17,6 +17,7 @@ from fleetwarden.operators.concat import MAX_CELL_BYTES, ordered_concat
 REPLICATION_MAX_LAG = 18000
 ERROR_LOG_MAX_BYTES = 15 * 1024**3
 MISSING_BACKUP_TEXT = "No backups found yesterday"
+REPORT_NOISE = "^--|^status,warning,|Changed database context"
 PARTITION_SYSTEM_SCHEMAS = ["information_schema", "performance_schema", "mysql", "test"]
 MAXVALUE = "MAXVALUE"
 
@@ -90,7 +91,8 @@ def missing_backups(
         servers = servers.filter(where)
     host = ["contact_id", "game_id", "location", "ip"]
     today = time_literal(backups, "start", midnight(as_of))
-    seen = backups.filter(_yesterday(backups, as_of) & (F.col("start") < today)).select("dbserver_id")
+    recent = backups.filter(_yesterday(backups, as_of) & (F.col("start") < today))
+    seen = recent.select("dbserver_id").distinct()
     hosts = servers.groupBy(*host).agg(F.min("id").alias("dbserver_id"))
     missing = hosts.join(seen, "dbserver_id", "left_anti")
     same_host = functools.reduce(
@@ -264,11 +266,7 @@ def replication_subscriptions(
     status, subscriber, database, latency, last synchronisation and agent.
     """
     text = F.col(line)
-    rows = report.filter(
-        ~text.startswith("--")
-        & ~text.startswith("status,warning,")
-        & ~text.contains("Changed database context")
-    )
+    rows = report.filter(~text.rlike(REPORT_NOISE))
     field = F.split(text, ",")
     places = {
         "status": 1, "subscriber": 3, "publisher_db": 5, "lag": 9, "last_sync": 15, "agent": 16,

@@ -124,7 +124,7 @@ def server_targets(
         .join(gates, ["game_id", "location"], "left")
         .join(people, "contact_id", "left")
         .select("id", "ip", "port", "name", "gateway_ip", "email_to", "id_master")
-        .orderBy("ip")
+        .orderBy("ip", "id", "gateway_ip")
     )
 
 
@@ -182,7 +182,7 @@ def alert_contacts(contacts: DataFrame, servers: DataFrame, where: Column | None
     """Contacts that own at least one matching server."""
     if where is not None:
         servers = servers.filter(where)
-    owners = servers.select(F.col("contact_id").alias("id"))
+    owners = servers.select(F.col("contact_id").alias("id")).distinct()
     return contacts.join(owners, "id", "left_semi").select("id", "name", "email_to")
 
 

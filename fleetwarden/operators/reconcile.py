@@ -3,15 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _has_all(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-
+from fleetwarden.operators.lookup import has_all, look_up
 
 def stage_dedupe(staged: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key by ``order``; rows with a NULL key column are left out.
@@ -21,14 +17,14 @@ def stage_dedupe(staged: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     """
     rest = [c for c in staged.columns if c not in keys and c not in order]
     first = F.min(F.struct(*order, *rest)).alias("_first")
-    return staged.filter(_has_all(keys)).groupBy(*keys).agg(first).select(
+    return staged.filter(has_all(keys)).groupBy(*keys).agg(first).select(
         *[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in staged.columns]
     )
 
 
 def null_key_rows(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The staged rows that :func:`stage_dedupe` leaves out, for a report."""
-    return staged.filter(~_has_all(keys))
+    return staged.filter(~has_all(keys))
 
 
 def protected_servers(outcomes: DataFrame, run_id: str) -> DataFrame:
@@ -36,13 +32,25 @@ def protected_servers(outcomes: DataFrame, run_id: str) -> DataFrame:
     return outcomes.filter((F.col("run_id") == run_id) & ~F.col("ok")).select("dbserver_id").distinct()
 
 
-def _with_flag(rows: DataFrame, servers: DataFrame | None, server: str, flag: str, absent: bool) -> DataFrame:
-    """Mark the rows whose server is listed; without a list every row gets ``absent``."""
-    if servers is None:
-        return rows.withColumn(flag, F.lit(absent))
-    listed = servers.select(F.col(servers.columns[0]).alias(server)).distinct()
-    listed = listed.withColumn(flag, F.lit(True))
-    return rows.join(listed, server, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+def _clearable(
+    rows: DataFrame, scope: DataFrame | None, protected: DataFrame | None, server: str
+) -> DataFrame:
+    """Add ``_clearable``: the row's server is in scope (no list: every server) and not protected."""
+    def listed(servers: DataFrame, flag: str) -> DataFrame:
+        ids = servers.select(F.col(servers.columns[0]).alias(server)).distinct()
+        return ids.withColumn(flag, F.lit(True))
+
+    if scope is None and protected is None:
+        return rows.withColumn("_clearable", F.lit(True))
+    if scope is None:
+        rows = look_up(rows, listed(protected, "_protected"), [server])
+        return rows.withColumn("_clearable", F.col("_protected").isNull()).drop("_protected")
+    flags = listed(scope, "_clearable")
+    if protected is not None:
+        # The two small lists meet first, so that the rows are joined by server only once.
+        flags = flags.join(listed(protected, "_protected"), server, "left_anti")
+    rows = look_up(rows, flags, [server])
+    return rows.withColumn("_clearable", F.coalesce("_clearable", F.lit(False)))
 
 
 def reconcile(
@@ -73,14 +81,13 @@ def reconcile(
         *keys, *[F.col(c).alias(f"_new_{c}") for c in payload], F.lit(True).alias("_new")
     )
     rows = old.join(new, keys, "full_outer")
-    rows = _with_flag(rows, scope, server, "_scope", True)
-    rows = _with_flag(rows, protected, server, "_protected", False)
+    rows = _clearable(rows, scope, protected, server)
 
     is_old, is_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     change = (
         F.when(is_old & is_new, "update")
         .when(is_new, "insert")
-        .when(F.col("_scope") & ~F.col("_protected"), "delete")
+        .when(F.col("_clearable"), "delete")
         .otherwise("keep")
     )
 
@@ -131,7 +138,7 @@ def update_from(
     new = source.select(
         *keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit")
     )
-    return target.join(new, list(keys), "left").select(
+    return look_up(target, new, list(keys)).select(
         *[
             F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
             if c in columns
@@ -154,7 +161,6 @@ def delete_obsolete(
 
     A row without a run id is never obsolete, as the comparison with NULL is not true.
     """
-    rows = _with_flag(state, scope, server, "_scope", True)
-    rows = _with_flag(rows, protected, server, "_protected", False)
-    obsolete = (F.col(run_column) != run_id) & F.col("_scope") & ~F.col("_protected")
+    rows = _clearable(state, scope, protected, server)
+    obsolete = (F.col(run_column) != run_id) & F.col("_clearable")
     return rows.filter(~F.coalesce(obsolete, F.lit(False))).select(*state.columns)

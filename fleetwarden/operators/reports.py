@@ -113,7 +113,7 @@ def dictionary_targets(servers: DataFrame, objects: DataFrame, contacts: DataFra
         .join(people, "contact_id", "left_semi")
         .join(schemas, "id", "inner")
         .select("id", "name", "dbschema", "ip", "port", "dbusage")
-        .orderBy("ip")
+        .orderBy("ip", "id", "dbschema")
     )
 
 

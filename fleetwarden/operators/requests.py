@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwarden.functions.times import epoch_seconds, midnight, time_literal
+from fleetwarden.operators.lookup import look_up
 from fleetwarden.operators.reconcile import update_from
 
 # Quota, code length, shard width and suffix length, columns that can be enriched.
@@ -38,7 +39,7 @@ def churn_cohort(
     return (
         users.filter((seen >= low) & (seen < high) & F.col("level").between(level_from, level_to))
         .select("uid", F.timestamp_seconds(seen).alias("last_login_datetime"), "level")
-        .orderBy(F.desc("last_login_datetime"))
+        .orderBy(F.desc("last_login_datetime"), "uid")
     )
 
 
@@ -146,7 +147,7 @@ def shard_plan(requested: DataFrame, width: int = SHARD_WIDTH) -> DataFrame:
     """Distinct requested ids with shard, table suffix, and whether first or last of the shard."""
     uids = requested.select("uid").distinct().withColumn("shard", shard_of(F.col("uid"), width))
     ends = uids.groupBy("shard").agg(F.min("uid").alias("_min"), F.max("uid").alias("_max"))
-    return uids.join(ends, "shard", "inner").select(
+    return look_up(uids, ends, ["shard"]).select(
         "uid",
         "shard",
         shard_suffix(F.col("shard")).alias("suffix"),
@@ -223,7 +224,7 @@ def quota_check(
     """
     known = batches.select(F.col("id").alias("batch_id")).distinct().withColumn("_known", F.lit(True))
     used = codes.groupBy(F.col("promo_batch_id").alias("batch_id")).agg(F.count("*").alias("_used"))
-    rows = requests.join(known, "batch_id", "left").join(used, "batch_id", "left")
+    rows = look_up(requests, known.join(used, "batch_id", "full_outer"), ["batch_id"])
     existing = F.coalesce("_used", F.lit(0))
     unknown = F.col("_known").isNull()
     over = existing + F.col("amount") > limit

@@ -13,8 +13,9 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def build_session(app: str = "fleetwarden", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution, skew-join splitting and UTC pinned.
 
-    Sizes that depend on the cluster (shuffle partitions, memory) are left to spark-defaults
-    or ``conf``; AQE coalesces small shuffle partitions at run time.
+    Skewed joins are split even where that costs another shuffle. Sizes that depend on the
+    cluster (shuffle partitions, memory) are left to spark-defaults or ``conf``; AQE coalesces
+    small shuffle partitions at run time.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -23,6 +24,7 @@ def build_session(app: str = "fleetwarden", master: str | None = None, **conf: s
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.streaming.metricsEnabled", "false")
     )
     if master:

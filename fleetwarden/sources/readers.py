@@ -40,11 +40,20 @@ def parse_tsv(
 
 
 def read_tsv(
-    spark: SparkSession, path: str, schema: str | T.StructType, escapes: bool = True, **constants
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType,
+    escapes: bool = True,
+    numbered: bool = False,
+    **constants,
 ) -> DataFrame:
     """A headerless bulk-load file. Spark's CSV reader is not used: it would take quotes as
-    quoting, leave the escapes undecoded and read an empty field as NULL."""
-    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    quoting, leave the escapes undecoded and read an empty field as NULL. ``numbered`` adds
+    (file, line_no), the order in which the first row of a key is chosen."""
+    if numbered:
+        lines = read_lines(spark, path)
+    else:
+        lines = spark.read.text(path).withColumnRenamed("value", "line")
     return parse_tsv(lines, schema, escapes=escapes, **constants)
 
 

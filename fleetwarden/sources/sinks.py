@@ -55,3 +55,13 @@ def write_state(state: DataFrame, base: str, version: int) -> None:
 
 def read_state(spark: SparkSession, base: str, version: int) -> DataFrame:
     return spark.read.parquet(state_path(base, version))
+
+
+def append_rows(rows: DataFrame, path: str, version: int) -> None:
+    """Append a run's rows to a table kept as one folder per run; a repeated run appends once."""
+    write_state(rows, path, version)
+
+
+def read_appended(spark: SparkSession, path: str, up_to: int) -> DataFrame:
+    """The rows of all runs up to ``up_to``; folders of later runs are pruned."""
+    return spark.read.parquet(path).filter(F.col("version") <= up_to).drop("version")

@@ -11,9 +11,8 @@ from pyspark.sql.streaming import DataStreamWriter
 from fleetwarden.functions.text import contains_any
 from fleetwarden.functions.times import log_time
 from fleetwarden.operators.health import HARMLESS_LOG_MESSAGES
-from fleetwarden.operators.reconcile import new_state, reconcile, stage_dedupe
-from fleetwarden.operators.requests import pending_requests
-from fleetwarden.sources.sinks import read_state, write_state
+from fleetwarden.plans.jobs import run_pending, store_snapshot
+from fleetwarden.sources.sinks import append_rows, write_state
 
 
 def stream_log_errors(
@@ -56,13 +55,10 @@ def stream_snapshot(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         if batch_id == 0:
             write_state(initial, base, 0)
-        current = read_state(spark, base, batch_id)
-        rows = stage_dedupe(batch, keys, order)
-        merged = reconcile(current, rows, keys, payload, f"batch-{batch_id}", **options)
-        write_state(new_state(merged), base, batch_id + 1)
+        run = f"batch-{batch_id}"
+        store_snapshot(batch, base, batch_id, keys, payload, order, run, **options)
 
     return staged.writeStream.foreachBatch(merge)
 
@@ -77,13 +73,8 @@ def stream_requests(
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         if batch_id == 0:
-            write_state(ledger, f"{base}/ledger", 0)
-        done = spark.read.parquet(f"{base}/ledger").filter(F.col("version") <= batch_id)
-        pending = pending_requests(batch, done.select(*batch.columns))
-        write_state(pending, f"{base}/ledger", batch_id + 1)
-        new = read_state(spark, f"{base}/ledger", batch_id + 1)
-        write_state(run(new), f"{base}/result", batch_id + 1)
+            append_rows(ledger, f"{base}/ledger", 0)
+        run_pending(batch, base, batch_id, run)
 
     return sheet.writeStream.foreachBatch(process)
