@@ -45,7 +45,7 @@ def ordered_concat(
     columns = [*keys, "part_no", out, *last]
 
     def whole(part: DataFrame) -> DataFrame:
-        cell = texts if head is None else F.concat(head, F.lit(sep), texts)
+        cell = texts if head is None else F.concat_ws(sep, head, texts)
         cells = part.groupBy(*keys).agg(F.lit(0).alias("part_no"), cell.alias(out), *others)
         return cells.select(*columns)
 

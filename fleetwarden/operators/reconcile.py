@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden.operators.lookup import has_all, look_up
 
+
 def stage_dedupe(staged: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key by ``order``; rows with a NULL key column are left out.
 

@@ -23,7 +23,8 @@ PINK_FROM = 10
 def fleet_summary(servers: DataFrame, sessions: DataFrame, contacts: DataFrame) -> DataFrame:
     """Servers, servers without sessions and inactive servers per (game, location, kind, contact).
 
-    Sessions are summed per server before the join.
+    Sessions are summed per server before the join. Spellings of a kind that differ in case are
+    one kind.
     """
     connected = sessions.groupBy(F.col("dbserver_id").alias("id")).agg(
         F.sum("session_count").alias("sessions")
@@ -34,12 +35,14 @@ def fleet_summary(servers: DataFrame, sessions: DataFrame, contacts: DataFrame)
         .select("id", "game_id", "location", "dbtype", "active", "contact_id")
         .join(people, "contact_id", "inner")
         .join(connected, "id", "left")
-        .groupBy("game_id", "location", "dbtype", "contact")
+        .groupBy("game_id", "location", F.lower("dbtype").alias("_kind"), "contact")
         .agg(
+            F.min("dbtype").alias("dbtype"),
             F.count("*").alias("servers"),
             F.count_if(F.col("sessions").isNull()).alias("no_sessions"),
             F.count_if(F.col("active") != 1).alias("inactive"),
         )
+        .select("game_id", "location", "dbtype", "contact", "servers", "no_sessions", "inactive")
     )
 
 
@@ -60,7 +63,8 @@ def site_map(
 ) -> DataFrame:
     """Per country: kinds with counts and the total, inactive count, and a colour.
 
-    Servers are counted per (site, kind) before the join and the rollup.
+    Servers are counted per (site, kind) before the join and the rollup. Spellings of a kind that
+    differ in case are one kind.
     Totals are told by the rollup's grouping, not by a NULL kind; sites of unknown location have
     no country and drop out, as does a NULL ``active``.
     """
@@ -68,15 +72,18 @@ def site_map(
     rows = servers.filter(job_filter("site_map")).select("location", "dbtype", "active").unionByName(
         gateways.select("location", F.lit(GATEWAY_TYPE).alias("dbtype"), F.lit(1).alias("active"))
     )
-    per_site = rows.groupBy("location", "dbtype").agg(
-        F.count("*").alias("n"), F.count_if(F.col("active") != 1).alias("inactive")
+    per_site = rows.groupBy("location", F.lower("dbtype").alias("_kind")).agg(
+        F.min("dbtype").alias("dbtype"),
+        F.count("*").alias("n"),
+        F.count_if(F.col("active") != 1).alias("inactive"),
     )
     counts = (
         per_site.join(places, "location", "inner")
         .filter(F.col("country").isNotNull())
-        .rollup("country", "dbtype")
+        .rollup("country", "_kind")
         .agg(
-            F.grouping("dbtype").alias("is_total"),
+            F.min("dbtype").alias("dbtype"),
+            F.grouping("_kind").alias("is_total"),
             F.grouping("country").alias("is_grand_total"),
             F.sum("n").alias("n"),
             F.sum("inactive").alias("inactive"),
@@ -142,7 +149,7 @@ def _compiles(pattern: str) -> bool:
 def dictionary_lines(objects: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Dictionary lines of every table: (dbserver_id, dbschema, name, line_num, comments, dates).
 
-    A table matches the dictionary entries of its schema whose pattern is found in its name,
+    A table matches the dictionary entries of its schema whose pattern is found in its name, both
     ignoring case; a table without entry has one ``N/A`` line. Tables that match the same entry
     collapse to the entry's name. Patterns are tried against distinct table names only, and an
     entry of many lines is tried once.
@@ -150,26 +157,27 @@ def dictionary_lines(objects: DataFrame, dictionary: DataFrame) -> DataFrame:
     tables = objects.filter(F.col("type") == "table").select(
         "dbserver_id", "dbschema", "name", "creation_date", "modified_date"
     )
-    names = tables.select("dbschema", F.col("name").alias("_table")).distinct()
-    entries = dictionary.groupBy(F.col("dbschema").alias("_schema"), "name_regexp").agg(
+    tables = tables.withColumn("_schema", F.lower("dbschema")).withColumnRenamed("name", "_table")
+    names = tables.select("_schema", "_table").distinct()
+    entries = dictionary.groupBy(F.lower("dbschema").alias("_entry_schema"), "name_regexp").agg(
         F.bool_or(F.col("creation_date").isNull()).alias("_undated"),
         F.bool_or(F.col("modified_date").isNull()).alias("_unmodified"),
     )
     matched = names.join(
         entries,
-        (F.col("dbschema") == F.col("_schema"))
+        (F.col("_schema") == F.col("_entry_schema"))
         & F.expr("_table rlike concat('(?i)', name_regexp)"),
         "inner",
-    ).select("dbschema", "_table", "name_regexp", "_undated", "_unmodified")
+    ).select("_schema", "_table", "name_regexp", "_undated", "_unmodified")
     # A family of tables collapses to its entry here, before the entry's lines are attached; a
     # table's own name and dates are carried on only where the report shows them.
     free = F.col("name_regexp").isNull()
     hits = (
-        tables.withColumnRenamed("name", "_table")
-        .join(matched, ["dbschema", "_table"], "left")
+        tables.join(matched, ["_schema", "_table"], "left")
         .select(
             "dbserver_id",
             "dbschema",
+            "_schema",
             "name_regexp",
             F.when(free, F.col("_table")).alias("_table"),
             F.when(free | F.col("_undated"), F.col("creation_date")).alias("creation_date"),
@@ -178,11 +186,11 @@ def dictionary_lines(objects: DataFrame, dictionary: DataFrame) -> DataFrame:
         .distinct()
     )
     lines = dictionary.select(
-        "dbschema", "name_regexp", F.col("name").alias("entry_name"), "column_name", "comments",
+        F.lower("dbschema").alias("_schema"), "name_regexp", F.col("name").alias("entry_name"), "column_name", "comments",
         "line_num", F.col("creation_date").alias("entry_created"),
         F.col("modified_date").alias("entry_modified"),
     )
-    found = hits.join(lines, ["dbschema", "name_regexp"], "left")
+    found = hits.join(lines, ["_schema", "name_regexp"], "left")
 
     def day(entry: str, table: str) -> Column:
         return F.date_format(F.coalesce(entry, table), REPORT_TIME_FORMAT)

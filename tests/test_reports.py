@@ -14,11 +14,11 @@ def test_fleet_summary_and_totals(table):
     sessions = table([(1, 5), (1, 2), (3, 1), (99, 4)], "dbserver_id int, session_count int")
     got = rep.fleet_summary(servers, sessions, contacts)
     assert rows(got, "game_id", "location", "dbtype", "contact", "servers", "no_sessions", "inactive") == [
-        ("G", "SG", "MySQL", "Ann", 1, 0, 0), ("G", "SG", "mysql", "Ann", 1, 1, 0),
+        ("G", "SG", "MySQL", "Ann", 2, 1, 0),
         ("G", "TH", "MariaDB", "Bo", 1, 0, 0), ("H", "VN", "MySQL", "Bo", 1, 1, 1),
         ("H", "XX", "MariaDB", "Bo", 1, 1, 0),
     ]
-    assert '["G-SG","SG","MySQL","Ann",1,0,0],' in [r[0] for r in rep.fleet_summary_rows(got).collect()]
+    assert '["G-SG","SG","MySQL","Ann",2,1,0],' in [r[0] for r in rep.fleet_summary_rows(got).collect()]
     assert rows(rep.fleet_totals(servers, gateways)) == [(6, 3, 9)]
 
 
@@ -29,7 +29,7 @@ def test_site_map(table):
     got = {r["country"]: r for r in rep.site_map(servers, gateways, locations).collect()}
     assert set(got) == {"SG", "TH", "VN"}
     assert got["SG"]["description"] == (
-        "<u>Singapore</u></br>Jumphost : 2</br>MySQL : 1</br>mysql : 1</br><b>TOTAL</b> : 4"
+        "<u>Singapore</u></br>Jumphost : 2</br>MySQL : 2</br><b>TOTAL</b> : 4"
         "</br><font color=blue>Inactive : 0"
     )
     assert got["SG"]["marker"] == "green" and got["VN"]["marker"] == "blue"
@@ -55,7 +55,7 @@ DICTIONARY = [
     ("s", "log_N", "^log_[0-9]+$", "id", None, 2, D2, D3),
     ("s", "log_N", "^log_[0-9]+$", "at", "time", 3, D2, D3),
     ("s", "both_1", "both", None, "first", 1, None, D2),
-    ("s", "both_2", "_a$", None, "second", 1, D2, None),
+    ("S", "both_2", "_A$", None, "second", 1, D2, None),
 ]
 
 
