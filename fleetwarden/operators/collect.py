@@ -280,7 +280,7 @@ def account_definition(accounts: DataFrame, grants: DataFrame) -> DataFrame:
         return df.select(*[values.get(c, F.col(c)) for c in accounts.columns], part.alias("part_no"))
 
     return rows(with_grants, F.col("_definition"), F.col("part_no")).unionByName(
-        rows(without, F.col("definition"), F.lit(0))
+        rows(without, F.col("definition"), F.lit(0).cast("bigint"))
     )
 
 

@@ -12,6 +12,8 @@ from fleetwarden.functions.text import sql_string
 
 # Largest cell built in one task. A key with more text comes out as several rows.
 MAX_CELL_BYTES = 64 * 1024 * 1024
+# Tasks over which the rows of such keys are sorted; each cuts its share into cells.
+MAX_SORT_TASKS = 10_000
 
 
 def ordered_concat(
@@ -28,8 +30,9 @@ def ordered_concat(
     """One row per key holding its texts joined by ``sep`` in ``order``: (keys, part_no, out).
 
     ``part_no`` is 0 for a key whose text fits ``max_cell_bytes``. Larger keys are never handed
-    to one task: their rows are range-partitioned by (key, order), each partition gives one part,
-    and the parts in ascending ``part_no`` (gaps allowed), joined by ``sep``, are the whole text.
+    to one task: their rows are range-partitioned and sorted by (key, order), each task's run is cut
+    into parts of about half a cell, and the parts in ascending ``part_no`` (gaps allowed), joined
+    by ``sep``, are the whole text.
     Whether any such key exists is found by a count of bytes per key, which is summed map-side.
     Columns named in ``last`` come from the last row of the key, or of the part. ``head``, made of
     the keys, goes once in front of the texts.
@@ -37,8 +40,9 @@ def ordered_concat(
     keys = list(keys)
     rows = rows.select(*keys, text.alias("_text"), F.struct(*order).alias("_order"), *last)
     bytes_of = F.sum(F.octet_length("_text") + len(sep.encode()))
-    large = rows.groupBy(*keys).agg(bytes_of.alias("_bytes")).filter(F.col("_bytes") > max_cell_bytes)
-    total = large.agg(F.sum("_bytes")).first()[0]
+    sizes = rows.groupBy(*keys).agg(bytes_of.alias("_bytes"), F.count("*").alias("_rows"))
+    large = sizes.filter(F.col("_bytes") > max_cell_bytes)
+    total, count = large.agg(F.sum("_bytes"), F.sum("_rows")).first()
 
     texts = F.expr(f"listagg(_text, {sql_string(sep)}) within group (order by _order)")
     others = [F.max_by(c, "_order").alias(c) for c in last]
@@ -46,7 +50,8 @@ def ordered_concat(
 
     def whole(part: DataFrame) -> DataFrame:
         cell = texts if head is None else F.concat_ws(sep, head, texts)
-        cells = part.groupBy(*keys).agg(F.lit(0).alias("part_no"), cell.alias(out), *others)
+        number = F.lit(0).cast("bigint").alias("part_no")
+        cells = part.groupBy(*keys).agg(number, cell.alias(out), *others)
         return cells.select(*columns)
 
     if total is None:
@@ -62,7 +67,11 @@ def ordered_concat(
         for c in ("_order", *last):
             first = first.withColumn(c, F.lit(None).cast(rows.schema[c].dataType))
         split = split.unionByName(first)
-    parts = max(2, math.ceil(2 * total / max_cell_bytes))
-    split = split.repartitionByRange(parts, *keys, "_order").withColumn("part_no", F.spark_partition_id())
+    tasks = min(MAX_SORT_TASKS, max(2, math.ceil(2 * total / max_cell_bytes)))
+    rows_per_part = max(1, int(max_cell_bytes / 2 / (total / count)))
+    split = split.repartitionByRange(tasks, *keys, "_order").sortWithinPartitions(*keys, "_order")
+    # Running numbers start anew, far above the last ones, in each task: no part spans two tasks.
+    number = F.floor(F.monotonically_increasing_id() / rows_per_part).cast("bigint")
+    split = split.withColumn("part_no", number)
     split = split.groupBy(*keys, "part_no").agg(texts.alias(out), *others)
     return whole(rows.join(large, same_key, "left_anti")).unionByName(split.select(*columns))

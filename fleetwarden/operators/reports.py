@@ -146,6 +146,15 @@ def _compiles(pattern: str) -> bool:
     return True
 
 
+def plain_head(pattern: Column) -> Column:
+    """The letters, digits and underscores that every match of an anchored pattern starts with.
+
+    Empty for a pattern that is not anchored, has alternatives, or goes on with a quantifier.
+    """
+    head = F.regexp_extract(pattern, r"^\^([A-Za-z0-9_]+)(?=$|[^A-Za-z0-9_*+?{])", 1)
+    return F.when(pattern.contains("|"), "").otherwise(head)
+
+
 def dictionary_lines(objects: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Dictionary lines of every table: (dbserver_id, dbschema, name, line_num, comments, dates).
 
@@ -163,9 +172,13 @@ def dictionary_lines(objects: DataFrame, dictionary: DataFrame) -> DataFrame:
         F.bool_or(F.col("creation_date").isNull()).alias("_undated"),
         F.bool_or(F.col("modified_date").isNull()).alias("_unmodified"),
     )
+    # Most patterns start with plain text; comparing that first spares compiling the pattern.
+    entries = entries.withColumn("_head", F.lower(plain_head(F.col("name_regexp"))))
+    names = names.withColumn("_lower", F.lower("_table"))
     matched = names.join(
         entries,
         (F.col("_schema") == F.col("_entry_schema"))
+        & F.col("_lower").startswith(F.col("_head"))
         & F.expr("_table rlike concat('(?i)', name_regexp)"),
         "inner",
     ).select("_schema", "_table", "name_regexp", "_undated", "_unmodified")

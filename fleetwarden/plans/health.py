@@ -32,7 +32,7 @@ def failed_backups(t):
     return hl.failed_backups(t.backups, t.hosts, AS_OF).withColumnsRenamed(TIMES)
 
 
-@query(f"select *, 0 as part_no from ({MISSING})", "backups hosts")
+@query(f"select *, cast(0 as bigint) as part_no from ({MISSING})", "backups hosts")
 def missing_backups(t):
     return hl.missing_backups(t.backups, t.hosts, AS_OF, job_filter("backup_alert"))
 

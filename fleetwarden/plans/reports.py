@@ -141,7 +141,7 @@ LINES = f"""
         and regexp_matches(a.name, '(?i)' || b.name_regexp)
       where a.type = 'table'),
     dr as (
-      select dbserver_id, dbschema, name, 0 as part_no,
+      select dbserver_id, dbschema, name, cast(0 as bigint) as part_no,
         string_agg(comments, '<br>' order by line_num, comments, created, modified) as comments,
         arg_max(created, (line_num, comments, created, modified)) as created,
         arg_max(modified, (line_num, comments, created, modified)) as modified

@@ -178,7 +178,7 @@ def normalise_definition(t):
 
 @query(
     """
-    select c.object, 0 as part_no, 'CREATE TABLE ' || c.object || ' ' || string_agg(
+    select c.object, cast(0 as bigint) as part_no, 'CREATE TABLE ' || c.object || ' ' || string_agg(
       c.name || ' ' || y.name || '(' || c.max_length || ') ' ||
       case when k.object is null then '' else 'Primary Key' end || ',', ' ' order by c.column_id)
       as definition
@@ -201,7 +201,7 @@ def schema_list(t):
 
 
 GRANTS = """
-    select dbserver_id, account, 0 as part_no, string_agg(statement || '; ', '' order by line_no)
+    select dbserver_id, account, cast(0 as bigint) as part_no, string_agg(statement || '; ', '' order by line_no)
       as definition
     from (select dbserver_id, line_no, 'u' || dbserver_id || '@%' as account,
         substr(line, strpos(line, ': ') + 2) as statement from grant_text) group by dbserver_id, account
@@ -265,7 +265,7 @@ def grant_statements(t):
 @query(
     STATEMENTS
     + """
-    select dbserver_id, name || '@%' as account, 0 as part_no,
+    select dbserver_id, name || '@%' as account, cast(0 as bigint) as part_no,
       string_agg(statement || ' ', '' order by step, statement) as definition
     from statements group by dbserver_id, name""",
     STATEMENT_TABLES,
@@ -279,7 +279,7 @@ def grants_ordered_concat(t):
     with g as ({GRANTS})
     select a.dbserver_id, user_name, user_host, nullif(password, 'NULL') as password,
       max_user_connections, case when g.account is not null then replace(g.definition, '; ', ';' || chr(10))
-        else a.definition end as definition, 0 as part_no
+        else a.definition end as definition, cast(0 as bigint) as part_no
     from accounts a left join g on a.dbserver_id = g.dbserver_id
       and a.user_name || '@' || a.user_host = g.account""",
     "accounts grant_text",

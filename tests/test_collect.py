@@ -82,7 +82,7 @@ def test_account_definition(table):
         "max_user_connections int, definition string",
     )
     grants = table(
-        [(1, "a@%", 0, "G1; G2; ")], "dbserver_id int, account string, part_no int, definition string"
+        [(1, "a@%", 0, "G1; G2; ")], "dbserver_id int, account string, part_no bigint, definition string"
     )
     assert rows(col.account_definition(accounts, grants)) == [
         (1, "a", "%", None, 0, "G1;\nG2;\n", 0),
@@ -105,6 +105,9 @@ def test_large_groups_come_in_ordered_parts(spark):
     want = ";".join(f"t{i}" for i in range(0, 9000, 3))
     assert ";".join(p["definition"] for p in parts) == want
     assert parts[-1]["n"] == 8997
+    few = ordered_concat(data, ["k"], F.col("text"), [F.col("n")], ";", max_cell_bytes=15000)
+    few = few.filter("k = -1").orderBy("part_no").collect()
+    assert 1 < len(few) < len(parts) and ";".join(p["definition"] for p in few) == want
     small = ordered_concat(data, ["k"], F.col("text"), [F.col("n")], ";")
     assert small.count() == 52
     assert {r["k"]: r["definition"] for r in small.collect()}[-1] == want

@@ -45,7 +45,7 @@ def test_accounts(spark, table, tmp_path):
     servers, *_ = fleet(table)
     base = str(tmp_path / "state")
     stored = table([(1, "gone", "%", None, 0, "x", "r0", 0), (4, "sa", "%", None, 0, "x", "r0", 0)],
-                   schemas.ACCOUNTS + ", part_no int")
+                   schemas.ACCOUNTS + ", part_no bigint")
     sinks.write_state(stored, base, 0)
     (tmp_path / "accounts.tsv").write_text("1\tann\t%\tNULL\t0\n1\tbo\th\t0xAB\t3\n")
     (tmp_path / "grants").mkdir()

@@ -1,4 +1,7 @@
 import datetime as dt
+import re
+
+from pyspark.sql import functions as F
 
 from fleetwarden import schemas
 from fleetwarden.operators import reports as rep
@@ -82,6 +85,18 @@ def test_dictionary_report(table):
     assert value == f"['plain','<p>N/A</p>',new Date('{t1}'),new Date('{t1}')],"
 
 
+def test_plain_heads_never_lose_a_match(table):
+    patterns = ["^log_[0-9]+$", "^log", "log", "^lo*g", "^lo?", "^lo{0,1}", "^log$|x", "^(log)", "^LOG\\_x", "^", "^é"]
+    names = ["log_1", "log", "LOG_x", "lg", "l", "x", "élog", "lo"]
+    got = table([(p,) for p in patterns], "p string").select("p", rep.plain_head(F.col("p")).alias("h"))
+    heads = dict(rows(got))
+    assert heads["^log_[0-9]+$"] == "log_" and heads["^log"] == "log" and heads["^LOG\\_x"] == "LOG"
+    assert {heads[p] for p in patterns if p not in ("^log_[0-9]+$", "^log", "^LOG\\_x")} == {""}
+    for p in patterns:
+        for n in names:
+            assert not re.search(p, n, re.IGNORECASE) or n.lower().startswith(heads[p].lower())
+
+
 def test_bad_patterns_are_found(table):
     _, entries = dictionary(table)
     bad = table([("s", "x", "([", None, None, 1, None, None)], schemas.DICTIONARY)
