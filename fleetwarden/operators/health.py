@@ -12,6 +12,7 @@ from fleetwarden.functions.text import contains_any, record_value
 from fleetwarden.functions.times import from_day_number, log_prefixes, midnight, time_literal
 from fleetwarden.operators.collect import BACKUP_COMPLETE
 from fleetwarden.operators.concat import MAX_CELL_BYTES, ordered_concat
+from fleetwarden.operators.lookup import look_up
 
 # Limits and report texts.
 REPLICATION_MAX_LAG = 18000
@@ -157,7 +158,7 @@ def log_exclude_table(
     cut = spans.select(*ids, line, "_n", starts).select(
         *ids, F.col(line).substr(F.col("_at"), F.col("_n")).alias("_piece")
     )
-    hits = cut.join(wanted, "_piece", "left_semi").select(*ids).distinct()
+    hits = look_up(cut, wanted, ["_piece"], "left_semi").select(*ids).distinct()
     return lines.join(hits, list(ids), "left_anti")
 
 

@@ -202,12 +202,8 @@ def resolve_uid_by_name(target: DataFrame, accounts: DataFrame) -> DataFrame:
     """
     updatable_columns(target, ["uid"])
     names = target.select(F.lower("username").alias("_name")).filter(F.col("_name") != "").distinct()
-    found = (
-        accounts.select(F.lower("username").alias("_name"), "uid")
-        .join(names, "_name", "left_semi")
-        .groupBy("_name")
-        .agg(F.min("uid").alias("uid"))
-    )
+    named = accounts.select(F.lower("username").alias("_name"), "uid")
+    found = look_up(named, names, ["_name"], "left_semi").groupBy("_name").agg(F.min("uid").alias("uid"))
     keyed = target.withColumn("_name", F.lower("username"))
     return update_from(keyed, found, ["_name"], ["uid"]).select(*target.columns)
 

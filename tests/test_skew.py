@@ -71,6 +71,19 @@ def test_reconcile_splits_the_hot_server(no_broadcast):
     assert counts == {"update": 30000, "keep": kept, "delete": 30000 - kept}
 
 
+def test_name_lookup_splits_the_hot_name(no_broadcast):
+    accounts = hot(no_broadcast).select(
+        F.col("n").alias("uid"), F.concat(F.lit("User"), F.col("uid").cast("string")).alias("username"), "text"
+    )
+    target = no_broadcast.range(600).select(
+        F.lit(-1).cast("bigint").alias("uid"), F.concat(F.lit("USER"), F.col("id").cast("string")).alias("username")
+    )
+    got = rq.resolve_uid_by_name(target, accounts)
+    assert "skew=true" in final_plan(got)
+    found = {r["username"]: r["uid"] for r in got.collect()}
+    assert len(found) == 600 and found["USER7"] == 0 and found["USER8"] == 8 and found["USER599"] == -1
+
+
 def test_quota_splits_the_hot_batch(no_broadcast):
     requests = hot(no_broadcast).select(
         F.col("n").alias("request_id"), F.col("uid").alias("batch_id"), F.lit(1).alias("amount"), "text"
