@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetwarden.llm.exact_dedup import exact_dedup
 from fleetwarden.llm.mixing import mix_sources
 from fleetwarden.llm.near_dedup import near_dedup
 from fleetwarden.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from fleetwarden.llm.token_counts import token_counts
+from fleetwarden.llm.toxicity import toxicity
 
 
 @query("""
@@ -64,3 +67,14 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from documents d join comp on d.doc_id = comp.id left join n on n.doc_id = d.doc_id""")
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts(table(spark, sf_dir, "documents"), path, limit=2048)
