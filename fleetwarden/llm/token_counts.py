@@ -21,10 +21,11 @@ from fleetwarden.llm.common import texts
 
 TABLE_SIZE = 1 << 14  # pre-tokens in the broadcast table: under 1 MB
 SUMMARY_SIZE = 1 << 12  # pre-tokens a task reports
-CACHE_SIZE = 1 << 18  # pre-tokens a worker remembers: about 30 MB
+CACHE_SIZE = 1 << 18  # pre-tokens in each of a worker's two generations of remembered ones: 80 MB in all
 
-# Characters whose case and class are the same in every version of Unicode that a library may use.
-# A text with any other character is encoded by the library as a whole.
+# Characters whose case and class are the same in every version of Unicode that a library may use,
+# and which composition (NFC) leaves alone. A text with any other character is encoded by the library
+# as a whole.
 _UNSETTLED = regex.compile(r"[^\x00-\x7f\xa0-ɏḀ-ẟ‐-‧‰-›€™]")
 # The split of the vocabulary file, with its white space spelt out.
 _PRETOKEN = regex.compile(
@@ -44,26 +45,28 @@ class Counting:
         self.tokenizer.no_padding()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(map(regex.escape, special)), regex.I) if special else None
-        self.cache: dict[str, int] = {}
+        self.new: dict[str, int] = {}
+        self.old: dict[str, int] = {}
 
     def whole(self, text: str) -> int:
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def length(self, pretoken: str) -> int:
-        """Tier two: the worker's cache, which starts anew when full."""
-        found = self.cache.get(pretoken)
+        """Tier two: the worker's cache; when one generation is full, the one before is dropped."""
+        found = self.new.get(pretoken)
         if found is None:
-            if len(self.cache) >= CACHE_SIZE:
-                self.cache.clear()
-            found = self.cache[pretoken] = self.whole(pretoken)
+            found = self.old.get(pretoken)
+            if found is None:
+                found = self.whole(pretoken)
+            if len(self.new) >= CACHE_SIZE:
+                self.old, self.new = self.new, {}
+            self.new[pretoken] = found
         return found
 
     def split(self, text: str) -> list[str] | None:
         """The pre-tokens; None where only the library may split the text."""
-        if not text.isascii():
-            if _UNSETTLED.search(text):
-                return None
-            text = self.tokenizer.normalizer.normalize_str(text)
+        if not text.isascii() and _UNSETTLED.search(text):
+            return None
         if self.special and self.special.search(text):
             return None
         return _PRETOKEN.findall(text.lower())
