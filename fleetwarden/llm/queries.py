@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetwarden.llm.exact_dedup import exact_dedup
+from fleetwarden.llm.fingerprints import edited_fingerprints
 from fleetwarden.llm.mixing import mix_sources
 from fleetwarden.llm.near_dedup import near_dedup
 from fleetwarden.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from fleetwarden.llm.sentencepiece_nbest import nbest_digests
 from fleetwarden.llm.token_counts import token_counts
 from fleetwarden.llm.toxicity import toxicity
 
@@ -78,3 +80,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts(table(spark, sf_dir, "documents"), path, limit=2048)
+
+
+@query()
+def op2_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return nbest_digests(table(spark, sf_dir, "documents"), path, nbest=3)
+
+
+@query()
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
