@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwarden.llm.common import slices, stored, texts
+from fleetwarden.llm.common import packed, slices, stored, texts
 from fleetwarden.llm.components import components
 from fleetwarden.llm.shingles import mix, shingle_sets
 from fleetwarden.operators.lookup import look_up
@@ -278,3 +278,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = near_classes(rows.filter("doc_id is not null"), threshold)
     unnamed = features(rows.filter("doc_id is null")).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return named.unionByName(unnamed).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD
+) -> DataFrame:
+    """The rows that :func:`near_dedup` keeps, with all their columns: of each group the least id."""
+    kept = near_dedup(docs, id_col, text_col, threshold).filter("kept").select(F.col("doc_id").alias("_kept_id"))
+    rows = packed(docs).withColumn("_id", F.col(f"_row.{id_col}"))
+    return rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept_id")), "left_semi").select("_row.*")

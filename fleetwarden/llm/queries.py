@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from fleetwarden.llm.exact_dedup import exact_dedup
 from fleetwarden.llm.fingerprints import edited_fingerprints
 from fleetwarden.llm.mixing import mix_sources
@@ -91,3 +92,8 @@ def op2_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
