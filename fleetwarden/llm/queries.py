@@ -12,6 +12,7 @@ from fleetwarden.llm.mixing import mix_sources
 from fleetwarden.llm.near_dedup import near_dedup
 from fleetwarden.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from fleetwarden.llm.sentencepiece_nbest import nbest_digests
+from fleetwarden.llm.suffix_dedup import remove_repeats
 from fleetwarden.llm.token_counts import token_counts
 from fleetwarden.llm.toxicity import toxicity
 
@@ -97,3 +98,9 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"), length=400, keep_bytes=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
