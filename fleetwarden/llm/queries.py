@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from fleetwarden.llm.chat import link_tool_calls, turns_as_calls
 from fleetwarden.llm.exact_dedup import exact_dedup
 from fleetwarden.llm.fingerprints import edited_fingerprints
+from fleetwarden.llm.html_wrappers import extract_text
 from fleetwarden.llm.mixing import mix_sources
 from fleetwarden.llm.near_dedup import near_dedup
 from fleetwarden.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
@@ -95,6 +100,61 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op9_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+# What the tools named by the roles of the conversations take.
+TOOLS = {
+    "user": {
+        "type": "object",
+        "properties": {
+            "text": {"type": "string", "minLength": 1},
+            "turn": {"type": "integer", "minimum": 0},
+            "words": {"type": "integer", "minimum": 2},
+        },
+        "required": ["text", "turn", "words"],
+        "additionalProperties": False,
+    },
+    "system": {"type": "object", "properties": {"turn": {"const": 0}}, "required": ["text"]},
+}
+
+
+@query("""
+    with t as (select conv_id::varchar as conv_id, turn as position, role, coalesce(text, '') as text
+      from conversations where conv_id is not null and turn is not null and role is not null),
+    calls as (
+      select conv_id, md5(conv_id || ':' || position) as call_id, min(position) as position, min(role) as name,
+        min(text) as text, len(regexp_extract_all(min(text), '[^ \t\n]+')) as words
+      from t where role <> 'assistant' group by 1, 2),
+    results as (
+      select conv_id, md5(conv_id || ':' || (position - 1)) as call_id, min(text) as content, count(*) as n
+      from t where role = 'assistant' group by 1, 2),
+    linked as (
+      select c.conv_id, c.call_id, c.position, c.name, coalesce(r.n, 0) as n_results,
+        case when c.name not in ('user', 'system') then 1
+          when c.name = 'system' then (c.position <> 0)::int
+          else (length(c.text) < 1)::int + (c.position < 0)::int + (c.words < 2)::int end as n_errors,
+        '{"arguments":{"text":' || to_json(c.text)::varchar || ',"turn":' || c.position || ',"words":' || c.words ||
+        '},"id":"' || c.call_id || '","name":' || to_json(c.name)::varchar || ',"result":' ||
+        coalesce(to_json(r.content)::varchar, 'null') || '}' as message
+      from calls c left join results r using (conv_id, call_id)
+      union all
+      select r.conv_id, r.call_id, null, null, r.n, 1, null
+      from results r anti join calls c using (conv_id, call_id))
+    select conv_id, call_id, position, position as anchor, case when position is not null then 0 end as lift, name,
+      n_results, n_errors, n_errors = 0 and n_results = 1 as valid, sha256(message) as message_sha256 from linked""")
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = turns_as_calls(table(spark, sf_dir, "conversations"))
+    schemas = spark.createDataFrame([(k, json.dumps(v)) for k, v in TOOLS.items()], "name string, schema string")
+    linked = link_tool_calls(calls, results, schemas)
+    return linked.select(
+        "conv_id", "call_id", "position", "anchor", "lift", "name", "n_results", F.size("errors").alias("n_errors"),
+        "valid", F.sha2("message", 256).alias("message_sha256"),
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
