@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
-from importlib.util import find_spec
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,9 +13,6 @@ from pyspark.sql import functions as F
 FILE_NULL = "\\N"
 CLIENT_NULL = "NULL"
 
-# Fixed strings tried one by one; measured, the automaton is faster from about this many on.
-MAX_TRIED_PATTERNS = 32
-
 
 def sql_string(text: str) -> str:
     """``text`` as a Spark SQL string literal."""
@@ -67,35 +62,17 @@ def comment_markup(column_name: Column, comments: Column) -> Column:
 def contains_any(line: Column, patterns: Sequence[str]) -> Column:
     """True where ``line`` holds any of the fixed strings, case-sensitively.
 
-    A short list is tried string by string in the JVM. A longer one is matched in one pass over
-    the text by an automaton inside an Arrow-batched function, so that its cost does not grow with
-    the list; without that package the JVM form serves.
+    The strings are tried one by one. A list that is long, or that lies in a table, is better
+    matched by :func:`fleetwarden.operators.health.log_exclude_table`, with the same result.
     """
     unique = sorted(set(patterns))
     if "" in unique:
         raise ValueError("an empty pattern would match every line")
     if not unique:
         return F.lit(False)
-    if len(unique) > MAX_TRIED_PATTERNS and find_spec("ahocorasick"):
-        return _automaton(unique)(line)
     return F.exists(F.lit(unique), lambda p: F.contains(line, p))
 
 
-def _automaton(patterns: list[str]):
-    @F.pandas_udf("boolean")
-    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        words = ahocorasick.Automaton()
-        for pattern in patterns:
-            words.add_word(pattern, 1)
-        words.make_automaton()
-        for lines in batches:
-            yield lines.map(lambda s: s is not None and next(words.iter(s), None) is not None)
-
-    return holds
-
-
 def record_value(record: Column, key: str) -> Column:
     """Value of a ``Key: value`` line in a multi-line record; NULL where it is absent or NULL."""
     line = rf"(?m)^[ \t]*{key}:[ \t]*([^\n]*?)[ \t]*$"
@@ -106,14 +83,10 @@ def directory(path: Column) -> Column:
     return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
 
-def hex_text(binary: Column) -> Column:
-    """Binary as ``0x…`` text, the form in which an opaque secret is stored."""
-    return F.concat(F.lit("0x"), F.hex(binary))
-
-
 def js_row(*cells: Column) -> Column:
-    """A script array row: text cells quoted, numbers bare, e.g. ``["a",3],``."""
-    return F.concat(F.lit("["), F.concat_ws(",", *cells), F.lit("],"))
+    """A script array row: text cells quoted, numbers bare, NULL as ``null``, e.g. ``["a",3],``."""
+    shown = [F.coalesce(c.cast("string"), F.lit("null")) for c in cells]
+    return F.concat(F.lit("["), F.concat_ws(",", *shown), F.lit("],"))
 
 
 def js_text(c: Column) -> Column:

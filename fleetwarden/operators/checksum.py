@@ -13,24 +13,41 @@ IGNORED_DATABASES = ("mysql",)
 
 
 def row_digest(columns: Sequence[str], method: str = "xxhash64") -> Column:
-    """64-bit (``xxhash64``) or 60-bit (``md5``) digest of a row, telling NULL from empty text.
+    """64-bit (``xxhash64``) or 60-bit (``md5``) digest of a row.
 
-    The columns' values are followed by one 0/1 mark per column that says whether it is NULL.
+    Every value goes in with its length in front, and NULL as a mark of its own, so that different
+    rows never give the same text.
     """
+    def part(c: str) -> Column:
+        value = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+    text = F.concat(*[part(c) for c in columns])
     if method == "xxhash64":
-        marks = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in columns])
-        return F.xxhash64(*columns, marks)
+        return F.xxhash64(text)
     if method != "md5":
         raise ValueError(f"unknown digest {method!r}")
-    values = F.concat_ws("#", *[F.col(c).cast("string") for c in columns])
-    marks = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
-    digest = F.md5(F.concat(values, F.lit("#"), marks))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def chunk_of(table: DataFrame, key: str, chunk_size: int) -> Column:
+    """Chunk of a row: ``chunk_size`` consecutive whole-number keys, rounded down.
+
+    Keys of another type are spread over ``chunk_size`` chunks by a digest. NULL keys are a chunk.
+    """
+    column = F.col(key)
+    if table.schema[key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        return F.when(column.isNotNull(), F.pmod(F.xxhash64(column.cast("string")), F.lit(chunk_size))).cast("bigint")
+    return F.call_function("div", column - F.pmod(column, F.lit(chunk_size)), F.lit(chunk_size))
 
 
-def chunk_of(key: Column, chunk_size: int) -> Column:
-    """Number of the chunk of ``chunk_size`` consecutive whole-number keys, rounded down."""
-    return F.call_function("div", key - F.pmod(key, F.lit(chunk_size)), F.lit(chunk_size))
+def _combined(digest: Column) -> list[Column]:
+    """Count, xor and a sum of the low bits: equal rows cancel in the xor, but not in the sum."""
+    return [
+        F.count("*").alias("row_count"),
+        F.bit_xor(digest).alias("digest"),
+        F.sum(F.pmod(digest, F.lit(1 << 31))).alias("digest_sum"),
+    ]
 
 
 def table_checksum(
@@ -42,15 +59,24 @@ def table_checksum(
 ) -> DataFrame:
     """Rows and combined digest per chunk of ``chunk_size`` consecutive keys.
 
-    Count and xor are reduced map-side: what is shuffled is one row per chunk and task, whatever
-    the share of rows in one chunk.
+    Count, xor and sum are reduced map-side: what is shuffled is one row per chunk and task,
+    whatever the share of rows in one chunk.
     """
-    return table.groupBy(chunk_of(F.col(key), chunk_size).alias("chunk")).agg(
-        F.count("*").alias("row_count"),
-        F.bit_xor(row_digest([key, *columns], method)).alias("digest"),
+    return table.groupBy(chunk_of(table, key, chunk_size).alias("chunk")).agg(
+        *_combined(row_digest([key, *columns], method))
     )
 
 
+def _differing(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Full join of two combined tables by ``key`` (NULL included), without the equal rows."""
+    names = ["row_count", "digest", "digest_sum"]
+    p = left.withColumnsRenamed({key: "_pk"} | {n: f"p_{n}" for n in names})
+    r = right.withColumnsRenamed({key: "_rk"} | {n: f"r_{n}" for n in names})
+    both = p.join(r, F.col("_pk").eqNullSafe(F.col("_rk")), "full_outer")
+    same = reduce(lambda a, b: a & b, [F.col(f"p_{n}").eqNullSafe(F.col(f"r_{n}")) for n in names])
+    return both.filter(~same).withColumn(key, F.coalesce("_pk", "_rk")).drop("_pk", "_rk")
+
+
 def checksum_diff(
     primary: DataFrame,
     replica: DataFrame,
@@ -62,16 +88,10 @@ def checksum_diff(
     """Chunks whose row count or digest differ between primary and replica."""
     left = table_checksum(primary, key, columns, chunk_size, method)
     right = table_checksum(replica, key, columns, chunk_size, method)
-    both = left.select("chunk", F.col("row_count").alias("p_rows"), F.col("digest").alias("p_digest")).join(
-        right.select("chunk", F.col("row_count").alias("r_rows"), F.col("digest").alias("r_digest")),
-        "chunk",
-        "full_outer",
-    )
-    same = F.col("p_rows").eqNullSafe(F.col("r_rows")) & F.col("p_digest").eqNullSafe(F.col("r_digest"))
-    return both.filter(~same).select(
+    return _differing(left, right, "chunk").select(
         "chunk",
-        F.coalesce("p_rows", F.lit(0)).alias("primary_rows"),
-        F.coalesce("r_rows", F.lit(0)).alias("replica_rows"),
+        F.coalesce("p_row_count", F.lit(0)).alias("primary_rows"),
+        F.coalesce("r_row_count", F.lit(0)).alias("replica_rows"),
     )
 
 
@@ -80,21 +100,22 @@ def table_diff(
 ) -> DataFrame:
     """Keys that differ, with missing (on the replica), extra or changed.
 
-    Only rows of differing chunks take part in the join by key.
+    Keys may be repeated, of any type, or NULL: the rows of a key are compared as a whole, in any
+    order. Only rows of differing chunks take part.
     """
-    chunks = checksum_diff(primary, replica, key, columns, chunk_size).select("chunk")
+    chunks = checksum_diff(primary, replica, key, columns, chunk_size).select(F.col("chunk").alias("_chunk"))
 
-    def rows(table: DataFrame, name: str) -> DataFrame:
-        kept = table.withColumn("chunk", chunk_of(F.col(key), chunk_size)).join(chunks, "chunk", "left_semi")
-        return kept.select(key, F.struct(*columns).alias(name), F.lit(True).alias(f"_{name}"))
+    def rows(table: DataFrame) -> DataFrame:
+        own = table.withColumn("_own", chunk_of(table, key, chunk_size))
+        kept = own.join(chunks, F.col("_own").eqNullSafe(F.col("_chunk")), "left_semi")
+        return kept.groupBy(key).agg(*_combined(row_digest([key, *columns])))
 
-    both = rows(primary, "p").join(rows(replica, "r"), key, "full_outer")
     state = (
-        F.when(F.col("_r").isNull(), "missing")
-        .when(F.col("_p").isNull(), "extra")
-        .when(~F.col("p").eqNullSafe(F.col("r")), "changed")
+        F.when(F.col("r_row_count").isNull(), "missing")
+        .when(F.col("p_row_count").isNull(), "extra")
+        .otherwise("changed")
     )
-    return both.select(key, state.alias("state")).filter(F.col("state").isNotNull())
+    return _differing(rows(primary), rows(replica), key).select(key, state.alias("state"))
 
 
 def checksum_tables(

@@ -1,19 +1,16 @@
-"""Ordered text concatenation per key, with very large groups split into numbered parts."""
+"""Ordered text concatenation per key, in parts of bounded size."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetwarden.functions.text import sql_string
 
-# Largest cell built in one task. A key with more text comes out as several rows.
+# Largest cell: what a key holds beyond it goes to further rows.
 MAX_CELL_BYTES = 16 * 1024 * 1024
-# Tasks over which the rows of such keys are sorted; each cuts its share into cells.
-MAX_SORT_TASKS = 10_000
 
 
 def ordered_concat(
@@ -27,54 +24,30 @@ def ordered_concat(
     last: Sequence[str] = (),
     head: Column | None = None,
 ) -> DataFrame:
-    """One row per key holding its texts joined by ``sep`` in ``order``: (keys, part_no, out).
-
-    ``part_no`` is 0 for a key whose text fits ``max_cell_bytes``. Larger keys are never handed
-    to one task: their rows are range-partitioned and sorted by (key, order), each task's run is cut
-    into parts of about half a cell, and the parts in ascending ``part_no`` (gaps allowed), joined
-    by ``sep``, are the whole text.
-    Whether any such key exists is found by a count of bytes per key, which is summed map-side.
-    Columns named in ``last`` come from the last row of the key, or of the part. ``head``, made of
-    the keys, goes once in front of the texts.
+    """Texts of each key joined by ``sep`` in ``order``: (keys, part_no, out).
+
+    One rule for every key: a row goes to the part that half a cell's worth of bytes before it in its
+    key says, so a cell holds ``max_cell_bytes`` at most unless one row alone has more than half of
+    that. Parts are numbered from 0 and, joined by ``sep`` in their order, are the whole text; gaps in
+    the numbers are allowed. The bytes before a row are a running sum, for which a key's rows are
+    sorted once (on disk, if there are many); no task holds more than a cell of them.
+    Columns named in ``last`` come from the last row of the part. ``head``, made of the keys, goes
+    once in front of the texts.
     """
     keys = list(keys)
     # Order columns of their own: listagg sorts by a struct several times slower.
     places = [f"_order{i}" for i in range(len(order))]
     order_columns = [c.alias(name) for c, name in zip(order, places)]
     rows = rows.select(*keys, text.alias("_text"), *order_columns, *last)
-    bytes_of = F.sum(F.octet_length("_text") + len(sep.encode()))
-    sizes = rows.groupBy(*keys).agg(bytes_of.alias("_bytes"), F.count("*").alias("_rows"))
-    large = sizes.filter(F.col("_bytes") > max_cell_bytes)
-    total, count = large.agg(F.sum("_bytes"), F.sum("_rows")).first()
-
+    so_far = Window.partitionBy(*keys).orderBy(*places).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.octet_length("_text") + len(sep.encode())).over(so_far), F.lit(0))
+    part = F.floor(before / F.lit(max(1, max_cell_bytes // 2))).cast("bigint")
     texts = F.expr(f"listagg(_text, {sql_string(sep)}) within group (order by {', '.join(places)})")
+    cell = texts if head is None else F.when(F.col("part_no") == 0, F.concat_ws(sep, head, texts)).otherwise(texts)
     others = [F.max_by(c, F.struct(*places)).alias(c) for c in last]
-    columns = [*keys, "part_no", out, *last]
-
-    def whole(part: DataFrame) -> DataFrame:
-        cell = texts if head is None else F.concat_ws(sep, head, texts)
-        number = F.lit(0).cast("bigint").alias("part_no")
-        cells = part.groupBy(*keys).agg(number, cell.alias(out), *others)
-        return cells.select(*columns)
-
-    if total is None:
-        return whole(rows)
-
-    large = large.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
-    same_key = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    split = rows.join(large, same_key, "left_semi")
-    if head is not None:
-        # A row of its own, ordered before all others as its order is NULL.
-        named = large.select(*[F.col(f"_k_{k}").alias(k) for k in keys])
-        first = named.withColumn("_text", head)
-        for c in (*places, *last):
-            first = first.withColumn(c, F.lit(None).cast(rows.schema[c].dataType))
-        split = split.unionByName(first)
-    tasks = min(MAX_SORT_TASKS, max(2, math.ceil(2 * total / max_cell_bytes)))
-    rows_per_part = max(1, int(max_cell_bytes / 2 / (total / count)))
-    split = split.repartitionByRange(tasks, *keys, *places).sortWithinPartitions(*keys, *places)
-    # Running numbers start anew, far above the last ones, in each task: no part spans two tasks.
-    number = F.floor(F.monotonically_increasing_id() / rows_per_part).cast("bigint")
-    split = split.withColumn("part_no", number)
-    split = split.groupBy(*keys, "part_no").agg(texts.alias(out), *others)
-    return whole(rows.join(large, same_key, "left_anti")).unionByName(split.select(*columns))
+    return (
+        rows.withColumn("part_no", part)
+        .groupBy(*keys, "part_no")
+        .agg(cell.alias(out), *others)
+        .select(*keys, "part_no", out, *last)
+    )

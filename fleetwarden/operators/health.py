@@ -47,8 +47,8 @@ HARMLESS_LOG_MESSAGES = [
     "[Note] Coordinator",
 ]
 
-# Most patterns held on the driver and compiled into the filter; more are matched by a join.
-MAX_FILTER_PATTERNS = 5000
+# Characters of a piece by which long pattern lists are indexed.
+GRAM = 4
 
 
 def _yesterday(backups: DataFrame, as_of: str) -> Column:
@@ -108,9 +108,13 @@ def missing_backups(
 def backup_alert(
     backups: DataFrame, servers: DataFrame, as_of: str, where: Column | None = None
 ) -> DataFrame:
-    """Failed and missing backups of every contact; missing ones have no file and no times."""
+    """Failed and missing backups of every contact; missing ones have no file and no times.
+
+    ``part_no`` orders the rows of a host whose descriptions take several cells.
+    """
     failed = failed_backups(backups, servers, as_of)
-    missing = missing_backups(backups, servers, as_of, where).drop("part_no")
+    missing = missing_backups(backups, servers, as_of, where)
+    failed = failed.withColumn("part_no", F.lit(0).cast("bigint"))
     for name in ("file", "start", "end"):
         missing = missing.withColumn(name, F.lit(None).cast(failed.schema[name].dataType))
     return failed.unionByName(missing)
@@ -129,37 +133,48 @@ def log_exclude(
     return lines.filter(~F.coalesce(contains_any(F.col(line), patterns), F.lit(False)))
 
 
-def log_exclude_table(
-    lines: DataFrame,
-    patterns: DataFrame,
-    ids: Sequence[str],
-    line: str = "line",
-    pattern: str = "pattern",
-    max_filter_patterns: int = MAX_FILTER_PATTERNS,
-) -> DataFrame:
-    """:func:`log_exclude` with the patterns in a table.
+def log_exclude_table(lines: DataFrame, patterns: DataFrame, line: str = "line", pattern: str = "pattern") -> DataFrame:
+    """:func:`log_exclude` with the patterns in a table, for lists of any length.
 
-    Up to ``max_filter_patterns`` they are collected and become the filter. More are matched by a
-    hash join: each line is cut into its pieces of every pattern length that occurs, and pieces
-    are compared for equality, so a piece meets one pattern at most. ``ids`` identify a line.
+    Each pattern is indexed by one of its grams, the one that fewest patterns have; a pattern
+    shorter than a gram is its own. Distinct texts of lines meet the patterns by equality of a gram,
+    and what meets is checked on the whole pattern. Whether a line goes depends on its text alone, so
+    lines need no identifier. An empty pattern matches every line.
     """
-    wanted = patterns.select(F.col(pattern).alias("_piece")).filter(F.col("_piece").isNotNull())
-    wanted = wanted.distinct()
-    head = wanted.limit(max_filter_patterns + 1).collect()
-    if len(head) <= max_filter_patterns:
-        return log_exclude(lines, [r["_piece"] for r in head], line)
-    if wanted.filter(F.col("_piece") == "").limit(1).count():
-        raise ValueError("an empty pattern would match every line")
-    # One number per pattern length that occurs, at most as many as the longest line has characters.
-    lengths = [r[0] for r in wanted.select(F.length("_piece")).distinct().collect()]
-    spans = lines.select(*ids, line, F.explode(F.lit(sorted(lengths))).alias("_n"))
-    spans = spans.filter(F.length(line) >= F.col("_n"))
-    starts = F.explode(F.sequence(F.lit(1), F.length(line) - F.col("_n") + 1)).alias("_at")
-    cut = spans.select(*ids, line, "_n", starts).select(
-        *ids, F.col(line).substr(F.col("_at"), F.col("_n")).alias("_piece")
+    wanted = patterns.select(F.col(pattern).alias("_pattern")).filter(F.col("_pattern").isNotNull()).distinct()
+    grams = wanted.select("_pattern", F.explode(_grams(F.col("_pattern"))).alias("_gram"))
+    shared = grams.groupBy("_gram").agg(F.count("*").alias("_n"))
+    index = (
+        look_up(grams, shared, ["_gram"])
+        .groupBy("_pattern")
+        .agg(F.min(F.struct("_n", "_gram")).alias("_best"))
+        .select("_pattern", F.col("_best._gram").alias("_gram"))
+    )
+    texts = lines.select(F.col(line).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
+    pieces = texts.select("_text", F.explode(_line_grams(F.col("_text"))).alias("_piece"))
+    met = pieces.join(index, F.col("_piece") == F.col("_gram"), "inner")
+    hits = met.filter(F.contains("_text", "_pattern")).select("_text").distinct()
+    return lines.join(hits, F.col(line) == F.col("_text"), "left_anti")
+
+
+def _grams(text: Column) -> Column:
+    """Distinct pieces of GRAM characters; a shorter text is its own piece."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - GRAM + 1, F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(GRAM))))
+
+
+def _line_grams(text: Column) -> Column:
+    """Distinct pieces of GRAM characters and of each shorter length, the empty one included."""
+    return F.array_distinct(
+        F.flatten(
+            F.transform(
+                F.sequence(F.lit(0), F.lit(GRAM)),
+                lambda n: F.transform(
+                    F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: F.substring(text, i, n)
+                ),
+            )
+        )
     )
-    hits = look_up(cut, wanted, ["_piece"], "left_semi").select(*ids).distinct()
-    return lines.join(hits, list(ids), "left_anti")
 
 
 def log_size_alarm(

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import re
-
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +17,13 @@ TOTAL_LABEL = "<b>TOTAL</b>"
 LINE_BREAK = "</br>"
 TOTAL_SORTS_AS = "zzzz"
 PINK_FROM = 10
+# The database's word marks and POSIX classes, and what the JVM calls them.
+WORD_MARKS = {"[[:<:]]": r"\b(?=\w)", "[[:>:]]": r"(?<=\w)\b"}
+POSIX_CLASSES = {
+    "alnum": r"\p{Alnum}", "alpha": r"\p{Alpha}", "blank": r"\p{Blank}", "cntrl": r"\p{Cntrl}",
+    "digit": r"\p{Digit}", "graph": r"\p{Graph}", "lower": r"\p{Lower}", "print": r"\p{Print}",
+    "punct": r"\p{Punct}", "space": r"\s", "upper": r"\p{Upper}", "xdigit": r"\p{XDigit}",
+}
 
 
 def fleet_summary(servers: DataFrame, sessions: DataFrame, contacts: DataFrame) -> DataFrame:
@@ -124,26 +130,33 @@ def dictionary_targets(servers: DataFrame, objects: DataFrame, contacts: DataFra
     )
 
 
-def check_patterns(dictionary: DataFrame, column: str = "name_regexp") -> DataFrame:
-    """Dictionary lines whose pattern does not compile, to be reported before the join.
-
-    Patterns are checked in Python inside the tasks; a Spark regex error would end the query.
-    """
-    patterns = dictionary.select(column).filter(F.col(column).isNotNull()).distinct()
+def jvm_pattern(pattern: Column) -> Column:
+    """A pattern of the database's dialect for the JVM: POSIX classes and word marks."""
+    for mark, form in WORD_MARKS.items():
+        pattern = F.replace(pattern, F.lit(mark), F.lit(form))
+    for name, form in POSIX_CLASSES.items():
+        pattern = F.replace(pattern, F.lit(f"[:{name}:]"), F.lit(form))
+    return pattern
 
-    def bad(batches):
-        for frame in batches:
-            yield frame[[not _compiles(p) for p in frame[column]]]
 
-    return patterns.mapInPandas(bad, f"{column} string")
+def usable_entries(dictionary: DataFrame, column: str = "name_regexp") -> tuple[DataFrame, DataFrame]:
+    """(usable, rejected) entries by whether the JVM takes their pattern; NULL is usable.
 
-
-def _compiles(pattern: str) -> bool:
-    try:
-        re.compile(pattern)
-    except re.error:
-        return False
-    return True
+    Distinct patterns stream through the driver one by one, as only the JVM can tell; those that it
+    rejects are mostly none.
+    """
+    spark = dictionary.sparkSession
+    compile_ = spark._jvm.java.util.regex.Pattern.compile
+    patterns = dictionary.select(column, jvm_pattern(F.col(column)).alias("_form")).filter(F.col(column).isNotNull()).distinct()
+    bad = []
+    for row in patterns.toLocalIterator():
+        try:
+            compile_(row["_form"])
+        except IllegalArgumentException:
+            bad.append((row[column],))
+    faulty = spark.createDataFrame(bad, "_bad string")
+    same = F.col(column) == F.col("_bad")
+    return dictionary.join(faulty, same, "left_anti"), dictionary.join(faulty, same, "left_semi")
 
 
 def plain_head(pattern: Column) -> Column:
@@ -174,12 +187,13 @@ def dictionary_lines(objects: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
     # Most patterns start with plain text; comparing that first spares compiling the pattern.
     entries = entries.withColumn("_head", F.lower(plain_head(F.col("name_regexp"))))
+    entries = entries.withColumn("_form", jvm_pattern(F.col("name_regexp")))
     names = names.withColumn("_lower", F.lower("_table"))
     matched = names.join(
         entries,
         (F.col("_schema") == F.col("_entry_schema"))
         & F.col("_lower").startswith(F.col("_head"))
-        & F.expr("_table rlike concat('(?i)', name_regexp)"),
+        & F.expr("_table rlike concat('(?i)', _form)"),
         "inner",
     ).select("_schema", "_table", "name_regexp", "_undated", "_unmodified")
     # A family of tables collapses to its entry here, before the entry's lines are attached; a

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fleetwarden.functions.times import epoch_seconds, midnight, time_literal
 from fleetwarden.operators.lookup import look_up
 from fleetwarden.operators.reconcile import update_from
+from fleetwarden.session import stored
 
 # Quota, code length, shard width and suffix length, columns that can be enriched.
 MAX_CODES_PER_BATCH = 200_000
@@ -21,9 +22,9 @@ ENRICHABLE = ["regip", "acc_country", "gender", "bday", "regdate", "username", "
 LOG_RETENTION_DAYS, REPORT_RETENTION_DAYS, ARCHIVE_RETENTION_DAYS = 90, 2, 5
 
 SECONDS_PER_DAY = 86_400
-# Codes made beyond the wanted amount, to stand in for any that exist already.
-SPARE_CODES = 8
 CODES_PER_BLOCK = 10_000
+# Most shard folders that a lookup names in its scan; beyond that most are read anyway.
+MAX_NAMED_SHARDS = 10_000
 
 
 # --- cohorts ---------------------------------------------------------------------------------
@@ -102,7 +103,7 @@ def score_batch(
     """
     floor_caps = requests.groupBy("region").agg(F.min("cap").alias("_lowest"))
     high = (
-        scores.join(floor_caps, "region", "inner")
+        look_up(scores, floor_caps, ["region"])
         .filter(F.col(score) >= F.col("_lowest"))
         .select("region", F.col("summoner_id").alias("sum_id"), score)
     )
@@ -139,8 +140,10 @@ def shard_of(uid: Column, width: int = SHARD_WIDTH) -> Column:
 
 
 def shard_suffix(shard: Column) -> Column:
-    """Eight digits; like MySQL's ``lpad`` a longer number is cut to its first eight."""
-    return F.lpad(shard.cast("string"), SHARD_SUFFIX_LENGTH, "0")
+    """Eight digits; a number of more digits is an error, as two shards would share a suffix."""
+    text = shard.cast("string")
+    long = F.raise_error(F.concat(F.lit("no table suffix for shard "), text)).cast("string")
+    return F.when(F.length(text) > SHARD_SUFFIX_LENGTH, long).otherwise(F.lpad(text, SHARD_SUFFIX_LENGTH, "0"))
 
 
 def shard_plan(requested: DataFrame, width: int = SHARD_WIDTH) -> DataFrame:
@@ -166,10 +169,14 @@ def shard_lookup(
 ) -> DataFrame:
     """Profile and account of the requested ids, read from the shards that hold them.
 
-    ``profiles`` and ``accounts`` carry ``shard``. Where they are partitioned by it on disk, the
-    joins on (shard, uid) prune the shards that nobody asked for.
+    ``profiles`` and ``accounts`` carry ``shard``. The shards asked for are listed first and named in
+    the scans, so that tables partitioned by ``shard`` on disk are read only there; a request over
+    more than MAX_NAMED_SHARDS shards reads all of them, with the same result.
     """
     wanted = with_shard(requested.select("uid").distinct(), width)
+    shards = [r[0] for r in wanted.select("shard").distinct().limit(MAX_NAMED_SHARDS + 1).collect()]
+    if len(shards) <= MAX_NAMED_SHARDS:
+        profiles, accounts = (t.filter(F.col("shard").isin(shards)) for t in (profiles, accounts))
     return (
         profiles.join(wanted, ["shard", "uid"], "left_semi")
         .join(accounts.join(wanted, ["shard", "uid"], "left_semi"), ["shard", "uid"], "inner")
@@ -178,9 +185,9 @@ def shard_lookup(
 
 
 def updatable_columns(target: DataFrame, known: Sequence[str] = tuple(ENRICHABLE)) -> list[str]:
-    """The known columns that the target has; an error when there are none."""
-    present = {c.lower() for c in target.columns}
-    found = [c for c in known if c in present]
+    """The known columns that the target has, as it spells them; an error when there are none."""
+    present = {c.lower(): c for c in target.columns}
+    found = [present[c] for c in known if c in present]
     if not found:
         raise ValueError(f"no column to update; at least one of {', '.join(known)} is needed")
     return found
@@ -190,8 +197,10 @@ def enrich_accounts(
     target: DataFrame, info: DataFrame, known: Sequence[str] = tuple(ENRICHABLE)
 ) -> DataFrame:
     """Overwrite the known columns that ``target`` has, for the uids found in ``info``."""
-    columns = [c for c in updatable_columns(target, known) if c in info.columns]
-    return update_from(target, info.select("uid", *columns), ["uid"], columns)
+    given = {c.lower(): c for c in info.columns}
+    columns = [c for c in updatable_columns(target, known) if c.lower() in given]
+    renamed = [F.col(given[c.lower()]).alias(c) for c in columns]
+    return update_from(target, info.select("uid", *renamed), ["uid"], columns)
 
 
 def resolve_uid_by_name(target: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -218,48 +227,95 @@ def quota_check(
     A request is refused when its batch is unknown, or when existing and requested codes together
     exceed ``limit``. Codes are counted per batch before the join.
     """
+    rows = _with_stock(requests, batches, codes)
+    over = F.col("existing") + F.col("amount") > limit
+    return _with_status(rows.withColumn("accepted", F.col("_known") & ~over), limit)
+
+
+def quota_in_order(
+    requests: DataFrame,
+    batches: DataFrame,
+    codes: DataFrame,
+    limit: int = MAX_CODES_PER_BATCH,
+    order: Sequence[str] = ("request_id",),
+) -> DataFrame:
+    """:func:`quota_check` for a whole sheet worked off in ``order``: each request also sees the codes
+    of the accepted ones before it in its batch.
+
+    The requests of a batch pass through one task in order, which keeps a single running number.
+    """
+    rows = _with_stock(requests, batches, codes, order)
+    fields = ["batch_id", *order]
+
+    def fold(frames):
+        current, used = None, 0  # no batch is None here
+        for frame in frames:
+            accepted, seen = [], []
+            for batch, known, existing, amount in zip(frame["batch_id"], frame["_known"], frame["existing"], frame["amount"]):
+                if batch != current:
+                    current, used = batch, existing
+                ok = bool(known) and used + amount <= limit
+                seen.append(used)
+                accepted.append(ok)
+                used += amount if ok else 0
+            yield frame.assign(existing=seen, accepted=accepted)
+
+    dealt = rows.filter(F.col("batch_id").isNotNull()).repartition("batch_id").sortWithinPartitions(*fields)
+    schema = rows.select("*", F.lit(True).alias("accepted")).schema
+    checked = dealt.mapInPandas(fold, schema)
+    nameless = rows.filter(F.col("batch_id").isNull()).withColumn("accepted", F.lit(False))
+    return _with_status(checked.unionByName(nameless), limit)
+
+
+def _with_stock(requests: DataFrame, batches: DataFrame, codes: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Requests with whether their batch is known and how many codes it has."""
     known = batches.select(F.col("id").alias("batch_id")).distinct().withColumn("_known", F.lit(True))
     used = codes.groupBy(F.col("promo_batch_id").alias("batch_id")).agg(F.count("*").alias("_used"))
     rows = look_up(requests, known.join(used, "batch_id", "full_outer"), ["batch_id"])
-    existing = F.coalesce("_used", F.lit(0))
-    unknown = F.col("_known").isNull()
-    over = existing + F.col("amount") > limit
+    rest = [c for c in order if c not in ("request_id", "batch_id", "amount")]
+    return rows.select(
+        "request_id",
+        "batch_id",
+        "amount",
+        *rest,
+        F.coalesce("_used", F.lit(0)).alias("existing"),
+        F.coalesce("_known", F.lit(False)).alias("_known"),
+    )
+
+
+def _with_status(rows: DataFrame, limit: int) -> DataFrame:
+    """The answer that goes back to whoever asked."""
+    existing = F.col("existing").cast("string")
     status = (
-        F.when(unknown, F.concat(F.lit("[Fail] Invalid Bundle ID "), F.col("batch_id").cast("string")))
+        F.when(~F.col("_known"), F.concat(F.lit("[Fail] Invalid Bundle ID "), F.col("batch_id").cast("string")))
         .when(
-            over,
+            ~F.col("accepted"),
             F.concat(
-                F.lit("[Fail] There are "), existing.cast("string"),
+                F.lit("[Fail] There are "), existing,
                 F.lit(" Promo Code(s) existing in bundle "), F.col("batch_id").cast("string"),
                 F.lit(f". Max {limit:,}"),
             ),
         )
         .otherwise("[Success] Promo Codes in the attachment inserted")
     )
-    return rows.select(
-        "request_id", "batch_id", "amount",
-        existing.alias("existing"), (~unknown & ~over).alias("accepted"), status.alias("status"),
-    )
+    return rows.select("request_id", "batch_id", "amount", "existing", "accepted", status.alias("status"))
 
 
 def first_per_batch(requests: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The earliest request of each batch by ``order``; the others wait for the next run.
-
-    :func:`quota_check` compares with stored codes only. Running the requests of one batch one
-    after the other, as a sheet is worked off, keeps them from passing the limit together.
-    """
+    """The earliest request of each batch by ``order``."""
     rest = [c for c in requests.columns if c != "batch_id" and c not in order]
     first = requests.groupBy("batch_id").agg(F.min(F.struct(*order, *rest)).alias("_first"))
     return first.select("batch_id", "_first.*").select(*requests.columns)
 
 
-def code_text(seed: str, request_id: Column, n: Column) -> Column:
-    """16 characters A–Z, 0–9 from a digest of (seed, request, running number).
+def code_text(seed: str, run: str, batch_id: Column, request_id: Column, n: Column) -> Column:
+    """16 characters A–Z, 0–9 from a digest of (seed, run, batch, request, running number).
 
     Each half is the low eight base-36 digits of 60 digest bits. With a secret seed the codes
     cannot be foretold; with a known one a lost task makes the same codes again.
     """
-    digest = F.sha2(F.concat_ws("/", F.lit(seed), request_id.cast("string"), n.cast("string")), 256)
+    parts = [F.lit(seed), F.lit(run), batch_id.cast("string"), request_id.cast("string"), n.cast("string")]
+    digest = F.sha2(F.concat_ws("/", *parts), 256)
 
     def half(start: int) -> Column:
         digits = F.conv(F.substring(digest, start, 15), 16, 36)
@@ -268,49 +324,39 @@ def code_text(seed: str, request_id: Column, n: Column) -> Column:
     return F.concat(half(1), half(16))
 
 
-def generate_codes(
-    requests: DataFrame, existing: DataFrame, seed: str, spare: int = SPARE_CODES
-) -> DataFrame:
-    """``amount`` new codes per request (request_id, batch_id, amount): distinct, none existing.
+def generate_codes(requests: DataFrame, existing: DataFrame, seed: str, run: str = "") -> DataFrame:
+    """Exactly ``amount`` new codes per request (request_id, batch_id, amount): distinct, none existing.
 
-    Up to ``spare`` codes per request are made in excess and replace those that collide with a
-    stored code or with each other.
+    Codes that collide with a stored code or with each other are replaced in further rounds by those
+    of the next numbers, until none is missing. Each round is written to the shared folder.
     """
-    # A request becomes blocks of numbers first, so that a large one is made by many tasks.
-    last_block = F.floor((F.col("amount") + spare - 1) / CODES_PER_BLOCK).cast("bigint")
-    blocks = requests.select(
-        "request_id", "batch_id", "amount",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("_block"),
-    ).repartition(requests.sparkSession.sparkContext.defaultParallelism, "request_id", "_block")
-    start = F.col("_block") * CODES_PER_BLOCK + 1
-    stop = F.least(start + CODES_PER_BLOCK - 1, F.col("amount").cast("bigint") + spare)
-    made = blocks.select(
-        "request_id", "batch_id", "amount", F.explode(F.sequence(start, stop)).alias("n")
-    ).withColumn("code", code_text(seed, F.col("request_id"), F.col("n")))
-    first = made.groupBy("code").agg(F.min(F.struct("request_id", "n", "batch_id", "amount")).alias("r"))
-    fresh = first.select("code", "r.*").join(
-        existing.select(F.col("id").alias("code")), "code", "left_anti"
-    )
-    main = fresh.filter(F.col("n") <= F.col("amount"))
-    wanted = requests.select("request_id", F.col("amount").alias("_amount"))
-    lacking = (
-        wanted.join(main.groupBy("request_id").agg(F.count("*").alias("_got")), "request_id", "left")
-        .select("request_id", (F.col("_amount") - F.coalesce("_got", F.lit(0))).alias("_lack"))
-        .filter(F.col("_lack") > 0)
-    )
-    # At most `spare` rows per request get here, so gathering them per request is bounded.
-    extra = (
-        fresh.filter(F.col("n") > F.col("amount"))
-        .join(lacking, "request_id", "inner")
-        .groupBy("request_id", "batch_id", "_lack")
-        .agg(F.array_sort(F.collect_list(F.struct("n", "code"))).alias("_spares"))
-        .select(
-            "request_id", "batch_id",
-            F.explode(F.slice("_spares", F.lit(1), F.col("_lack").cast("int"))).alias("s"),
+    stock = existing.select(F.col("id").alias("code"))
+    lacking = requests.select("request_id", "batch_id", F.col("amount").cast("bigint").alias("lack"), F.lit(1).cast("bigint").alias("next"))
+    made = None
+    while True:
+        # A request becomes blocks of numbers first, so that a large one is made by many tasks.
+        blocks = lacking.filter("lack > 0").select(
+            "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("lack") - 1) / CODES_PER_BLOCK))).alias("_block")
+        ).repartition(requests.sparkSession.sparkContext.defaultParallelism, "request_id", "_block")
+        start = F.col("next") + F.col("_block") * CODES_PER_BLOCK
+        stop = F.least(start + CODES_PER_BLOCK, F.col("next") + F.col("lack")) - 1
+        numbered = blocks.select("request_id", "batch_id", F.explode(F.sequence(start, stop)).alias("n"))
+        numbered = numbered.withColumn("code", code_text(seed, run, F.col("batch_id"), F.col("request_id"), F.col("n")))
+        first = numbered.groupBy("code").agg(F.min(F.struct("request_id", "n", "batch_id")).alias("r"))
+        fresh = first.select("code", "r.*").join(stock, "code", "left_anti")
+        if made is not None:
+            fresh = fresh.join(made.select("code"), "code", "left_anti")
+        fresh = stored(fresh.select("request_id", "batch_id", "code"), "codes")
+        made = fresh if made is None else made.unionByName(fresh)
+        got = fresh.groupBy("request_id", "batch_id").agg(F.count("*").alias("_got"))
+        on = F.col("request_id").eqNullSafe(F.col("_r")) & F.col("batch_id").eqNullSafe(F.col("_b"))
+        left = lacking.join(got.withColumnsRenamed({"request_id": "_r", "batch_id": "_b"}), on, "left")
+        lack = F.col("lack") - F.coalesce("_got", F.lit(0))
+        lacking = stored(
+            left.select("request_id", "batch_id", lack.alias("lack"), (F.col("next") + F.col("lack")).alias("next")), "codes-lacking"
         )
-        .select("request_id", "batch_id", "s.code")
-    )
-    return main.select("request_id", "batch_id", "code").unionByName(extra)
+        if lacking.filter("lack > 0").isEmpty():
+            return made
 
 
 def code_rows(codes: DataFrame, as_of: str) -> DataFrame:

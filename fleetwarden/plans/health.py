@@ -38,9 +38,9 @@ def missing_backups(t):
 
 
 ALERT = f"""
-    select contact_id, game_id, location, descr, ip, file, start_time, end_time, failure_reason
+    select contact_id, game_id, location, descr, ip, file, start_time, end_time, failure_reason, cast(0 as bigint) as part_no
     from ({FAILED})
-    union all select contact_id, game_id, location, descr, ip, null, null, null, failure_reason
+    union all select contact_id, game_id, location, descr, ip, null, null, null, failure_reason, 0
     from ({MISSING})
 """
 
@@ -103,7 +103,7 @@ def log_exclude(t):
 )
 def log_exclude_table(t):
     lines = _doc_lines(t).select("doc_id", "line_no", "line")
-    return hl.log_exclude_table(lines, t.bench_lines, ["doc_id", "line_no"])
+    return hl.log_exclude_table(lines, t.bench_lines)
 
 
 @query(
@@ -187,11 +187,13 @@ ORDER_COLUMNS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
 
 
 def _checksum_sql(table: str, key: str, columns: list[str]) -> str:
-    values = ", ".join(f"cast({c} as varchar)" for c in [key, *columns])
-    marks = " || ".join(f"case when {c} is null then '1' else '0' end" for c in [key, *columns])
-    digest = f"substr(md5(concat_ws('#', {values}) || '#' || {marks}), 1, 15)"
-    return f"""select cast(floor({key} / 1000) as bigint) as chunk, count(*) as row_count,
-      bit_xor(cast(concat('0x', {digest}) as bigint)) as digest from {table} group by 1"""
+    parts = " || ".join(
+        f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')" for c in [key, *columns]
+    )
+    return f"""select chunk, count(*) as row_count, bit_xor(digest) as digest,
+        cast(sum(digest % 2147483648) as bigint) as digest_sum
+      from (select cast(floor({key} / 1000) as bigint) as chunk,
+        cast(concat('0x', substr(md5({parts}), 1, 15)) as bigint) as digest from {table}) group by 1"""
 
 
 def _diff_sql(primary: str, replica: str, key: str, columns: list[str]) -> str:
@@ -199,7 +201,8 @@ def _diff_sql(primary: str, replica: str, key: str, columns: list[str]) -> str:
       coalesce(r.row_count, 0) as replica_rows
     from ({_checksum_sql(primary, key, columns)}) p
     full outer join ({_checksum_sql(replica, key, columns)}) r on p.chunk = r.chunk
-    where p.row_count is distinct from r.row_count or p.digest is distinct from r.digest"""
+    where p.row_count is distinct from r.row_count or p.digest is distinct from r.digest
+      or p.digest_sum is distinct from r.digest_sum"""
 
 
 @query(_checksum_sql("orders", "o_orderkey", ORDER_COLUMNS))

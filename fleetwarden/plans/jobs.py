@@ -18,7 +18,7 @@ from fleetwarden.operators import collect as col
 from fleetwarden.operators import reconcile as rec
 from fleetwarden.operators import reports as rep
 from fleetwarden.operators import requests as rq
-from fleetwarden.operators.inventory import MYSQL_LIKE
+from fleetwarden.operators.inventory import MYSQL_LIKE, job_filter
 from fleetwarden.sources import readers, sinks
 
 FILE_ORDER = ["file", "line_no"]
@@ -30,21 +30,21 @@ class Snapshot:
 
     keys: tuple[str, ...]
     payload: tuple[str, ...]
-    active_only: bool
+    jobs: tuple[str, ...]
     first_seen: str | None = None
 
 
 SNAPSHOTS = {
     "sessions": Snapshot(
-        ("dbserver_id", "user_name", "user_host"), ("session_count",), False, "creation_date"
+        ("dbserver_id", "user_name", "user_host"), ("session_count",), ("sessions",), "creation_date"
     ),
     "accounts": Snapshot(
-        ("dbserver_id", "user_name", "user_host"),
+        ("dbserver_id", "user_name", "user_host", "part_no"),
         ("password", "max_user_connections", "definition"),
-        True,
+        ("accounts_mysql", "accounts_mssql"),
     ),
-    "objects": Snapshot(("dbserver_id", "dbschema", "name", "type"), ("definition",), True),
-    "backups": Snapshot(("dbserver_id", "file"), ("size", "start", "end"), False),
+    "objects": Snapshot(("dbserver_id", "dbschema", "name", "type"), ("definition",), ("objects_mysql", "objects_mssql")),
+    "backups": Snapshot(("dbserver_id", "file"), ("size", "start", "end"), ("backups",)),
 }
 
 
@@ -58,12 +58,12 @@ def delete_scope(
 ) -> DataFrame:
     """Servers whose rows a run may delete: those of the collected kinds, at the site if given.
 
-    The kind is part of the scope, so that the runs for two kinds at one site do not delete each
-    other's rows.
+    The scope is made from the filters of the jobs that collect: a server that is not collected is
+    not cleared. The kind is part of it, so that the runs for two kinds at one site do not delete
+    each other's rows.
     """
-    where = F.lower("dbtype").isin([k.lower() for k in kinds])
-    if SNAPSHOTS[snapshot].active_only:
-        where &= F.col("active") >= 1
+    collected = reduce(lambda a, b: a | b, [job_filter(job) for job in SNAPSHOTS[snapshot].jobs])
+    where = F.lower("dbtype").isin([k.lower() for k in kinds]) & collected
     site: list[Column] = [
         F.col(name) == value
         for name, value in (("game_id", game_id), ("location", location))
@@ -86,8 +86,12 @@ def store_snapshot(
     run_id: str,
     **options,
 ) -> DataFrame:
-    """Reconcile staged rows with a stored version and write the next one; returns it."""
+    """Reconcile staged rows with a stored version and write the next one; returns it.
+
+    Rows with a NULL key cannot be stored; they go to a folder beside the state, its name with ``-rejected`` added.
+    """
     spark = staged.sparkSession
+    sinks.append_rows(rec.null_key_rows(staged, keys), f"{base.rstrip('/')}-rejected", version + 1)
     rows = rec.stage_dedupe(staged, keys, order)
     current = sinks.read_state(spark, base, version)
     merged = rec.reconcile(current, rows, keys, payload, run_id, **options)
@@ -142,7 +146,7 @@ def collect_accounts(
     protected = None if outcomes is None else rec.protected_servers(outcomes, run_id)
     order = [c for c in FILE_ORDER if c in accounts.columns] or ["password"]
     return store_snapshot(
-        staged, base, version, [*spec.keys, "part_no"], spec.payload, order, run_id,
+        staged, base, version, spec.keys, spec.payload, order, run_id,
         scope=delete_scope(servers, "accounts", kinds, **site), protected=protected,
     )
 
@@ -200,8 +204,13 @@ def collect_backups(
 
 
 def publish_dictionary(objects: DataFrame, dictionary: DataFrame, path: str) -> None:
-    """The data dictionary as report rows, one folder per server and schema."""
-    rows = rep.dictionary_rows(rep.dictionary_report(objects, dictionary))
+    """The data dictionary as report rows, one folder per server and schema.
+
+    Entries whose pattern cannot be used go to a folder beside it, its name with ``-rejected`` added.
+    """
+    entries, rejected = rep.usable_entries(dictionary)
+    rejected.write.mode("overwrite").json(f"{path.rstrip('/')}-rejected")
+    rows = rep.dictionary_rows(rep.dictionary_report(objects, entries))
     ordered = rows.sort("dbserver_id", "dbschema", "name", "part_no")
     ordered.select("dbserver_id", "dbschema", "value").write.mode("overwrite").partitionBy(
         "dbserver_id", "dbschema"
@@ -234,15 +243,15 @@ def issue_codes(
 ) -> DataFrame:
     """Check the quota of code requests, make the codes of the accepted ones, append them.
 
-    Stored codes are ``base/codes`` up to ``version``. At most one request per batch is served in a
-    run (:func:`first_per_batch`). Returns the checked requests with their status.
+    Stored codes are ``base/codes`` up to ``version``. The requests of a batch are served in order,
+    each seeing the codes of those before it. Returns all requests with their status.
     """
     spark = requests.sparkSession
     stored = sinks.read_appended(spark, f"{base}/codes", version)
-    checked = rq.quota_check(rq.first_per_batch(requests, ["request_id"]), batches, stored)
+    checked = rq.quota_in_order(requests, batches, stored)
     sinks.append_rows(checked, f"{base}/checked", version + 1)
     checked = sinks.read_state(spark, f"{base}/checked", version + 1)
-    codes = rq.generate_codes(checked.filter("accepted"), stored, seed)
+    codes = rq.generate_codes(checked.filter("accepted"), stored, seed, run=str(version + 1))
     sinks.append_rows(rq.code_rows(codes, as_of), f"{base}/codes", version + 1)
     return checked
 

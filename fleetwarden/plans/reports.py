@@ -18,15 +18,14 @@ SUMMARY = """
       cast(sum(case when p.n is null then 1 else 0 end) as bigint) as no_sessions,
       cast(sum(case when active <> 1 then 1 else 0 end) as bigint) as inactive
     from servers s join contacts c on s.contact_id = c.id
-    left join (select dbserver_id, sum(session_count) as n from sessions where user_name = 'AF'
-      group by dbserver_id) p on s.id = p.dbserver_id
+    left join (select dbserver_id, sum(session_count) as n from sessions group by dbserver_id) p on s.id = p.dbserver_id
     where active <= 1 group by game_id, location, dbtype, c.name
 """
 SUMMARY_TABLES = "servers contacts sessions"
 
 
 def _summary(t):
-    sessions = col.session_counts(t.processlist).filter("user_name = 'AF'")
+    sessions = col.session_counts(t.processlist)
     return rep.fleet_summary(t.servers, sessions, t.contacts)
 
 
@@ -112,7 +111,7 @@ def report_page(t):
 )
 def alert_rows(t):
     alert = hl.backup_alert(t.backups, t.hosts, AS_OF, job_filter("backup_alert"))
-    return rep.alert_rows(alert.drop("start", "end"))
+    return rep.alert_rows(alert.drop("start", "end", "part_no"))
 
 
 @query(

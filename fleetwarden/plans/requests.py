@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from fleetwarden.operators import requests as rq
 from fleetwarden.plans.registry import query
+from fleetwarden.session import stored
 
 AS_OF = "2001-08-02"
 LOW_DAY = "date_diff('day', date '1970-01-01', date '2001-08-02')"
@@ -169,7 +172,7 @@ def _base36(value: str) -> str:
 
 CODES = f"""
     with made as (select request_id, batch_id, unnest(range(1, amount + 1)) as n from code_orders),
-    hashed as (select request_id, batch_id, sha256('seed/' || request_id || '/' || n) as h from made),
+    hashed as (select request_id, batch_id, sha256('seed//' || batch_id || '/' || request_id || '/' || n) as h from made),
     halves as (select request_id, batch_id, cast(concat('0x', substr(h, 1, 15)) as bigint) as a,
       cast(concat('0x', substr(h, 16, 15)) as bigint) as b from hashed),
     codes as (select request_id, batch_id, {_base36("a")} || {_base36("b")} as code from halves)
@@ -217,3 +220,69 @@ def retained(t):
 )
 def retention_plan(t):
     return rq.retention_plan(t.events, "ts", "2024-01-31", 5)
+
+
+@query(
+    """
+    select * from (with recursive o as (
+      select r.*, b.id is not null as known, coalesce(c.n, 0) as stock,
+        row_number() over (partition by r.batch_id order by r.request_id) as rn
+      from code_requests r left join (select distinct id from code_batches) b on r.batch_id = b.id
+      left join (select promo_batch_id, count(*) as n from stored_codes group by 1) c
+        on r.batch_id = c.promo_batch_id),
+    f as (
+      select *, stock as existing, known and stock + amount <= 100000 as accepted from o where rn = 1
+      union all
+      select o.*, f.existing + case when f.accepted then f.amount else 0 end as existing,
+        o.known and f.existing + case when f.accepted then f.amount else 0 end + o.amount <= 100000 as accepted
+      from f join o on o.batch_id = f.batch_id and o.rn = f.rn + 1)
+    select request_id, batch_id, amount, existing, accepted,
+      case when not known then '[Fail] Invalid Bundle ID ' || batch_id
+           when not accepted then '[Fail] There are ' || existing || ' Promo Code(s) existing in bundle ' ||
+             batch_id || '. Max 100,000'
+           else '[Success] Promo Codes in the attachment inserted' end as status
+    from f)""",
+    "code_requests code_batches stored_codes",
+)
+def quota_in_order(t):
+    return rq.quota_in_order(t.code_requests, t.code_batches, t.stored_codes, limit=100_000)
+
+
+@query("select request_id, batch_id, amount as n_codes, amount as n_new from code_orders", "code_orders")
+def issue_codes(t):
+    """Exact amounts although two thirds of the codes of the same seed are in stock already."""
+    first = rq.generate_codes(t.code_orders, t.code_stock, "seed")
+    stock = first.filter(F.pmod(F.xxhash64("code"), F.lit(3)) != 0).select(F.col("code").alias("id"))
+    codes = rq.generate_codes(t.code_orders, stock, "seed")
+    old = stock.select(F.col("id").alias("code"), F.lit(1).alias("old"))
+    return codes.join(old, "code", "left").groupBy("request_id", "batch_id").agg(
+        F.countDistinct("code").cast("int").alias("n_codes"), F.count(F.when(F.col("old").isNull(), 1)).cast("int").alias("n_new")
+    )
+
+
+@query(
+    """
+    select o_orderkey, e.uid, case when i.uid is not null then i.username else e.username end as "Username",
+      case when i.uid is not null then i.acc_country else e.acc_country end as acc_country
+    from enrich_target e left join account_info i on e.uid = i.uid""",
+    "enrich_target account_info",
+)
+def updatable_columns(t):
+    """Columns are found and updated whatever their case."""
+    return rq.enrich_accounts(t.enrich_target.withColumnRenamed("username", "Username"), t.account_info)
+
+
+@query(
+    """
+    select a.acct_id as uid, s.harassment_score from score_accounts a
+    join scores s on a.sum_id = s.summoner_id where s.harassment_score >= 50 and a.region = s.region""",
+    "score_accounts scores",
+)
+def score_list_two_sources(t):
+    """Scores kept apart from the accounts, as a table of its own in the shared folder."""
+    scores = stored(t.scores.withColumnRenamed("region", "score_region"), "scores")
+    high = rq.score_list(t.score_accounts, scores, 50)
+    own = t.score_accounts.select(F.col("acct_id").alias("uid"), "region", "sum_id")
+    at = scores.select(F.col("summoner_id").alias("sum_id"), "score_region", "harassment_score")
+    same = own.join(at, (F.col("region") == F.col("score_region")) & (own["sum_id"] == at["sum_id"]))
+    return high.join(same.select("uid", "harassment_score").distinct(), ["uid", "harassment_score"], "left_semi")

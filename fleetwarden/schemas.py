@@ -12,7 +12,7 @@ SESSIONS = (
     "creation_date timestamp"
 )
 ACCOUNTS = (
-    "dbserver_id int, user_name string, user_host string, password string, "
+    "dbserver_id int, user_name string, user_host string, part_no bigint, password string, "
     "max_user_connections int, definition string, run_id string"
 )
 BACKUPS = (

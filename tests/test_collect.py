@@ -98,20 +98,35 @@ def test_large_groups_come_in_ordered_parts(spark):
         F.col("id").alias("n"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"),
     )
     data = data.unionByName(spark.sql("select cast(null as bigint) k, 5L n, 'lone' text"))
-    got = ordered_concat(data, ["k"], F.col("text"), [F.col("n")], ";", max_cell_bytes=2000, last=["n"])
-    parts = got.filter("k = -1").orderBy("part_no").collect()
-    assert len(parts) > 5
-    assert max(len(p["definition"]) for p in parts) < 8000
     want = ";".join(f"t{i}" for i in range(0, 9000, 3))
-    assert ";".join(p["definition"] for p in parts) == want
-    assert parts[-1]["n"] == 8997
-    few = ordered_concat(data, ["k"], F.col("text"), [F.col("n")], ";", max_cell_bytes=15000)
-    few = few.filter("k = -1").orderBy("part_no").collect()
-    assert 1 < len(few) < len(parts) and ";".join(p["definition"] for p in few) == want
+    for bound in (2000, 15000):
+        got = ordered_concat(data, ["k"], F.col("text"), [F.col("n")], ";", max_cell_bytes=bound, last=["n"])
+        parts = got.filter("k = -1").orderBy("part_no").collect()
+        assert len(parts) > 1 and max(len(p["definition"]) for p in parts) <= bound
+        assert ";".join(p["definition"] for p in parts) == want and parts[-1]["n"] == 8997
+        assert {r["k"]: r["definition"] for r in got.collect()}[None] == "lone"
     small = ordered_concat(data, ["k"], F.col("text"), [F.col("n")], ";")
     assert small.count() == 52
     assert {r["k"]: r["definition"] for r in small.collect()}[-1] == want
-    assert {r["k"]: r["definition"] for r in got.collect()}[None] == "lone"
+
+
+def test_cells_of_mixed_rows_keep_their_bound(spark):
+    """One key of many small rows beside one of few large ones: no cell exceeds the bound."""
+    data = spark.range(5000).selectExpr("'small' as k", "id as n", "'x' as text")
+    data = data.unionByName(spark.range(20).selectExpr("'large' as k", "id as n", "repeat('y', 500) as text"))
+    got = ordered_concat(data, ["k"], F.col("text"), [F.col("n")], max_cell_bytes=1000, head=F.col("k")).collect()
+    assert max(len(r["definition"]) - len(r["k"]) * (r["part_no"] == 0) for r in got) <= 1000
+    for k, whole in (("small", "small" + "x" * 5000), ("large", "large" + "y" * 10000)):
+        assert "".join(r["definition"] for r in sorted(got, key=lambda r: r["part_no"]) if r["k"] == k) == whole
+
+
+def test_building_starts_no_job(spark):
+    data = spark.range(100).selectExpr("id % 3 as k", "id as n", "'x' as text")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    ordered_concat(data, ["k"], F.col("text"), [F.col("n")])
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_grant_statements(table):

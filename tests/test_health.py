@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetwarden import schemas
-from fleetwarden.functions.text import contains_any
 from fleetwarden.functions.times import log_prefixes
 from fleetwarden.operators import checksum as chk
 from fleetwarden.operators import health as hl
@@ -107,23 +106,25 @@ def test_exclusion_is_by_fixed_string(table):
     assert hl.log_exclude(lines, []).count() == 4
 
 
-def test_all_ways_of_exclusion_agree(spark, table):
+def test_both_ways_of_exclusion_agree(spark, table):
     lines = spark.range(300).select(
         F.col("id"), F.concat(F.lit("é line "), (F.col("id") * 37).cast("string"), F.lit(" end")).alias("line")
     )
-    patterns = [f"{n}7" for n in range(10, 60)] + ["é line 1110 end", "no such text at all"]
-    table_of = table([(p,) for p in patterns], "pattern string")
+    patterns = [f"{n}7" for n in range(10, 60)] + ["é line 1110 end", "no such text at all", "9"]
     texts = {r["id"]: r["line"] for r in lines.collect()}
-    want = sorted(i for i, s in texts.items() if not any(p in s for p in patterns))
-    automaton = hl.log_exclude(lines, patterns)
-    tried = lines.filter(~contains_any(F.col("line"), patterns[:10]))
-    by_filter = hl.log_exclude_table(lines, table_of, ["id"])
-    by_join = hl.log_exclude_table(lines, table_of, ["id"], max_filter_patterns=5)
-    for got in (automaton, by_filter, by_join):
-        assert sorted(r["id"] for r in got.collect()) == want
-    assert sorted(r["id"] for r in tried.collect()) == sorted(
-        i for i, s in texts.items() if not any(p in s for p in patterns[:10])
-    )
+    for some in (patterns[:3], patterns, [f"x{i}y" for i in range(10_000)] + patterns):
+        want = sorted(i for i, s in texts.items() if not any(p in s for p in some))
+        table_of = table([(p,) for p in some] + [(None,)], "pattern string")
+        for got in (hl.log_exclude(lines, some[-60:] if len(some) > 60 else some), hl.log_exclude_table(lines, table_of)):
+            assert sorted(r["id"] for r in got.collect()) == want
+
+
+def test_exclusion_needs_no_identifiers(table):
+    lines = table([(None, "bad x"), (1, "bad"), (1, "good"), (2, "good"), (2, None), (3, ""), (4, "ba")], "id int, line string")
+    patterns = table([("bad",), (None,)], "pattern string")
+    assert rows(hl.log_exclude_table(lines, patterns)) == [(1, "good"), (2, None), (2, "good"), (3, ""), (4, "ba")]
+    assert hl.log_exclude_table(lines, table([("",)], "pattern string")).count() == 1
+    assert hl.log_exclude_table(lines, patterns.limit(0)).count() == 7
 
 
 def test_log_size(table):
@@ -217,6 +218,22 @@ def test_checksum(spark):
     assert rows(chk.table_checksum(negative, "id", ["a"], 2), "chunk", "row_count") == [(-2, 1), (-1, 2)]
 
 
+def test_checksums_are_not_fooled(table):
+    def differ(a, b, key="k", columns=("x", "y"), schema="k int, x string, y string"):
+        a, b = table(a, schema), table(b, schema)
+        found = [chk.checksum_diff(a, b, key, columns, method=m).count() for m in ("md5", "xxhash64")]
+        assert found[0] == found[1]
+        return found[0], rows(chk.table_diff(a, b, key, columns))
+
+    assert differ([(1, "a#b", "c")], [(1, "a", "b#c")]) == (1, [(1, "changed")])
+    assert differ([(1, "A", "")] * 2, [(1, "B", "")] * 2) == (1, [(1, "changed")])
+    assert differ([(1, None, "-")], [(1, "-", None)])[0] == 1
+    assert differ([(1, "a", "b"), (1, "c", "d")], [(1, "c", "d"), (1, "a", "b")]) == (0, [])
+    assert differ([(None, "a", "b"), (2, "x", "y")], [(None, "a", "c"), (2, "x", "y")])[1] == [(None, "changed")]
+    text = dict(columns=("y",), key="x")
+    assert differ([(1, "k1", "a"), (1, "k2", "b")], [(1, "k1", "a"), (1, "k3", "b")], **text)[1] == [("k2", "missing"), ("k3", "extra")]
+
+
 def test_checksum_lists(spark):
     base = spark.range(10).withColumn("a", F.col("id"))
     other = base.filter("id <> 3")

@@ -44,8 +44,7 @@ def test_sessions(spark, table, tmp_path):
 def test_accounts(spark, table, tmp_path):
     servers, *_ = fleet(table)
     base = str(tmp_path / "state")
-    stored = table([(1, "gone", "%", None, 0, "x", "r0", 0), (4, "sa", "%", None, 0, "x", "r0", 0)],
-                   schemas.ACCOUNTS + ", part_no bigint")
+    stored = table([(1, "gone", "%", 0, None, 0, "x", "r0"), (4, "sa", "%", 0, None, 0, "x", "r0")], schemas.ACCOUNTS)
     sinks.write_state(stored, base, 0)
     (tmp_path / "accounts.tsv").write_text("1\tann\t%\tNULL\t0\n1\tbo\th\t0xAB\t3\n")
     (tmp_path / "grants").mkdir()
@@ -74,14 +73,17 @@ def test_objects(spark, table, tmp_path):
 def test_backups(spark, table, tmp_path):
     servers, *_ = fleet(table)
     base = str(tmp_path / "state")
-    stored = [(1, "/b/old.gz", 1, None, None, "COMPLETE", "r0"), (1, "/b/1.gz", 1, None, None, None, "r0")]
+    stored = [(2, "/b/old.gz", 1, None, None, "COMPLETE", "r0"), (2, "/b/1.gz", 1, None, None, None, "r0"),
+              (7, "/b/other.gz", 1, None, None, "COMPLETE", "r0")]
     sinks.write_state(table(stored, schemas.BACKUPS), base, 0)
-    listing = table([(1, "/b/1.gz", 9), (1, "/b/2.gz", 8)], "dbserver_id int, path string, length bigint")
+    listing = table([(2, "/b/1.gz", 9), (2, "/b/2.gz", 8)], "dbserver_id int, path string, length bigint")
     listing = listing.withColumn("modified", F.lit("2024-02-01 00:00:00").cast("timestamp"))
-    logs = table([(1, "/b/x-backup.log", 1, "failed: disk")],
+    logs = table([(2, "/b/x-backup.log", 1, "failed: disk")],
                  "dbserver_id int, log string, line_no int, line string")
     got = jobs.collect_backups(listing, logs, base, 0, RUN, servers)
-    assert rows(got, "file", "size", "status") == [("/b/1.gz", 9, None), ("/b/2.gz", 8, "failed: disk")]
+    assert rows(got, "file", "size", "status") == [
+        ("/b/1.gz", 9, None), ("/b/2.gz", 8, "failed: disk"), ("/b/other.gz", 1, "COMPLETE"),
+    ]
 
 
 def test_reports_are_written_by_owner(spark, table, tmp_path):
@@ -113,10 +115,29 @@ def test_codes_are_issued_within_the_quota(spark, table, tmp_path):
     base = str(tmp_path)
     sinks.append_rows(table([], schemas.CODES), f"{base}/codes", 0)
     schema = "request_id int, batch_id string, amount int"
-    batches = table([("b",)], "id string")
-    first = jobs.issue_codes(table([(1, "b", 150000), (2, "b", 60000)], schema), batches, base, 0, "s", "2024-02-01")
-    assert rows(first, "request_id", "accepted") == [(1, True)]
-    second = jobs.issue_codes(table([(2, "b", 60000)], schema), batches, base, 1, "s", "2024-02-02")
-    assert rows(second, "request_id", "existing", "accepted") == [(2, 150000, False)]
+    batches = table([("a",), ("b",)], "id string")
+    sheet = [(1, "b", 150000), (2, "b", 60000), (3, "b", 50000), (4, "a", 10), (5, "c", 1), (6, "b", 1), (7, None, 1)]
+    first = jobs.issue_codes(table(sheet, schema), batches, base, 0, "s", "2024-02-01")
+    assert rows(first, "request_id", "existing", "accepted") == [
+        (1, 0, True), (2, 150000, False), (3, 150000, True), (4, 0, True), (5, 0, False), (6, 200000, False), (7, 0, False),
+    ]
+    # The same request numbers again, in another run: other codes, and again as many as wanted.
+    second = jobs.issue_codes(table([(4, "a", 100)], schema), batches, base, 1, "s", "2024-02-02")
+    assert rows(second, "request_id", "existing", "accepted") == [(4, 10, True)]
     codes = sinks.read_appended(spark, f"{base}/codes", 2)
-    assert codes.count() == 150000 == codes.select("id").distinct().count()
+    assert codes.count() == 200110 == codes.select("id").distinct().count()
+
+
+def test_active_servers_only_lose_what_is_collected(spark, table, tmp_path):
+    """A server with active = 2 is not collected for accounts, so its accounts stay."""
+    servers, *_ = fleet(table)
+    servers = servers.withColumn("active", F.when(F.col("id") == 1, 2).otherwise(F.col("active")))
+    base = str(tmp_path / "state")
+    sinks.write_state(table([(1, "ann", "%", 0, None, 0, "x", "r0"), (2, "bo", "%", 0, None, 0, "x", "r0")], schemas.ACCOUNTS), base, 0)
+    (tmp_path / "accounts.tsv").write_text("2\tcy\t%\tNULL\t0\n\\N\tlost\t%\tNULL\t0\n")
+    grants = table([], "dbserver_id int, account string, part_no bigint, definition string")
+    accounts = jobs.read_accounts(spark, str(tmp_path / "accounts.tsv"))
+    got = jobs.collect_accounts(accounts, grants, base, 0, RUN, servers)
+    assert rows(got, "dbserver_id", "user_name") == [(1, "ann"), (2, "cy")]
+    # What has no key cannot be stored; it is kept beside the state.
+    assert rows(sinks.read_state(spark, f"{base}-rejected", 1), "user_name") == [("lost",)]

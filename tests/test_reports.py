@@ -4,6 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from fleetwarden import schemas
+from fleetwarden.functions.text import js_row, js_text
 from fleetwarden.operators import reports as rep
 from fleetwarden.sources import sinks
 from tests.conftest import rows
@@ -100,7 +101,23 @@ def test_plain_heads_never_lose_a_match(table):
 def test_bad_patterns_are_found(table):
     _, entries = dictionary(table)
     bad = table([("s", "x", "([", None, None, 1, None, None)], schemas.DICTIONARY)
-    assert rows(rep.check_patterns(entries.unionByName(bad))) == [("([",)]
+    good, rejected = rep.usable_entries(entries.unionByName(bad))
+    assert rows(rejected, "name_regexp") == [("([",)] and good.count() == entries.count()
+
+
+def test_patterns_of_the_databases_dialect(table):
+    patterns = ["^t[[:digit:]]+$", "[[:<:]]log[[:>:]]", "^[[:alpha:]_]+$"]
+    names = table([("t12",), ("a log b",), ("blog",), ("Ab_c",)], "name string")
+    forms = table([(p,) for p in patterns], "p string").select("p", rep.jvm_pattern(F.col("p")).alias("form"))
+    got = names.join(forms, F.expr("name rlike form")).select("p", "name")
+    assert rows(got) == sorted(
+        [(patterns[0], "t12"), (patterns[1], "a log b"), (patterns[2], "Ab_c"), (patterns[2], "blog")]
+    )
+
+
+def test_null_cells_keep_their_place(table):
+    got = table([(None, "x", None)], "a string, b string, c int").select(js_row(js_text(F.col("a")), js_text(F.col("b")), F.col("c")).alias("r"))
+    assert got.first()["r"] == '[null,"x",null],'
 
 
 def test_dictionary_targets(table):

@@ -73,11 +73,13 @@ def test_score_batches(table):
 
 
 def test_shards(table, spark, tmp_path):
-    wanted = table([(999999,), (1000000,), (1000000,), (1500000,), (2 * 10**14,)], "uid bigint")
+    wanted = table([(999999,), (1000000,), (1000000,), (1500000,)], "uid bigint")
     assert rows(rq.shard_plan(wanted)) == [
         (999999, 0, "00000000", True, True), (1000000, 1, "00000001", True, False),
-        (1500000, 1, "00000001", False, True), (2 * 10**14, 2 * 10**8, "20000000", True, True),
+        (1500000, 1, "00000001", False, True),
     ]
+    with pytest.raises(Exception, match="no table suffix"):
+        rq.shard_plan(table([(2 * 10**14,)], "uid bigint")).collect()
     uids = spark.range(0, 5000000, 250000).select(F.col("id").alias("uid"))
     profiles = rq.with_shard(uids.withColumn("regip", F.lit("x")))
     names = rq.with_shard(uids.withColumn("username", F.concat(F.lit("u"), F.col("uid").cast("string"))))
@@ -86,6 +88,10 @@ def test_shards(table, spark, tmp_path):
     read = [spark.read.parquet(str(tmp_path / n)) for n in ("p", "a")]
     got = rq.shard_lookup(wanted, *read)
     assert rows(got, "uid", "username") == [(1000000, "u1000000"), (1500000, "u1500000")]
+    # Only the folders asked for are read, and the plan says so.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(shard") == 2 and plan.count("shard") and " IN (" in plan
+    assert {f.split("shard=")[1].split("/")[0] for f in got.inputFiles()} == {"0", "1"}
 
 
 def test_enrichment(table):
@@ -142,6 +148,11 @@ def test_codes(table):
     taken = codes.filter("request_id = 2").limit(2).select(F.col("code").alias("id"))
     fresh = rq.generate_codes(requests, taken, "secret")
     assert rows(fresh.groupBy("request_id").count()) == [(1, 25000), (2, 3)]
+    # All of them are taken: as many others are made.
+    others = rq.generate_codes(requests, codes.select(F.col("code").alias("id")), "secret")
+    assert rows(others.groupBy("request_id").count()) == [(1, 25000), (2, 3)]
+    assert others.join(codes, "code").count() == 0
+    assert rq.generate_codes(requests, none, "secret", run="2").join(codes, "code").count() == 0
     assert fresh.join(taken, fresh.code == taken.id).count() == 0
     row = rq.code_rows(codes.limit(1), "2024-01-31 10:00:00").collect()[0]
     assert row["account_id"] is None and row["active"] == 1 and str(row["created"]) == "2024-01-31 10:00:00"
