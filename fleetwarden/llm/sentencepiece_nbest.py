@@ -90,24 +90,36 @@ class Pieces:
     def _fallback(self, char: str) -> tuple[int, ...]:
         return tuple(self.byte_ids[b] for b in char.encode()) if self.bytes_known else (self.processor.unk_id(),)
 
-    def search(self, unit: str, nbest: int) -> list[Path]:
-        """The ``nbest`` best segmentations, best first; equal scores in search order."""
+    def _forward(self, unit: str) -> tuple[list[float], list[float], list[int]]:
+        """Viterbi: for each position the best score there, that of the best other last piece, and
+        where the best one's last piece begins."""
         n, get, unknown = len(unit), self.heads.get, self.unknown
-        best = [0.0] + [-np.inf] * n
+        best, other, back = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1), [0] * (n + 1)
         for begin in range(n):
             so_far, end = best[begin], begin + 1
             score = get(unit[begin:end])
-            lone = unknown if score is None or score != score else score
-            if so_far + lone > best[end]:
-                best[end] = so_far + lone
+            way = so_far + (unknown if score is None or score != score else score)
+            if way > best[end]:
+                other[end], best[end], back[end] = best[end], way, begin
+            elif way > other[end]:
+                other[end] = way
             while score is not None and end < n:
                 end += 1
                 score = get(unit[begin:end])
-                if score is not None and so_far + score > best[end]:  # false for NaN
-                    best[end] = so_far + score
+                if score is not None:
+                    way = so_far + score  # NaN, which is never greater, where this is no piece
+                    if way > best[end]:
+                        other[end], best[end], back[end] = best[end], way, begin
+                    elif way > other[end]:
+                        other[end] = way
+        return best, other, back
+
+    def search(self, unit: str, nbest: int) -> list[Path]:
+        """The ``nbest`` best segmentations, best first; equal scores in search order."""
+        best, unknown = self._forward(unit)[0], self.unknown
         arcs, tails, push, pop = self.arcs, self.tails, heapq.heappush, heapq.heappop
         # (-(score behind + best score before), order, position, score behind, piece, what follows)
-        heap: list = [(-best[n], 0, n, 0.0, None, None)]
+        heap: list = [(-best[-1], 0, len(unit), 0.0, None, None)]
         order, found = 0, []
         while heap and len(found) < nbest:
             entry = pop(heap)
@@ -115,44 +127,52 @@ class Pieces:
             if position == 0:
                 ids: list[int] = []
                 while entry[4] is not None:
-                    piece = entry[4]
-                    if isinstance(piece, str):
-                        ids.extend(self._fallback(piece))
-                    else:
-                        ids.append(piece)
+                    ids.extend(self._ids(entry[4]))
                     entry = entry[5]
                 found.append(Path(behind, struct.pack(f"<{len(ids)}i", *ids)))
                 continue
-            begin = position
-            while begin:
-                begin -= 1
+            for begin in range(position - 1, -1, -1):
                 tail = unit[begin:position]
-                arc = arcs.get(tail)
-                if arc is None:
-                    if begin == position - 1:
-                        arc = (unknown, tail)
-                    elif tail in tails:
-                        continue
-                    else:
-                        break
-                order -= 1
-                score = behind + arc[0]
-                push(heap, (-(score + best[begin]), order, begin, score, arc[1], entry))
-                if begin == position - 1 and tail not in tails:
+                known = tail in tails
+                if known or begin == position - 1:
+                    arc = arcs.get(tail)
+                    if arc is not None or begin == position - 1:
+                        order -= 1
+                        score = behind + (unknown if arc is None else arc[0])
+                        push(heap, (-(score + best[begin]), order, begin, score, tail, entry))
+                if not known:
                     break
         return found
 
+    def _ids(self, piece: str) -> tuple[int, ...]:
+        arc = self.arcs.get(piece)
+        return (arc[1],) if arc else self._fallback(piece)
+
     def first(self, unit: str) -> tuple[float, bytes, float]:
         """Score and ids of a unit's best segmentation, and what the second loses on it.
 
+        The second best leaves the best way at some position, seen from the end, by another last
+        piece; so the forward scores alone tell its loss, and only units that matter are searched.
         Remembered: when one generation is full, the one before is dropped.
         """
         found = self.new.get(unit)
         if found is None:
             found = self.old.get(unit)
             if found is None:
-                ways = self.search(unit, min(2, self.nbest))
-                found = (*ways[0], ways[0].score - ways[1].score if len(ways) > 1 else np.inf)
+                best, other, back = self._forward(unit)
+                arcs, ids, loss, at = self.arcs, [], np.inf, len(unit)
+                while at:
+                    if best[at] - other[at] < loss:
+                        loss = best[at] - other[at]
+                    piece = unit[back[at] : at]
+                    arc = arcs.get(piece)
+                    if arc:
+                        ids.append(arc[1])
+                    else:
+                        ids.extend(reversed(self._fallback(piece)))
+                    at = back[at]
+                ids.reverse()
+                found = (best[-1], struct.pack(f"<{len(ids)}i", *ids), loss)
             if len(self.new) >= CACHE_SIZE:
                 self.old, self.new = self.new, {}
             self.new[unit] = found
@@ -168,7 +188,7 @@ class Pieces:
         best = list(map(ids.__getitem__, units))
         found = [Path(total, b"".join(best))]
         spare = self.nbest - 1
-        losses = {u: way[2] for u, way in known.items() if way[2] < np.inf}
+        losses = {u: way[2] for u, way in known.items() if way[2] < np.inf} if spare else {}
         places: list[tuple[float, int]] = []
         for unit in heapq.nsmallest(spare, losses, key=losses.__getitem__):
             at = -1
@@ -178,12 +198,9 @@ class Pieces:
         # (lost on the best path, changes made as (place, ids))
         choices: list[tuple[float, tuple[tuple[int, bytes], ...]]] = [(0.0, ())]
         for _, at in sorted(places)[:spare]:
-            ways = self.search(units[at], self.nbest)
-            more = [
-                (loss + ways[0].score - way.score, (*made, (at, way.ids)))
-                for loss, made in choices
-                for way in ways[1:]
-            ]
+            score, own, _ = known[units[at]]
+            ways = [way for way in self.search(units[at], self.nbest) if way.ids != own][:spare]
+            more = [(loss + score - way.score, (*made, (at, way.ids))) for loss, made in choices for way in ways]
             choices = sorted(choices + more, key=lambda x: x[0])[: self.nbest]
         for loss, made in choices[1:]:
             changed = best.copy()
