@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwarden.session import scratch_dir
+from fleetwarden.session import stored
+
+__all__ = ["packed", "shuffle_partitions", "slices", "stored", "text_bytes", "text_of", "texts", "unpacked"]
 
 
 def text_of(column: str) -> Column:
@@ -31,17 +33,6 @@ def unpacked(rows: DataFrame, name: str = "_row") -> DataFrame:
     return rows.select(f"{name}.*")
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
-    """Write ``rows`` to the shared folder and read them back.
-
-    This cuts the lineage, survives lost executors, and gives Spark the true size, by which it
-    decides on broadcasts.
-    """
-    path = scratch_dir(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -87,10 +87,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         content_digest(text_of(f"_row.{text_col}")).alias("digest"),
     )
     often = rows.groupBy("_id", "digest").agg(F.count(F.lit(1)).alias("_often")).filter("_often > 1")
-    kept = look_up(rows, winners(docs, id_col, text_col, salts), ["digest"])
-    kept = kept.filter(F.col("_id").eqNullSafe(F.col("keep_id")))
-    repeated = often.select(F.col("_id").alias("_twice"), F.col("digest").alias("_of"))
-    same = F.col("_id").eqNullSafe(F.col("_twice")) & (F.col("digest") == F.col("_of"))
-    single = kept.join(repeated, same, "left_anti")
-    many = kept.join(repeated, same, "left_semi").dropDuplicates(["_id", "digest"])
+    often = often.select(F.col("_id").alias("_twice"), F.col("digest").alias("_of"), "_often")
+    # Which winners are repeated is settled on the narrow table, before the texts move.
+    same = F.col("keep_id").eqNullSafe(F.col("_twice")) & (F.col("digest") == F.col("_of"))
+    best = winners(docs, id_col, text_col, salts).join(often, same, "left").select("digest", "keep_id", "_often")
+    kept = look_up(rows, best, ["digest"]).filter(F.col("_id").eqNullSafe(F.col("keep_id")))
+    single = kept.filter("_often is null")
+    many = kept.filter("_often > 1").dropDuplicates(["_id", "digest"])
     return single.unionByName(many).select("_row.*")
