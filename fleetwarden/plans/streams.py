@@ -10,7 +10,6 @@ from fleetwarden.plans.registry import query
 from fleetwarden.plans.requests import AS_OF, LOW_DAY
 from fleetwarden.plans.snapshots import SESSION_KEYS
 from fleetwarden.session import scratch_dir
-from fleetwarden.sources.sinks import read_state
 from fleetwarden.streaming import streams
 
 
@@ -58,36 +57,43 @@ def stream_log_errors(t):
     """
     with s as (select dbserver_id, user_name, user_host, max(session_count) as session_count from (
         select cast(user_id as int) as dbserver_id, event_type as user_name, 'any' as user_host,
-          cast(floor(value * 100) as bigint) as session_count from events) group by 1, 2, 3),
+          cast(floor(value * 100) as bigint) as session_count from events where user_id % 5 <> 0)
+        group by 1, 2, 3),
     c as (select distinct cast(c_custkey as int) as dbserver_id, 'view' as user_name, 'any' as user_host
       from customer)
     select coalesce(c.dbserver_id, s.dbserver_id) as dbserver_id,
       coalesce(c.user_name, s.user_name) as user_name, coalesce(c.user_host, s.user_host) as user_host,
       case when s.dbserver_id is null then 0 else s.session_count end as session_count,
-      case when s.dbserver_id is null then 'none' else 'batch-0' end as run_id
+      case when s.dbserver_id is null then 'none' else 'run-1' end as run_id
     from c full outer join s on c.dbserver_id = s.dbserver_id and c.user_name = s.user_name
       and c.user_host = s.user_host
-    where s.dbserver_id is not null or c.dbserver_id not in (select dbserver_id from scope_servers)""",
-    "scope_servers",
+    where s.dbserver_id is not null or c.dbserver_id not in (select dbserver_id from s)"""
 )
 def stream_snapshot(t):
-    staged = _stream(t, "events").select(
+    """Sessions of one run in several batches; the servers that 5 divides never finish."""
+    folder = scratch_dir(t.spark, "stream-snapshot")
+    rows = t.events.select(
         F.col("user_id").cast("int").alias("dbserver_id"),
         F.col("event_type").alias("user_name"),
         F.lit("any").alias("user_host"),
         F.floor(F.col("value") * 100).cast("bigint").alias("session_count"),
+        F.lit("run-1").alias("run_id"),
+        F.lit(False).alias("complete"),
     ).withColumn("_rank", -F.col("session_count"))
+    marks = rows.filter("dbserver_id % 5 <> 0").select("dbserver_id", "run_id", F.lit(True).alias("complete")).distinct()
+    staged = rows.unionByName(marks, allowMissingColumns=True)
+    # Three files of rows, and the marks in the last of them: one micro-batch each.
+    part = F.when(F.col("complete"), 2).otherwise(F.pmod(F.col("session_count"), F.lit(3)))
+    for k in range(3):
+        staged.filter(part == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = t.spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     initial = t.customer.select(
         F.col("c_custkey").cast("int").alias("dbserver_id"), F.lit("view").alias("user_name"),
         F.lit("any").alias("user_host"), F.lit(0).cast("bigint").alias("session_count"),
         F.lit("none").alias("run_id"),
     )
-    folder = scratch_dir(t.spark, "stream-snapshot")
-    writer = streams.stream_snapshot(
-        staged, f"{folder}/state", initial, SESSION_KEYS, ["session_count"], ["_rank"],
-        scope=t.scope_servers,
-    )
-    return read_state(t.spark, f"{folder}/state", _run(writer, folder) + 1)
+    writer = streams.stream_snapshot(stream, f"{folder}/state", initial, SESSION_KEYS, ["session_count"], ["_rank"])
+    return streams.snapshot_state(t.spark, f"{folder}/state", _run(writer, folder) + 1)
 
 
 @query(

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from fleetwarden.functions.text import contains_any
 from fleetwarden.functions.times import log_time
 from fleetwarden.operators.health import HARMLESS_LOG_MESSAGES
-from fleetwarden.plans.jobs import run_pending, store_snapshot
-from fleetwarden.sources.sinks import append_rows, write_state
+from fleetwarden.operators.lookup import look_up
+from fleetwarden.operators.reconcile import new_state, reconcile, stage_dedupe
+from fleetwarden.plans.jobs import run_pending
+from fleetwarden.sources.sinks import append_rows, read_appended, read_state
+
+_THIS_RUN = "\0this run"  # stands for the run of each server until it is looked up
 
 
 def stream_log_errors(
@@ -46,23 +50,54 @@ def stream_snapshot(
     keys: Sequence[str],
     payload: Sequence[str],
     order: Sequence[str],
+    server: str = "dbserver_id",
+    run_column: str = "run_id",
+    complete: str = "complete",
     **options,
 ) -> DataStreamWriter:
-    """Reconcile each micro-batch of staged rows into the state under ``base``.
-
-    Version 0 is ``initial``; batch n writes version n + 1 from version n, so a batch that is run
-    again gives the same version. ``options`` go to ``reconcile``.
+    """Reconcile staged rows into the state under ``base``, run by run of each server.
+
+    Besides keys, payload and order the stream carries ``run_column`` and ``complete``. Rows of a run
+    may come in any number of micro-batches; they are set aside until a row with ``complete`` true,
+    which holds only server and run, says that the server's collection has ended. Then the server's
+    stored rows are reconciled with the whole run, and only then may rows be deleted. Of several runs
+    that end in one batch the last by name counts. Nothing else is rewritten: each batch adds the rows
+    of the servers it finished, and :func:`snapshot_state` reads each server's latest. A batch that is
+    run again replaces its own folders. ``options`` go to ``reconcile``.
     """
+    keys = list(keys)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        spark, version = batch.sparkSession, batch_id + 1
+        ended = F.coalesce(F.col(complete), F.lit(False))
         if batch_id == 0:
-            write_state(initial, base, 0)
-        run = f"batch-{batch_id}"
-        store_snapshot(batch, base, batch_id, keys, payload, order, run, **options)
+            append_rows(initial, f"{base}/state", 0)
+            append_rows(batch.select(server, run_column).limit(0), f"{base}/done", 0)
+        append_rows(batch.filter(~ended).drop(complete), f"{base}/staged", version)
+        done = batch.filter(ended).groupBy(server).agg(F.max(run_column).alias(run_column))
+        append_rows(done, f"{base}/done", version)
+        done = read_state(spark, f"{base}/done", version)
+        last = done.withColumnRenamed(run_column, "_last")
+        arrived = look_up(read_appended(spark, f"{base}/staged", version), last, [server])
+        rows = stage_dedupe(arrived.filter(F.col(run_column) == F.col("_last")).drop("_last", run_column), keys, order)
+        current = look_up(snapshot_state(spark, base, batch_id, server), done.select(server), [server], "left_semi")
+        merged = new_state(reconcile(current, rows, keys, payload, _THIS_RUN, server=server, run_column=run_column, **options))
+        named = F.when(F.col(run_column) == _THIS_RUN, F.col("_last")).otherwise(F.col(run_column))
+        stored = look_up(merged, last, [server]).withColumn(run_column, named).drop("_last")
+        append_rows(stored.select(*current.columns), f"{base}/state", version)
 
     return staged.writeStream.foreachBatch(merge)
 
 
+def snapshot_state(spark: SparkSession, base: str, up_to: int, server: str = "dbserver_id") -> DataFrame:
+    """The state of :func:`stream_snapshot` after ``up_to`` batches: each server's latest rows."""
+    done = spark.read.parquet(f"{base}/done").filter(F.col("version") <= up_to)
+    latest = done.groupBy(server).agg(F.max("version").alias("_latest"))
+    rows = spark.read.parquet(f"{base}/state").filter(F.col("version") <= up_to)
+    found = look_up(rows, latest, [server])
+    return found.filter(F.col("version") == F.coalesce("_latest", F.lit(0))).drop("version", "_latest")
+
+
 def stream_requests(
     sheet: DataFrame, base: str, ledger: DataFrame, run: Callable[[DataFrame], DataFrame]
 ) -> DataStreamWriter:

@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 from fleetwarden.functions.times import log_time
 from fleetwarden.operators.requests import pending_requests
 from fleetwarden.session import scratch_dir
-from fleetwarden.sources.sinks import read_state
 from fleetwarden.streaming import streams
 from tests.conftest import rows
 
@@ -49,25 +48,35 @@ def test_log_errors_stream(spark, table, tmp_path):
     assert found == [(1, "2024-03-01 09:00:00", 2), (2, "2024-03-01 09:00:00", 1)]
 
 
-def test_snapshot_stream_runs_batch_by_batch(spark, table, tmp_path):
-    folder, schema = str(tmp_path), "dbserver_id int, user_name string, n int, line int"
-    put(table([(1, "a", 1, 1), (1, "a", 9, 2), (1, "b", 2, 3)], schema), folder)
-    staged = source(spark, folder, schema)
-    initial = table([(1, "old", 5, "r0"), (2, "old", 6, "r0")], "dbserver_id int, user_name string, n int, run_id string")
-
-    def write():
-        return streams.stream_snapshot(
-            staged, f"{folder}/state", initial, ["dbserver_id", "user_name"], ["n"], ["line"],
-            scope=table([(1,)], "id int"),
-        )
-
-    run(write(), folder)
-    assert rows(read_state(spark, f"{folder}/state", 1)) == [
-        (1, "a", 1, "batch-0"), (1, "b", 2, "batch-0"), (2, "old", 6, "r0"),
-    ]
-    put(table([(1, "b", 3, 1)], schema), folder)
-    run(write(), folder)
-    assert rows(read_state(spark, f"{folder}/state", 2)) == [(1, "b", 3, "batch-1"), (2, "old", 6, "r0")]
+def test_snapshot_stream_waits_for_the_end_of_a_run(spark, table, tmp_path):
+    folder = str(tmp_path)
+    schema = "dbserver_id int, user_name string, n int, line int, run_id string, complete boolean"
+    initial = table([(1, "old", 5, "r0"), (2, "old", 6, "r0"), (3, "old", 7, "r0")],
+                    "dbserver_id int, user_name string, n int, run_id string")
+
+    def batch(*found):
+        put(table(list(found), schema), folder)
+        staged = source(spark, folder, schema)
+        run(streams.stream_snapshot(staged, f"{folder}/state", initial, ["dbserver_id", "user_name"], ["n"], ["line"]), folder)
+
+    def state(n):
+        return rows(streams.snapshot_state(spark, f"{folder}/state", n))
+
+    start = [(1, "old", 5, "r0"), (2, "old", 6, "r0"), (3, "old", 7, "r0")]
+    # One collection of server 1 in two batches; nothing changes before it has ended.
+    batch((1, "a", 1, 1, "r1", None), (1, "a", 9, 2, "r1", False))
+    assert state(1) == start
+    batch((1, "b", 2, 3, "r1", None), (1, None, None, None, "r1", True), (2, "x", 1, 1, "r1", None))
+    both = [(1, "a", 1, "r1"), (1, "b", 2, "r1"), (2, "old", 6, "r0"), (3, "old", 7, "r0")]
+    assert state(2) == both
+    # A run without rows clears its server; the unfinished run of server 2 ends later.
+    batch((3, None, None, None, "r2", True), (1, "b", 4, 1, "r2", None), (2, "y", 2, 1, "r1", None))
+    assert state(3) == both[:3]
+    batch((2, None, None, None, "r1", True), (1, None, None, None, "r2", True))
+    assert state(4) == [(1, "b", 4, "r2"), (2, "x", 1, "r1"), (2, "y", 2, "r1")]
+    # Only the servers that ended are written.
+    assert spark.read.parquet(f"{folder}/state/state").filter("version = 3").count() == 0
+    assert state(2) == both
 
 
 def test_requests_stream_runs_each_once(spark, table, tmp_path):
