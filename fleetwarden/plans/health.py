@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from fleetwarden.operators import checksum as chk
 from fleetwarden.operators import health as hl
 from fleetwarden.operators.inventory import job_filter, route_to_contacts
+from fleetwarden.plans import health_jobs as hj
 from fleetwarden.plans.registry import query
 from fleetwarden.plans.snapshots import _doc_lines
+from fleetwarden.session import scratch_dir
 
 AS_OF = "1998-07-18"
 
@@ -249,3 +253,91 @@ def checksum_tables(t):
 )
 def table_diff(t):
     return chk.table_diff(t.orders, t.orders_replica, "o_orderkey", ORDER_COLUMNS)
+
+
+def _captured(t, rows, name: str) -> str:
+    """Text files, one folder per server, as a collection leaves them: (dbserver_id, value)."""
+    folder = scratch_dir(t.spark, name)
+    rows.write.partitionBy("dbserver_id").text(folder)
+    return folder
+
+
+JOB_SERVERS = """s as (select id as dbserver_id, contact_id,
+    game_id || '@' || location || '-' || descr || ':' || dbusage as name, dbtype, dbusage, id_master
+  from servers where active = 1)"""
+
+
+@query(
+    f"""
+    with {JOB_SERVERS}, w as (select * from s where dbtype = 'MySQL'),
+    sizes as (select dbserver_id, sum(strlen(line) + 1) as size from log_lines group by 1)
+    select contact_id, w.dbserver_id, name, case when size is null then 'unreachable' else 'oversize' end as problem,
+      cast(size as varchar) as line
+    from w left join sizes using (dbserver_id) where size is null or size >= 600
+    union all select contact_id, dbserver_id, name, 'error', line
+    from log_lines join w using (dbserver_id) join sizes using (dbserver_id)
+    where size < 600 and (starts_with(line, '240115') or starts_with(line, '2024-01-15'))
+      and not (contains(line, '[view]') or contains(line, 'code 6'))""",
+    "servers log_lines",
+)
+def error_log_findings(t):
+    path = _captured(t, t.log_lines.select("dbserver_id", F.col("line").alias("value")), "error-logs")
+    patterns = t.spark.createDataFrame([("[view]",), ("code 6",)], "pattern string")
+    return hj.error_log_findings(t.spark, path, t.servers, "2024-01-16 10:00:00", "day", patterns, max_bytes=600)
+
+
+@query(
+    f"""
+    with {JOB_SERVERS}, w as (select * from s where dbtype in ('MySQL', 'MariaDB')),
+    p as (select *, 1 + abs(cast(substr(table_name, 2) as int)) % 40 as dbserver_id from range_partitions),
+    b as (select dbserver_id, table_schema, table_name, partition_expression,
+        max(try_cast(partition_description as bigint)) as last_bound,
+        bool_or(partition_description = 'MAXVALUE') as is_open
+      from p where partition_name is not null and partition_method = 'RANGE' group by all),
+    d as (select *, case when partition_expression like 'UNIX_TIMESTAMP%' then epoch_ms(last_bound * 1000)
+        when partition_expression like 'TO_DAYS%' then
+          cast(date '1970-01-01' + cast(last_bound - 719528 as int) as timestamp) end as last_bound_time from b)
+    select contact_id, dbserver_id, name, table_schema, table_name, last_bound, last_bound_time
+    from d join w using (dbserver_id) where not is_open and last_bound_time <= timestamp '1998-01-02 00:00:00'""",
+    "servers range_partitions",
+)
+def partition_findings(t):
+    fields = "table_schema table_name partition_name partition_method partition_expression partition_description"
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("\\N")) for c in fields.split()])
+    server = F.expr("1 + abs(cast(substr(table_name, 2) as int)) % 40").alias("dbserver_id")
+    path = _captured(t, t.range_partitions.select(server, line.alias("value")), "partitions")
+    return hj.partition_findings(t.spark, path, t.servers, "1998-01-01")
+
+
+@query(
+    f"""
+    with {JOB_SERVERS}, w as (select * from s where dbtype = 'MariaDB' and id_master is not null),
+    st as (select dbserver_id, 'c' || event_id as channel, nullif(lag, 'NULL') as lag from lags),
+    x as (select *, {LAG_STATE} from st)
+    select contact_id, dbserver_id, name, channel, lag, state from x join w using (dbserver_id) where state <> 'ok'
+    union all select contact_id, dbserver_id, name, null, null, 'error' from w
+    where dbserver_id not in (select dbserver_id from lags)""",
+    "servers lags",
+)
+def replication_findings(t):
+    record = F.concat(F.lit("*************************** 1. row\n Connection_name: "), "channel", F.lit("\n"), "record")
+    path = _captured(t, t.channel_records.select("dbserver_id", record.alias("value")), "replication")
+    return hj.replication_findings(t.spark, path, t.servers, "replication_mariadb")
+
+
+@query(
+    f"""
+    with {JOB_SERVERS}, w as (select * from s where dbtype = 'MSSQL' and lower(dbusage) like '%dist%'),
+    st as (select dbserver_id, split_part(line, ',', 3) || '.' || split_part(line, ',', 5) as channel,
+        split_part(line, ',', 9) as lag from subscription_report
+      where not (starts_with(line, '--') or starts_with(line, 'status,warning,') or
+        contains(line, 'Changed database context'))),
+    x as (select *, {LAG_STATE} from st)
+    select contact_id, dbserver_id, name, channel, lag, state from x join w using (dbserver_id) where state <> 'ok'
+    union all select contact_id, dbserver_id, name, null, null, 'error' from w
+    where dbserver_id not in (select dbserver_id from st)""",
+    "servers subscription_report",
+)
+def subscription_findings(t):
+    path = _captured(t, t.subscription_report.withColumnRenamed("line", "value"), "subscriptions")
+    return hj.replication_findings(t.spark, path, t.servers, "replication_mssql")
