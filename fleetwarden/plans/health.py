@@ -12,13 +12,13 @@ from fleetwarden.plans.registry import query
 from fleetwarden.plans.snapshots import _doc_lines
 from fleetwarden.session import scratch_dir
 
-AS_OF = "1998-07-18"
+AS_OF = "1999-07-04"
 
 FAILED = """
     select h.contact_id, h.game_id, h.location, h.descr, h.ip, b.file, b.start as start_time,
       b."end" as end_time, b.status as failure_reason
     from backups b join hosts h on b.dbserver_id = h.id
-    where b.start >= timestamp '1998-07-17' and b."end" < timestamp '1998-07-18'
+    where b.start >= timestamp '1999-07-03' and b."end" < timestamp '1999-07-04'
       and coalesce(b.status, '') <> 'COMPLETE'
 """
 MISSING = """
@@ -26,7 +26,7 @@ MISSING = """
       'No backups found yesterday' as failure_reason
     from hosts where dbusage like '%bkp%' group by contact_id, game_id, location, ip
     having min(id) not in (select dbserver_id from backups
-      where start >= timestamp '1998-07-17' and start < timestamp '1998-07-18')
+      where start >= timestamp '1999-07-03' and start < timestamp '1999-07-04')
 """
 TIMES = {"start": "start_time", "end": "end_time"}
 

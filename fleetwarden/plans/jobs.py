@@ -18,7 +18,7 @@ from fleetwarden.operators import collect as col
 from fleetwarden.operators import reconcile as rec
 from fleetwarden.operators import reports as rep
 from fleetwarden.operators import requests as rq
-from fleetwarden.operators.inventory import MYSQL_LIKE, job_filter
+from fleetwarden.operators.inventory import MSSQL, MYSQL_LIKE, job_filter
 from fleetwarden.sources import readers, sinks
 
 FILE_ORDER = ["file", "line_no"]
@@ -43,7 +43,7 @@ SNAPSHOTS = {
         ("password", "max_user_connections", "definition"),
         ("accounts_mysql", "accounts_mssql"),
     ),
-    "objects": Snapshot(("dbserver_id", "dbschema", "name", "type"), ("definition",), ("objects_mysql", "objects_mssql")),
+    "objects": Snapshot(("dbserver_id", "dbschema", "name", "type", "part_no"), ("definition",), ("objects_mysql", "objects_mssql")),
     "backups": Snapshot(("dbserver_id", "file"), ("size", "start", "end"), ("backups",)),
 }
 
@@ -175,11 +175,51 @@ def collect_objects(
 ) -> DataFrame:
     """Object definitions of a run, without counters, into the object state."""
     staged = readers.read_tsv(spark, path, schemas.STAGED_OBJECTS, numbered=True)
-    staged = col.normalise_definition(staged)
+    staged = col.normalise_definition(staged).withColumn("part_no", F.lit(0).cast("bigint"))
     scope = delete_scope(servers, "objects", kinds, **site)
     return _store("objects", staged, base, version, run_id, FILE_ORDER, scope, outcomes)
 
 
+def collect_captured_objects(
+    spark: SparkSession,
+    paths: dict[str, str],
+    base: str,
+    version: int,
+    run_id: str,
+    servers: DataFrame,
+    kinds: Sequence[str] = tuple(MYSQL_LIKE),
+    outcomes: DataFrame | None = None,
+    **site,
+) -> DataFrame:
+    """Object definitions of captured catalog output (object type to path) into the object state."""
+    staged = col.object_snapshot({kind: readers.read_catalog(spark, path, kind) for kind, path in paths.items()})
+    staged = staged.withColumn("part_no", F.lit(0).cast("bigint"))
+    scope = delete_scope(servers, "objects", kinds, **site)
+    return _store("objects", staged, base, version, run_id, ["definition"], scope, outcomes)
+
+
+def collect_built_objects(
+    columns: DataFrame,
+    types: DataFrame,
+    key_columns: DataFrame,
+    base: str,
+    version: int,
+    run_id: str,
+    servers: DataFrame,
+    kinds: Sequence[str] = (MSSQL,),
+    outcomes: DataFrame | None = None,
+    **site,
+) -> DataFrame:
+    """Table definitions built from catalog rows (keys dbserver_id, dbschema, object) into the object state.
+
+    A definition larger than a cell is stored as several rows, told apart by ``part_no``.
+    """
+    staged = col.table_ddl(columns, types, key_columns, ["dbserver_id", "dbschema", "object"])
+    staged = staged.withColumnRenamed("object", "name").withColumn("type", F.lit("table"))
+    scope = delete_scope(servers, "objects", kinds, **site)
+    return _store("objects", staged, base, version, run_id, ["definition"], scope, outcomes)
+
+
 def collect_backups(
     listing: DataFrame,
     log_lines: DataFrame,

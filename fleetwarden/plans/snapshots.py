@@ -8,6 +8,7 @@ from fleetwarden.functions.text import client_null
 from fleetwarden.operators import collect as col
 from fleetwarden.operators import reconcile as rec
 from fleetwarden.plans.registry import query
+from fleetwarden.session import scratch_dir
 from fleetwarden.sources import readers
 
 SESSION_KEYS = ["dbserver_id", "user_name", "user_host"]
@@ -166,6 +167,30 @@ def object_snapshot(t):
     )
 
 
+@query(
+    r"""
+    select dbserver_id, dbschema, 'table' as type, name,
+      regexp_replace(definition, ' AUTO_INCREMENT=[0-9]*\b', '') as definition from object_tables
+    union all select dbserver_id, dbschema, 'view', name, definition from object_views
+    union all select dbserver_id, dbschema, 'event', name, definition from object_events
+    union all select dbserver_id, dbschema, 'trigger', name, definition from object_triggers
+    union all select dbserver_id, dbschema, 'procedure', name, definition from object_routines""",
+    "object_tables object_views object_events object_triggers object_routines",
+)
+def captured_objects(t):
+    """The same rows over captured catalog output: one folder of lines per server and object type."""
+    catalogs = {"table": t.object_tables, "view": t.object_views, "event": t.object_events,
+                "trigger": t.object_triggers, "procedure": t.object_routines}
+    read = {}
+    for kind, objects in catalogs.items():
+        fillers = [F.lit("x")] * (readers.DEFINITION_COLUMN[kind] - 2)
+        line = F.concat_ws("\t", "dbschema", "name", *fillers, "definition")
+        folder = scratch_dir(t.spark, f"captured-{kind}")
+        objects.select("dbserver_id", line.alias("value")).write.partitionBy("dbserver_id").text(folder)
+        read[kind] = readers.read_catalog(t.spark, folder, kind)
+    return col.object_snapshot(read)
+
+
 @query(
     r"""
     select doc_id, regexp_replace(replace(text, '. ', ' AUTO_INCREMENT=42 '),

@@ -20,8 +20,8 @@ BACKUPS = (
     "run_id string"
 )
 OBJECTS = (
-    "dbserver_id int, dbschema string, type string, name string, definition string, run_id string, "
-    "creation_date timestamp, modified_date timestamp"
+    "dbserver_id int, dbschema string, type string, name string, part_no bigint, definition string, "
+    "run_id string, creation_date timestamp, modified_date timestamp"
 )
 DICTIONARY = (
     "dbschema string, name string, name_regexp string, column_name string, comments string, "

@@ -16,6 +16,8 @@ from fleetwarden.functions.text import client_null, decode_field
 
 # Fixed value: the mark before each record of vertical client output.
 RECORD_MARK = "*************************** "
+# Where the client's output of each object type holds the definition.
+DEFINITION_COLUMN = {"table": 2, "view": 2, "event": 4, "trigger": 3, "procedure": 3}
 
 
 def _schema(schema: str | T.StructType) -> T.StructType:
@@ -165,6 +167,28 @@ def read_query(
     )
 
 
+def read_catalog(
+    spark: SparkSession, path: str, kind: str, pattern: str = r"dbserver_id=(\d+)"
+) -> DataFrame:
+    """Captured catalog output of one object type as (dbserver_id, dbschema, name, definition).
+
+    Tab-separated lines: the schema, then the client's columns, of which the first is the name and the
+    one of DEFINITION_COLUMN the definition. The server's number is cut from the path.
+    """
+    field = F.split("line", "\t")
+
+    def column(n: int):
+        return decode_field(F.get(field, F.lit(n)))
+
+    server = F.regexp_extract("file", pattern, 1)
+    return read_lines(spark, path).select(
+        F.nullif(server, F.lit("")).cast("int").alias("dbserver_id"),
+        column(0).alias("dbschema"),
+        column(1).alias("name"),
+        column(DEFINITION_COLUMN[kind]).alias("definition"),
+    )
+
+
 def catalog_columns(spark: SparkSession, table: str) -> DataFrame:
     """Columns of a catalog table as (column_name, data_type)."""
     rows = [(c.name, c.dataType) for c in spark.catalog.listColumns(table)]

@@ -65,3 +65,24 @@ def append_rows(rows: DataFrame, path: str, version: int) -> None:
 def read_appended(spark: SparkSession, path: str, up_to: int) -> DataFrame:
     """The rows of all runs up to ``up_to``; folders of later runs are pruned."""
     return spark.read.parquet(path).filter(F.col("version") <= up_to).drop("version")
+
+
+def stored_versions(spark: SparkSession, base: str) -> list[int]:
+    """The versions of a state table that exist, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+    return sorted(int(n.partition("=")[2]) for n in names if n.startswith("version="))
+
+
+def retire_versions(spark: SparkSession, base: str, versions: list[int]) -> list[int]:
+    """Remove the listed versions of a state table, but never the newest one; returns what went.
+
+    The list is the caller's, e.g. all but the last few of :func:`stored_versions`.
+    """
+    kept = stored_versions(spark, base)
+    gone = [v for v in versions if v in kept[:-1]]
+    for version in gone:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(state_path(base, version))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return gone

@@ -70,6 +70,38 @@ def test_objects(spark, table, tmp_path):
     assert rows(got, "name", "definition", "run_id") == [("t", "CREATE TABLE t (\n) x", RUN)]
 
 
+def test_captured_and_built_objects(spark, table, tmp_path):
+    servers, *_ = fleet(table)
+    base = str(tmp_path / "state")
+    sinks.write_state(table([], schemas.OBJECTS), base, 0)
+    for kind, line in (("table", "shop\tt\tCREATE TABLE t AUTO_INCREMENT=9\n"), ("event", "shop\te\tx\tUTC\tCREATE EVENT e\n")):
+        folder = tmp_path / kind / "dbserver_id=1"
+        folder.mkdir(parents=True)
+        (folder / "f.tsv").write_text(line)
+    paths = {k: str(tmp_path / k) for k in ("table", "event")}
+    first = jobs.collect_captured_objects(spark, paths, base, 0, RUN, servers)
+    assert rows(first, "dbserver_id", "dbschema", "type", "name", "definition") == [
+        (1, "shop", "event", "e", "CREATE EVENT e"), (1, "shop", "table", "t", "CREATE TABLE t"),
+    ]
+    columns = table([(4, "db", "u", 1, "id", 56, 4), (4, "db", "u", 2, "v", 56, 8)],
+                    "dbserver_id int, dbschema string, object string, column_id int, name string, user_type_id int, max_length int")
+    types = table([(56, "int")], "user_type_id int, name string")
+    keys = table([(4, "db", "u", 1)], "dbserver_id int, dbschema string, object string, column_id int")
+    second = jobs.collect_built_objects(columns, types, keys, base, 1, RUN, servers)
+    assert rows(second, "dbserver_id", "name", "part_no") == [(1, "e", 0), (1, "t", 0), (4, "u", 0)]
+    assert "id int(4) Primary Key" in dict(rows(second, "name", "definition"))["u"]
+
+
+def test_old_versions_are_retired(spark, table, tmp_path):
+    base = str(tmp_path / "state")
+    for version in range(4):
+        sinks.write_state(table([(version,)], "n int"), base, version)
+    assert sinks.stored_versions(spark, base) == [0, 1, 2, 3]
+    assert sinks.retire_versions(spark, base, [0, 2, 3, 9]) == [0, 2]
+    assert sinks.stored_versions(spark, base) == [1, 3] and rows(sinks.read_state(spark, base, 3)) == [(3,)]
+    assert sinks.stored_versions(spark, str(tmp_path / "none")) == []
+
+
 def test_backups(spark, table, tmp_path):
     servers, *_ = fleet(table)
     base = str(tmp_path / "state")

@@ -65,7 +65,7 @@ DICTIONARY = [
 
 def dictionary(table):
     objects = table(
-        [(*o[:4], None, None, D1, D1) for o in OBJECTS], schemas.OBJECTS
+        [(*o[:4], 0, None, None, D1, D1) for o in OBJECTS], schemas.OBJECTS
     )
     return objects, table(DICTIONARY, schemas.DICTIONARY)
 
