@@ -77,7 +77,7 @@ def _first_runs(rows: DataFrame, length: int) -> DataFrame:
             shared = gram.view(np.int64)
             zeros = np.zeros(len(of), bool)
             yield _batch(
-                [t1, t2, place - bounds[of], place - last, place - first, zeros, shared, shared, c[:, 0], c[:, 1]], _RUN
+                [t1, t2, place - bounds[of], place - last, place - first, zeros, shared, 0 * shared, c[:, 0], c[:, 1]], _RUN
             )
 
     return rows.mapInArrow(run, _RUN)
@@ -119,20 +119,21 @@ def _shorter_runs(texts_: DataFrame, length: int, step: int) -> DataFrame:
 
 def _rerank(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(repeated, open): runs whose windows all occur again, and those that the next round needs."""
-    pick = F.xxhash64("t1", "t2", "place", "low")
-    # Equal covered strings make a class; any one of its runs speaks for it.
-    classes = (
-        runs.withColumn("_pick", pick)
-        .groupBy("c1", "c2")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max("done").alias("done"),
-            *[F.min_by(c, "_pick").alias(c) for c in ("t1", "t2", "place", "low", "high", "s1", "s2")],
-        )
+    # Equal covered strings make a class; any one of its runs speaks for it. They differ in text and
+    # place only, so that the other columns need no row of their own.
+    classes = runs.groupBy("c1", "c2").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("done").alias("done"),
+        F.min("t1").alias("t1"),
+        F.min_by("t2", "t1").alias("t2"),
+        F.min_by("place", "t1").alias("place"),
+        *[F.max(c).alias(c) for c in ("low", "high", "s1", "s2")],
     )
-    classes = stored(classes, "classes")
-    several = classes.groupBy("s1", "s2").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("s1", "s2")
-    open_ = look_up(classes, several, ["s1", "s2"], "left_semi").withColumn("done", F.col("done") | (F.col("n") > 1))
+    several = classes.groupBy("s1", "s2").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    marked = look_up(classes, several.select("s1", "s2", F.lit(True).alias("_open")), ["s1", "s2"])
+    # What is unique is done and not written.
+    classes = stored(marked.filter("n > 1 or _open").drop("s1", "s2"), "classes")
+    open_ = classes.filter("_open").withColumn("done", F.col("done") | (F.col("n") > 1))
     twice = classes.filter("n > 1").select("c1", "c2")
     repeated = look_up(runs.filter("not done"), twice, ["c1", "c2"], "left_semi")
     repeated = repeated.select(*TEXT, (F.col("place") - F.col("high")).alias("first"), (F.col("place") - F.col("low")).alias("last"))
