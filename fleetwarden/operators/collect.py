@@ -152,6 +152,8 @@ def grant_statements(
     db_members: (dbserver_id, database_name, member_uid, member_name, group_name).
     All databases are rows of one table, so there is no loop over them.
     """
+    # The texts of the statements and the names of the steps, as the server and the
+    # stored definitions have them.
     server = ["dbserver_id"]
 
     def rows(df: DataFrame, name: Column, step: Column, statement: Column) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from fleetwarden.operators import requests as rq
 from fleetwarden.plans.registry import query
-from fleetwarden.session import stored
+from fleetwarden.session import scratch_dir, stored
+from fleetwarden.sources import readers, sinks
 
 AS_OF = "2001-08-02"
 LOW_DAY = "date_diff('day', date '1970-01-01', date '2001-08-02')"
@@ -286,3 +287,29 @@ def score_list_two_sources(t):
     at = scores.select(F.col("summoner_id").alias("sum_id"), "score_region", "harassment_score")
     same = own.join(at, (F.col("region") == F.col("score_region")) & (own["sum_id"] == at["sum_id"]))
     return high.join(same.select("uid", "harassment_score").distinct(), ["uid", "harassment_score"], "left_semi")
+
+
+@query("select requested, requester, region, kind from sheet", "sheet")
+def request_sheet(t):
+    """The sheet as a CSV file with a header, every cell with a carriage return at its end."""
+    names = ["requested", "requester", "region", "kind"]
+    folder = scratch_dir(t.spark, "sheet")
+    cells = [F.concat(F.col(c).cast("string"), F.lit("\r")).alias(c) for c in names]
+    t.sheet.select(*cells).write.option("header", "true").csv(folder)
+    return readers.read_sheet(t.spark, folder, names)
+
+
+@query(
+    """
+    select o_orderkey, cast(o_orderdate as varchar) as o_orderdate, o_orderpriority || ', "' || o_orderstatus || '"' as note
+    from orders"""
+)
+def csv_results(t):
+    """Results as CSV, one folder per status, with quotes and separators inside a cell."""
+    folder = scratch_dir(t.spark, "results")
+    note = F.concat("o_orderpriority", F.lit(', "'), "o_orderstatus", F.lit('"'))
+    rows = t.orders.select("o_orderkey", F.col("o_orderdate").cast("string"), note.alias("note"), "o_orderstatus")
+    sinks.write_csv(rows, folder, by="o_orderstatus")
+    schema = "o_orderkey bigint, o_orderdate string, note string, o_orderstatus string"
+    read = t.spark.read.schema(schema).option("header", "true").option("escape", '\\')
+    return read.csv(folder).drop("o_orderstatus")

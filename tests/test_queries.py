@@ -31,8 +31,6 @@ def test_entry(spark):
 def test_no_nested_loops(spark, sf_dir):
     """No query pairs every row with every other."""
     for name, build in QUERIES.items():
-        if name.startswith("stream"):
-            continue
         plan = build(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         for bad in ("BroadcastNestedLoopJoin", "CartesianProduct"):
             assert bad not in plan, (name, bad)
