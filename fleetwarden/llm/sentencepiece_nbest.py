@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from fleetwarden.llm.common import packed, slices, text_of
 
-CACHE_SIZE = 1 << 18  # units in each of a worker's two generations of remembered units: 200 MB in all
+CACHE_SIZE = 1 << 19  # units in each of a worker's two generations of remembered units: 350 MB in all
 SPACE = "▁"
 
 
@@ -51,16 +51,16 @@ class Pieces:
         usual = [i for i in range(sp.get_piece_size()) if not any(f(i) for f in skip)]
         self.arcs: dict[str, tuple[float, int]] = {sp.id_to_piece(i): (sp.get_score(i), i) for i in usual}
         # What some piece begins with, so that a search knows where no longer piece can follow.
-        # NaN: no piece itself. Likewise what some piece ends with, for the way back.
-        nothing = float("nan")
-        self.heads = {p[:i]: nothing for p in self.arcs for i in range(1, len(p))}
-        self.heads.update((p, score) for p, (score, _) in self.arcs.items())
+        # Minus infinity: no piece itself. Likewise what some piece ends with, for the way back.
+        self.heads = {p[:i]: -np.inf for p in self.arcs for i in range(1, len(p))}
         self.tails = {p[i:] for p in self.arcs for i in range(len(p))}
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.bytes_known = all(sp.is_byte(i) for i in self.byte_ids)
         # A character without a piece costs more than any that has one, as in the library.
         # (Scores of -1e9 mark placeholders for runs of spaces.)
         self.unknown = min(s for p, (s, _) in self.arcs.items() if len(p) == 1 and s > -1e8) - 10
+        self.heads.update((p, self.unknown) for p in [h for h in self.heads if len(h) == 1])
+        self.heads.update((p, score) for p, (score, _) in self.arcs.items())
         self.raw = [sp.id_to_piece(i).replace(SPACE, " ").encode() for i in range(sp.get_piece_size())]
         for value, i in enumerate(self.byte_ids if self.bytes_known else []):
             self.raw[i] = bytes([value])
@@ -83,8 +83,9 @@ class Pieces:
         used = set("".join(longer))
         alone = "".join(regex.escape(chr(c)) for c in range(128) if chr(c) not in used)
         glued = {m for p in longer for m in regex.findall(r"(?<=[\p{L}\p{M}])[^\p{L}\p{M}]", p)}
-        letter = "\\p{L}\\p{M}" + "".join(map(regex.escape, sorted(glued)))
-        single = f"[{alone}]|" if alone else ""
+        if glued:  # what follows a letter in some piece may be followed by anything
+            return regex.compile(f"(?s){SPACE}*[^{SPACE}]+|{SPACE}+")
+        letter, single = "\\p{L}\\p{M}", f"[{alone}]|" if alone else ""
         return regex.compile(f"(?s){single}{SPACE}*[^{SPACE}{letter}{alone}]*[{letter}]+|{SPACE}*[^{SPACE}{letter}{alone}]+|{SPACE}+")
 
     def _fallback(self, char: str) -> tuple[int, ...]:
@@ -96,22 +97,18 @@ class Pieces:
         n, get, unknown = len(unit), self.heads.get, self.unknown
         best, other, back = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1), [0] * (n + 1)
         for begin in range(n):
-            so_far, end = best[begin], begin + 1
-            score = get(unit[begin:end])
-            way = so_far + (unknown if score is None or score != score else score)
-            if way > best[end]:
-                other[end], best[end], back[end] = best[end], way, begin
-            elif way > other[end]:
-                other[end] = way
-            while score is not None and end < n:
-                end += 1
+            so_far = best[begin]
+            for end in range(begin + 1, n + 1):
                 score = get(unit[begin:end])
-                if score is not None:
-                    way = so_far + score  # NaN, which is never greater, where this is no piece
-                    if way > best[end]:
-                        other[end], best[end], back[end] = best[end], way, begin
-                    elif way > other[end]:
-                        other[end] = way
+                if score is None:
+                    if end > begin + 1:
+                        break
+                    score = unknown
+                way = so_far + score
+                if way > best[end]:
+                    other[end], best[end], back[end] = best[end], way, begin
+                elif way > other[end]:
+                    other[end] = way
         return best, other, back
 
     def search(self, unit: str, nbest: int) -> list[Path]:
@@ -182,23 +179,32 @@ class Pieces:
         """The N best segmentations of a whole text; equal scores: earlier changes first."""
         units = self.unit.findall(self.processor.normalize(text)) if text else []
         counts = Counter(units)
-        known = dict(zip(counts, map(self.first, counts), strict=True))
-        total = sum(known[u][0] * c for u, c in counts.items())
-        ids = {u: way[1] for u, way in known.items()}
+        spare, total = self.nbest - 1, 0.0
+        ids: dict[str, bytes] = {}
+        cheap: list[tuple[float, int, str]] = []  # the cheapest changes, as a heap of the dearest first
+        worst, get = np.inf if spare else -np.inf, self.new.get
+        for place, (unit, count) in enumerate(counts.items()):
+            score, own, loss = get(unit) or self.first(unit)
+            ids[unit] = own
+            total += score * count
+            if loss < worst:
+                heapq.heappush(cheap, (-loss, -place, unit))
+                if len(cheap) > spare:
+                    heapq.heappop(cheap)
+                if len(cheap) == spare:
+                    worst = -cheap[0][0]
         best = list(map(ids.__getitem__, units))
         found = [Path(total, b"".join(best))]
-        spare = self.nbest - 1
-        losses = {u: way[2] for u, way in known.items() if way[2] < np.inf} if spare else {}
         places: list[tuple[float, int]] = []
-        for unit in heapq.nsmallest(spare, losses, key=losses.__getitem__):
+        for loss, _, unit in cheap:
             at = -1
             for _ in range(min(spare, counts[unit])):
                 at = units.index(unit, at + 1)
-                places.append((losses[unit], at))
+                places.append((-loss, at))
         # (lost on the best path, changes made as (place, ids))
         choices: list[tuple[float, tuple[tuple[int, bytes], ...]]] = [(0.0, ())]
         for _, at in sorted(places)[:spare]:
-            score, own, _ = known[units[at]]
+            score, own, _ = self.first(units[at])
             ways = [way for way in self.search(units[at], self.nbest) if way.ids != own][:spare]
             more = [(loss + score - way.score, (*made, (at, way.ids))) for loss, made in choices for way in ways]
             choices = sorted(choices + more, key=lambda x: x[0])[: self.nbest]
