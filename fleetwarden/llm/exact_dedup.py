@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetwarden.llm.common import packed, text_of, texts
+from fleetwarden.llm.common import packed, stored, text_of, texts
 from fleetwarden.operators.lookup import look_up
 
 SALTS = 16
@@ -87,10 +87,15 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         content_digest(text_of(f"_row.{text_col}")).alias("digest"),
     )
     often = rows.groupBy("_id", "digest").agg(F.count(F.lit(1)).alias("_often")).filter("_often > 1")
-    often = often.select(F.col("_id").alias("_twice"), F.col("digest").alias("_of"), "_often")
+    often = stored(often.select(F.col("_id").alias("_twice"), F.col("digest").alias("_of"), "_often"), "repeated-rows")
+    best = winners(docs, id_col, text_col, salts)
+    if often.isEmpty():
+        # No row is repeated, mostly: one branch is enough, and the texts move once less.
+        kept = look_up(rows, best, ["digest"])
+        return kept.filter(F.col("_id").eqNullSafe(F.col("keep_id"))).select("_row.*")
     # Which winners are repeated is settled on the narrow table, before the texts move.
     same = F.col("keep_id").eqNullSafe(F.col("_twice")) & (F.col("digest") == F.col("_of"))
-    best = winners(docs, id_col, text_col, salts).join(often, same, "left").select("digest", "keep_id", "_often")
+    best = best.join(often, same, "left").select("digest", "keep_id", "_often")
     kept = look_up(rows, best, ["digest"]).filter(F.col("_id").eqNullSafe(F.col("keep_id")))
     single = kept.filter("_often is null")
     many = kept.filter("_often > 1").dropDuplicates(["_id", "digest"])

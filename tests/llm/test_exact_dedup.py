@@ -48,3 +48,5 @@ def test_dropping_keeps_columns(odd, none):
     assert Counter((r.text or "") for r in got) == Counter(set((r.text or "") for r in odd.collect()))
     assert next(r.doc_id for r in got if r.text and r.text.startswith("The quick")) == 2
     assert drop_copies(none).count() == 0
+    alone = odd.dropDuplicates(["doc_id", "text"])
+    assert sorted(map(str, (r.doc_id for r in drop_copies(alone).collect()))) == sorted(map(str, (r.doc_id for r in got)))
