@@ -49,12 +49,18 @@ NO_TEXT = frozenset("p h1 h2 h3 h4 h5 h6".split())
 SCOPES = frozenset("table ul ol dl article section div main body html aside nav header footer form".split())
 # What an article does not include, by element and by word of class, id or role.
 OUTSIDE = frozenset("nav header footer aside form dialog menu button head title".split())
+WHOLE = ("html", "body")  # never left out
 OUTSIDE_WORDS = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "copyright disclaimer discussion disqus footer gdpr header login masthead menu modal nav navbar navigation "
     "newsletter notice notification pagination pager popup promo promoted promotion recommended related replies reply "
     "respond share sharing sidebar signup social sponsor sponsored subscribe subscription teaser toolbar widget".split()
 )
+# Of these, words that also name a page's layout: an article inside shows that they do.
+LAYOUT_WORDS = frozenset(
+    "banner breadcrumb breadcrumbs consent cookie cookies footer header login masthead menu nav navbar navigation "
+    "pagination share sharing sidebar social toolbar widget".split()
+)
 INSIDE = ("article", "main")
 INSIDE_WORDS = frozenset("article articlebody content entry main post story".split())
 
@@ -81,10 +87,16 @@ def _label(name: str, rest: str) -> tuple[str, bool]:
     if "=" in rest:
         for _, *values in _NAMED.findall(rest):
             words += re.findall(r"[a-z]+", "".join(values).lower())
-    outside = name in OUTSIDE or any(w in OUTSIDE_WORDS for w in words)
+    outside = name in OUTSIDE or (name not in WHOLE and any(w in OUTSIDE_WORDS for w in words))
     return ".".join([name, *sorted(set(words))]), outside
 
 
+def _is_layout(node: Node) -> bool:
+    """Whether an element counts as outside for words only that may name a page's layout."""
+    name, *words = node.label.split(".")
+    return name not in OUTSIDE and not any(w in OUTSIDE_WORDS - LAYOUT_WORDS for w in words)
+
+
 def parse(page: str) -> Node:
     """The blocks of a page as a tree. Inline elements and markup without text leave no trace."""
     root = Node("#root")
@@ -145,6 +157,9 @@ def parse(page: str) -> Node:
             if own in SCOPES:
                 break
         node = Node(label, outside)
+        if name in INSIDE and not outside:
+            for above in stack:
+                above.outside = above.outside and not _is_layout(above)
         if len(stack) < DEPTH:
             stack[-1].children.append(node)
             if not token["rest"].rstrip().endswith("/"):

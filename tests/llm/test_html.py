@@ -28,6 +28,9 @@ def alone(page):
         ("<article>a <span class=ad>buy</span> b</article>", "a b"),
         ("<p>unfinished <a href='x", "unfinished <a href='x"),
         ("<x-y>own</x-y>er", "owner"),
+        ("<body class='has-sidebar'><div class='with-sidebar'><article>a</article><div class=sidebar>s</div></div>", "a"),
+        ("<article>a</article><ol class='comment-list'><li><article>b</article></ol>", "a"),
+        ("<main>m<article class='comment'>c</article></main>", "m"),
     ],
 )
 def test_pages_on_their_own(page, text):
