@@ -27,7 +27,6 @@ from fleetwarden.llm.common import packed, text_of, texts
 
 MAX_TOXIC, MAX_ORDINARY = 2_000, 8_000  # labelled texts that a model is fitted on, at most
 MAX_BYTES = 32 << 20  # and their total size
-SUPPORT = 2  # texts that must share a novel fragment
 GRAM = 5  # bytes; a fragment is novel if the reference texts hold none of its grams
 BASE, OWN = 32 << 10, 4 << 10  # bytes of the common and of each separate part
 WINDOW = 64  # bytes of a word compressed at once: longer words make several windows
@@ -193,8 +192,7 @@ def train(toxic: Sequence[str], ordinary: Sequence[str], share: float, cut: floa
     for t in reference + contrast:
         known |= _grams(_spaced(t))
     counts = Counter(f for t in toxic[:half] for f in set(_fragments(_spaced(t), known)))
-    support = SUPPORT if any(c >= SUPPORT for c in counts.values()) else 1
-    samples = [f for f, c in sorted(counts.items()) if c >= support for _ in range(c)]
+    samples = [f for f, c in sorted(counts.items()) for _ in range(c)]
     shuffle.shuffle(samples)
     own = _train(samples, OWN, 16)
     more = [w + b" " for t in contrast for w in windows(t) if len(w) > 4]
