@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden.session import stored
 
-__all__ = ["packed", "shuffle_partitions", "slices", "stored", "text_bytes", "text_of", "texts", "unpacked"]
+__all__ = ["packed", "shuffle_partitions", "slices", "stored", "text_bytes", "text_of", "texts"]
 
 
 def text_of(column: str) -> Column:
@@ -29,10 +29,6 @@ def packed(rows: DataFrame, name: str = "_row") -> DataFrame:
     return rows.select(F.struct(*[rows[c] for c in rows.columns]).alias(name))
 
 
-def unpacked(rows: DataFrame, name: str = "_row") -> DataFrame:
-    return rows.select(f"{name}.*")
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from fleetwarden.llm import fingerprints as fp
 from tests.llm.test_near_dedup import plain_set
@@ -33,6 +34,19 @@ def test_few_rows(spark):
         check(spark, [(7 * i, f"one two three four five six seven {i}") for i in range(n)])
 
 
+@pytest.mark.parametrize("partitions", ["1", "3", "61"])
+def test_any_number_of_ranges(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        generator = random.Random(5)
+        # Most ids are crowded, some are far away.
+        ids = [*range(50), *(10**12 + 7**k for k in range(12)), -(10**15)]
+        check(spark, [(i, " ".join(generator.choice("ab cd ef gh".split()) for _ in range(generator.randrange(30)))) for i in ids])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_large_sets_are_estimated(spark):
     generator = random.Random(2)
     check(spark, [(i, " ".join(f"w{generator.randrange(99999)}" for _ in range(3000))) for i in range(6)])
