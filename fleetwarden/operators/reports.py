@@ -17,6 +17,8 @@ TOTAL_LABEL = "<b>TOTAL</b>"
 LINE_BREAK = "</br>"
 TOTAL_SORTS_AS = "zzzz"
 PINK_FROM = 10
+# Characters in front of a name by which dictionary patterns are joined.
+HEAD = 3
 # The database's word marks and POSIX classes, and what the JVM calls them.
 WORD_MARKS = {"[[:<:]]": r"\b(?=\w)", "[[:>:]]": r"(?<=\w)\b"}
 POSIX_CLASSES = {
@@ -189,12 +191,14 @@ def dictionary_lines(objects: DataFrame, dictionary: DataFrame) -> DataFrame:
     entries = entries.withColumn("_head", F.lower(plain_head(F.col("name_regexp"))))
     entries = entries.withColumn("_form", jvm_pattern(F.col("name_regexp")))
     names = names.withColumn("_lower", F.lower("_table"))
-    matched = names.join(
-        entries,
-        (F.col("_schema") == F.col("_entry_schema"))
-        & F.col("_lower").startswith(F.col("_head"))
-        & F.expr("_table rlike concat('(?i)', _form)"),
-        "inner",
+    same_schema = F.col("_schema") == F.col("_entry_schema")
+    fits = F.col("_lower").startswith(F.col("_head")) & F.expr("_table rlike concat('(?i)', _form)")
+    # A pattern with plain text in front meets only the names that begin like it, so that a schema of
+    # very many names and patterns is not paired as a whole; the few others meet all names.
+    begins = F.substring("_lower", 1, HEAD) == F.substring("_head", 1, HEAD)
+    plain = F.length("_head") >= HEAD
+    matched = names.join(entries.filter(plain), same_schema & begins & fits, "inner").unionByName(
+        names.join(entries.filter(~plain), same_schema & fits, "inner")
     ).select("_schema", "_table", "name_regexp", "_undated", "_unmodified")
     # A family of tables collapses to its entry here, before the entry's lines are attached; a
     # table's own name and dates are carried on only where the report shows them.
