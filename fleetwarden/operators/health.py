@@ -18,7 +18,7 @@ from fleetwarden.operators.lookup import look_up
 REPLICATION_MAX_LAG = 18000
 ERROR_LOG_MAX_BYTES = 15 * 1024**3
 MISSING_BACKUP_TEXT = "No backups found yesterday"
-REPORT_NOISE = "^--|^status,warning,|Changed database context"
+REPORT_RULE, REPORT_HEADER, REPORT_CONTEXT = "--", "status,warning,", "Changed database context"
 PARTITION_SYSTEM_SCHEMAS = ["information_schema", "performance_schema", "mysql", "test"]
 MAXVALUE = "MAXVALUE"
 
@@ -282,8 +282,9 @@ def replication_subscriptions(
     status, subscriber, database, latency, last synchronisation and agent.
     """
     text = F.col(line)
-    rows = report.filter(~text.rlike(REPORT_NOISE))
-    field = F.split(text, ",")
+    noise = text.startswith(REPORT_RULE) | text.startswith(REPORT_HEADER) | text.contains(REPORT_CONTEXT)
+    rows = report.filter(~noise)
+    field = F.split(text, ",", 17)  # the last field needed is the 16th
     places = {
         "status": 1, "subscriber": 3, "publisher_db": 5, "lag": 9, "last_sync": 15, "agent": 16,
     }
