@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from fleetwarden.llm.common import packed, slices, text_of
 
-CACHE_SIZE = 1 << 19  # units in each of a worker's two generations of remembered units: 350 MB in all
+CACHE_SIZE = 1 << 18  # units in each of a worker's two generations of remembered units: 180 MB in all
 SPACE = "▁"
 
 
