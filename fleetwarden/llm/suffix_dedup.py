@@ -89,7 +89,8 @@ def _shorter_runs(texts_: DataFrame, length: int, step: int) -> DataFrame:
     ``texts_`` has t1, t2, text and the array ``runs``. The shared string is that of the whole cell of
     the grid, so that it compares between texts. A cell at the end of a run is not covered by it: the
     rest is another run's, and would be counted twice. It gets a rank of its own and so goes on, unless
-    what it shares is unique.
+    what it shares is unique. The rest may be a run of the same place, where a block of a very long text
+    ends: the rank names the windows too.
     """
     fields = ["place", "low", "high", "done"]
 
@@ -104,11 +105,12 @@ def _shorter_runs(texts_: DataFrame, length: int, step: int) -> DataFrame:
                     for cell in range(low // step * step, high + 1, step):
                         far = cell + step - 1  # the first window of the cell starts at place - far
                         shared = _rank(view[begin + place - cell : begin + place - far + length])
-                        if low <= cell and far <= high:
+                        least, most = max(low, cell), min(high, far)
+                        if (least, most) == (cell, far):
                             cover = _rank(view[begin + place - far : begin + place - cell + length])
                         else:
-                            cover = _rank(memoryview(f"{t1s[i]} {t2s[i]} {place} {cell}".encode()))
-                        out.append((t1s[i], t2s[i], place, max(low, cell), min(high, far), done, *shared, *cover))
+                            cover = _rank(memoryview(f"{t1s[i]} {t2s[i]} {place} {least} {most}".encode()))
+                        out.append((t1s[i], t2s[i], place, least, most, done, *shared, *cover))
                         if len(out) >= 1 << 16:
                             yield _columns(out, _RUN)
                             out = []

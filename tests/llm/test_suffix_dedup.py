@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from fleetwarden.llm import positions
+from fleetwarden.llm import positions, suffix_dedup
 from fleetwarden.llm.suffix_dedup import merged, remove_repeats
 
 
@@ -82,6 +82,33 @@ def test_long_texts_are_cut_into_blocks(spark, monkeypatch):
     assert by_window(whole) == by_window(cut) and len(by_window(cut)) == len(flat) - 63
 
 
+def test_windows_on_both_sides_of_a_block_end(spark, monkeypatch):
+    def small_blocks(flat, bounds, length):  # set where it runs: workers import the module anew
+        from fleetwarden.llm import positions as own
+
+        before, own.BLOCK = own.BLOCK, 300
+        try:
+            return own.sampled(flat, bounds, length)
+        finally:
+            own.BLOCK = before
+
+    monkeypatch.setattr(suffix_dedup, "sampled", small_blocks)
+    generator = random.Random(5)
+    part = noise(generator, 500)
+    texts = [noise(generator, 6000), noise(generator, 700) + part + noise(generator, 900) + part[90:], part[:333]]
+    check(spark, [*texts, texts[1], noise(generator, 41) + texts[1]], 64)
+
+
+def test_a_text_over_two_blocks(spark):
+    generator = random.Random(6)
+    size, at = (9 << 18) + 77, positions.BLOCK - 300
+    text = noise(generator, size, "abcdefghijklmnop ")
+    rows = [(1, text), (2, "#" + text[at : at + 700] + "#")]
+    got = {r.doc_id: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [tuple(s) for s in got[1].spans] == [(at, at + 700)] and got[1].n_removed == 700
+    assert [tuple(s) for s in got[2].spans] == [(1, 701)] and bytes(got[2].kept) == b"##"
+
+
 def test_equal_windows_have_equal_places():
     generator = random.Random(4)
     shared = noise(generator, 500)
