@@ -214,12 +214,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """A model from the labelled rows that are not held out.
 
     Fitted on the driver, on MAX_TOXIC and MAX_ORDINARY rows at most, chosen by a hash of the id, and
-    MAX_BYTES of text at most; NULL labels are left out. None without labels of both kinds.
+    MAX_BYTES of text at most; NULL labels and those of ids that ``docs`` lacks are left out. Of an id's
+    texts the least counts. None without labels of both kinds.
     """
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic"))
     known = known.filter("_toxic is not null and _id is not null").filter(~held_out(F.col("_id")))
     known = known.groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
+    rows = texts(docs, id_col, text_col)
+    known = known.join(rows.select(F.col("doc_id").alias("_id")).distinct(), "_id", "left_semi")
     counts = {r["_toxic"]: r["count"] for r in known.groupBy("_toxic").count().collect()}
     if not counts.get(0) or not counts.get(1):
         return None
@@ -229,14 +232,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for kind, most in ((1, MAX_TOXIC), (0, MAX_ORDINARY))
         for r in known.filter(F.col("_toxic") == kind).orderBy(mix, "_id").limit(most).collect()
     ]
-    rows = texts(docs, id_col, text_col)
 
     def chosen(keys: list[tuple[int, int]]) -> DataFrame:
         # Bounded by the parameters above, whatever the size of the tables.
         small = spark.createDataFrame(keys, "_id bigint, _toxic int")
-        return rows.join(F.broadcast(small), F.col("doc_id") == F.col("_id"))
+        found = rows.join(F.broadcast(small), F.col("doc_id") == F.col("_id"))
+        return found.groupBy("_id", "_toxic").agg(F.min("text").alias("text"))
 
-    sizes = {r["_id"]: r["n"] for r in chosen(ids).groupBy("_id").agg(F.max(F.octet_length("text")).alias("n")).collect()}
+    sizes = {r["_id"]: r["n"] for r in chosen(ids).select("_id", F.octet_length("text").alias("n")).collect()}
     kept, room = [], {1: MAX_BYTES // 3, 0: MAX_BYTES - MAX_BYTES // 3}
     for id_, kind in ids:
         if id_ in sizes and sizes[id_] <= room[kind]:

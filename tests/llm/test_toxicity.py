@@ -86,6 +86,30 @@ def test_held_out_labels_are_never_learnt(tables):
     assert sorted(without) == sorted(got)
 
 
+def learnt(monkeypatch, docs, labels):
+    """The (toxic, ordinary) texts that a model is fitted on."""
+    monkeypatch.setattr(tox, "train", lambda toxic, ordinary, share: (sorted(toxic), sorted(ordinary)))
+    return tox.fit(docs, labels)
+
+
+def test_a_repeated_id_gives_one_text(tables, monkeypatch):
+    docs, labels = tables
+    more = docs.sparkSession.range(300).select(F.lit(4).cast("bigint").alias("doc_id"), F.concat(F.lit("~"), "id").alias("text"))
+    once = learnt(monkeypatch, docs, labels)
+    assert len(once[0]) > 10 and learnt(monkeypatch, docs.unionByName(more), labels) == once
+
+
+def test_labels_of_other_ids_take_no_room(tables, monkeypatch):
+    docs, labels = tables
+    other = docs.sparkSession.range(10_000, 30_000).select(
+        F.col("id").alias("doc_id"), F.lit(1).alias("quality"), (F.col("id") % 2).cast("int").alias("toxic")
+    )
+    monkeypatch.setattr(tox, "MAX_TOXIC", 20)
+    monkeypatch.setattr(tox, "MAX_ORDINARY", 50)
+    toxic, ordinary = learnt(monkeypatch, docs, labels.unionByName(other))
+    assert (len(toxic), len(ordinary)) == (20, 50)
+
+
 def test_dropping(tables):
     docs, labels = tables
     wide = docs.withColumn("score", F.lit("x")).withColumn("_score", F.lit(1))
