@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from math import comb
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,8 +32,8 @@ BITS = 4
 # none once in 190,000 times.
 BANDS, ROWS = 32, 4
 THRESHOLD = 75  # percent
-# An estimate this many standard errors below the threshold rules a pair out (once in 3 million).
-MARGIN = 5.0
+# How often an estimate rules out a pair at the threshold, at most.
+LOSS = 1 / 3_000_000
 # Bytes of text in one side of a block of the last stage.
 BLOCK_BYTES = 4 << 20
 
@@ -59,16 +61,23 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 def signature(least: np.ndarray) -> np.ndarray:
     """The low bits of the minima, packed into 64-bit lanes."""
-    low = least & np.uint64((1 << BITS) - 1)
+    # Low bits of a product follow from the low bits of its factors; mixed, they differ by hash function.
+    low = mix(least) & np.uint64((1 << BITS) - 1)
     places = np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)
     return (low.reshape(_LANES, -1) << places).sum(1, dtype=np.uint64).view(np.int64)
 
 
-def least_matches(threshold: int = THRESHOLD, margin: float = MARGIN) -> int:
-    """Equal bit groups that a pair at the threshold has at least, within ``margin`` errors."""
-    j, chance = threshold / 100, 2.0**-BITS
-    p = j + (1 - j) * chance
-    return max(0, int(np.ceil(HASHES * p - margin * np.sqrt(HASHES * p * (1 - p)))))
+def least_matches(threshold: int = THRESHOLD, loss: float = LOSS) -> int:
+    """Equal minima that a pair at the threshold has at least, but for a share of ``loss``.
+
+    The binomial tail itself, without groups that are equal by chance: those only add matches.
+    """
+    j, below = threshold / 100, 0.0
+    for k in range(HASHES):
+        below += comb(HASHES, k) * j**k * (1 - j) ** (HASHES - k)
+        if below > loss:
+            return k
+    return HASHES
 
 
 def matches(a: str, b: str) -> Column:

@@ -1,5 +1,7 @@
 import random
 import re
+from fractions import Fraction
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -148,3 +150,17 @@ def test_floor():
     assert nd.least_matches() < nd.HASHES * 0.7 < nd.HASHES
     with pytest.raises(TypeError):
         nd.least_matches("x")
+
+
+def test_floor_keeps_pairs_without_chance_matches():
+    floor = nd.least_matches()
+    tail = [Fraction(comb(nd.HASHES, k) * 3**k, 4**nd.HASHES) for k in range(floor + 1)]
+    assert sum(tail[:floor]) <= Fraction(1, 3_000_000) < sum(tail)
+
+
+def test_chance_matches_differ_by_hash_function():
+    generator = np.random.default_rng(11)
+    sets = generator.integers(1, 1 << 63, (200, 1), dtype=np.uint64)
+    groups = [nd.signature(nd.minima(s)).view(np.uint64)[:, None] >> np.arange(0, 64, 4, dtype=np.uint64) & np.uint64(15) for s in sets]
+    found = [int((a == b).sum()) for a, b in zip(groups[::2], groups[1::2], strict=True)]
+    assert 1 <= min(found) and max(found) <= 45 and 13 < sum(found) / len(found) < 19
