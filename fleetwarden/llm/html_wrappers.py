@@ -16,6 +16,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -28,7 +29,7 @@ from fleetwarden.operators.lookup import look_up
 
 SALTS = 16
 HOSTS_PER_TASK = 1_000  # wrappers a task holds before it sends them on
-DEPTH = 200  # elements below this depth are read as part of their parent
+DEPTH = 200  # elements below this depth are read as part of their parent, unless they are outside
 GROUP = 4  # blocks in a repeated group, at most
 
 # HTML's elements by how they are read.
@@ -97,13 +98,31 @@ def _is_layout(node: Node) -> bool:
     return name not in OUTSIDE and not any(w in OUTSIDE_WORDS - LAYOUT_WORDS for w in words)
 
 
+def _rejoin(stack: list[Node]) -> None:
+    """Elements below ``DEPTH`` that are no longer outside become part of their parents."""
+    before = stack[min(len(stack), DEPTH) - 1].children
+    for parent, node in zip(stack[DEPTH - 1 :], stack[DEPTH:], strict=False):
+        own = node.children
+        if not node.outside:
+            if own is not before:  # outside until now, and the last child of its parent
+                parent.children.pop()
+                parent.children.extend(own)
+            node.children = parent.children
+        before = own
+
+
 def parse(page: str) -> Node:
     """The blocks of a page as a tree. Inline elements and markup without text leave no trace."""
     root = Node("#root")
     stack = [root]
+    opened: Counter[str] = Counter()  # elements on the stack by name: a search for one that is not there is spared
     at = 0
     held: list[str] = []
 
+    def close(i: int) -> None:
+        opened.subtract(node.label.partition(".")[0] for node in stack[i:])
+        del stack[i:]
+
     def flush() -> None:
         if held:
             text = " ".join(entities.unescape("".join(held)).split())
@@ -128,13 +147,13 @@ def parse(page: str) -> Node:
             if name not in BLOCKS:
                 if stack[-1].label.partition(".")[0] == name:  # an inline notice or advert
                     flush()
-                    stack.pop()
+                    close(len(stack) - 1)
                 continue
             flush()
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[name] else ():
                 own = stack[i].label.partition(".")[0]
                 if own == name:
-                    del stack[i:]
+                    close(i)
                     break
                 if name in NO_TEXT and own in SCOPES:
                     break
@@ -149,10 +168,10 @@ def parse(page: str) -> Node:
             continue  # inline; a notice or advert is a block of its own all the same
         flush()
         ended = ENDS.get(name, ())
-        for i in range(len(stack) - 1, 0, -1):
+        for i in range(len(stack) - 1, 0, -1) if opened["p"] or any(opened[e] for e in ended) else ():
             own = stack[i].label.partition(".")[0]
             if own in ended or (own == "p" and name in BLOCKS):
-                del stack[i:]
+                close(i)
                 break
             if own in SCOPES:
                 break
@@ -160,10 +179,14 @@ def parse(page: str) -> Node:
         if name in INSIDE and not outside:
             for above in stack:
                 above.outside = above.outside and not _is_layout(above)
-        if len(stack) < DEPTH:
+            _rejoin(stack)
+        if len(stack) < DEPTH or outside:
             stack[-1].children.append(node)
-            if not token["rest"].rstrip().endswith("/"):
-                stack.append(node)
+        else:
+            node.children = stack[-1].children
+        if not token["rest"].rstrip().endswith("/"):
+            stack.append(node)
+            opened[name] += 1
     flush()
     return root
 

@@ -42,6 +42,16 @@ def test_deep_and_long_pages():
     assert len(alone("<article>" + "<p>word word</p>" * 50_000 + "</article>")) == 50_000 * 10 - 1
 
 
+def test_elements_below_the_depth_end_themselves():
+    deep, up = "<div>" * 250, "</div>" * 250
+    page = f"<body><div>top<div><article>a{deep}b<nav>menu<p>x</p></nav>c<p>d<p>e</p>{up}f</article></div>end</div></body>"
+    assert alone(page) == "a b c d e f"
+    layout = f"<main>{deep}<div class=sidebar>s<b>t</b><nav>n</nav></div>a<div class=with-sidebar>b<div class=menu>c<article>d</article>e</div>f</div>g{up}h</main>"
+    assert alone(layout) == "a b c d e f g h"
+    assert alone("<p>a</p>" + "<nav>" * 20_000 + "x" + "</nav>" * 20_000 + "<p>b</p>") == "a b"
+    assert alone("<p>a</p>" + "<div class=menu>" * 20_000 + "<main>x</main>" + "</div>" * 20_000) == "a x"
+
+
 def expression(page):
     return hw.expression(hw.parse(page))
 
