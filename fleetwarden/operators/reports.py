@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -144,21 +143,12 @@ def jvm_pattern(pattern: Column) -> Column:
 def usable_entries(dictionary: DataFrame, column: str = "name_regexp") -> tuple[DataFrame, DataFrame]:
     """(usable, rejected) entries by whether the JVM takes their pattern; NULL is usable.
 
-    Distinct patterns stream through the driver one by one, as only the JVM can tell; those that it
-    rejects are mostly none.
+    The JVM of each task tries the patterns of its own rows.
     """
-    spark = dictionary.sparkSession
-    compile_ = spark._jvm.java.util.regex.Pattern.compile
-    patterns = dictionary.select(column, jvm_pattern(F.col(column)).alias("_form")).filter(F.col(column).isNotNull()).distinct()
-    bad = []
-    for row in patterns.toLocalIterator():
-        try:
-            compile_(row["_form"])
-        except IllegalArgumentException:
-            bad.append((row[column],))
-    faulty = spark.createDataFrame(bad, "_bad string")
-    same = F.col(column) == F.col("_bad")
-    return dictionary.join(faulty, same, "left_anti"), dictionary.join(faulty, same, "left_semi")
+    form = jvm_pattern(F.col(column))
+    tried = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), form)
+    fits = F.col(column).isNull() | tried.isNotNull()
+    return dictionary.filter(fits), dictionary.filter(~fits)
 
 
 def plain_head(pattern: Column) -> Column:

@@ -105,6 +105,13 @@ def test_bad_patterns_are_found(table):
     assert rows(rejected, "name_regexp") == [("([",)] and good.count() == entries.count()
 
 
+def test_patterns_are_tried_in_the_tasks(table, monkeypatch):
+    entries = table([("([",), ("a",), (None,), ("[[:digit:]]+",), ("*",), ("([",)], "name_regexp string")
+    monkeypatch.setattr(type(entries), "toLocalIterator", None)
+    good, rejected = rep.usable_entries(entries)
+    assert rows(rejected) == [("([",), ("([",), ("*",)] and rows(good) == [(None,), ("[[:digit:]]+",), ("a",)]
+
+
 def test_patterns_of_the_databases_dialect(table):
     patterns = ["^t[[:digit:]]+$", "[[:<:]]log[[:>:]]", "^[[:alpha:]_]+$"]
     names = table([("t12",), ("a log b",), ("blog",), ("Ab_c",)], "name string")
