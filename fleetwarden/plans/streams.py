@@ -82,18 +82,20 @@ def stream_snapshot(t):
     ).withColumn("_rank", -F.col("session_count"))
     marks = rows.filter("dbserver_id % 5 <> 0").select("dbserver_id", "run_id", F.lit(True).alias("complete")).distinct()
     staged = rows.unionByName(marks, allowMissingColumns=True)
-    # Three files of rows, and the marks in the last of them: one micro-batch each.
+    # Three parts of any number of files, and the marks in the last of them. The stream goes on to the end
+    # after each: one micro-batch.
     part = F.when(F.col("complete"), 2).otherwise(F.pmod(F.col("session_count"), F.lit(3)))
-    for k in range(3):
-        staged.filter(part == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = t.spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     initial = t.customer.select(
         F.col("c_custkey").cast("int").alias("dbserver_id"), F.lit("view").alias("user_name"),
         F.lit("any").alias("user_host"), F.lit(0).cast("bigint").alias("session_count"),
         F.lit("none").alias("run_id"),
     )
-    writer = streams.stream_snapshot(stream, f"{folder}/state", initial, SESSION_KEYS, ["session_count"], ["_rank"])
-    return streams.snapshot_state(t.spark, f"{folder}/state", _run(writer, folder) + 1)
+    for k in range(3):
+        staged.filter(part == k).write.mode("append").parquet(f"{folder}/in")
+        stream = t.spark.readStream.schema(staged.schema).parquet(f"{folder}/in")
+        writer = streams.stream_snapshot(stream, f"{folder}/state", initial, SESSION_KEYS, ["session_count"], ["_rank"])
+        batch = _run(writer, folder)
+    return streams.snapshot_state(t.spark, f"{folder}/state", batch + 1)
 
 
 @query(

@@ -1,7 +1,10 @@
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from fleetwarden.functions.times import log_time
 from fleetwarden.operators.requests import pending_requests
+from fleetwarden.plans import streams as plans
 from fleetwarden.session import scratch_dir
 from fleetwarden.streaming import streams
 from tests.conftest import rows
@@ -79,6 +82,15 @@ def test_snapshot_stream_waits_for_the_end_of_a_run(spark, table, tmp_path):
     assert state(2) == both
 
 
+def test_snapshot_query_keeps_the_partitions_of_its_rows(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(plans, "scratch_dir", lambda *_: str(tmp_path))
+    read = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("events", "customer")}
+    t = SimpleNamespace(spark=spark, events=read["events"].repartition(4), customer=read["customer"])
+    assert plans.stream_snapshot(t).count() > 0
+    assert len(list((tmp_path / "in").glob("*.parquet"))) >= 12
+    assert {p.name for p in (tmp_path / "checkpoint" / "commits").glob("[0-9]*")} == {"0", "1", "2"}
+
+
 def test_requests_stream_runs_each_once(spark, table, tmp_path):
     folder, schema = str(tmp_path), "stamp string, user string"
     ledger = table([("1", "done")], schema)
