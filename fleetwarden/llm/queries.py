@@ -20,6 +20,7 @@ from fleetwarden.llm.sentencepiece_nbest import nbest_digests
 from fleetwarden.llm.suffix_dedup import remove_repeats
 from fleetwarden.llm.token_counts import token_counts
 from fleetwarden.llm.toxicity import toxicity
+from fleetwarden.llm.whitening import whiten
 
 
 @query("""
@@ -164,3 +165,8 @@ if corpus_pipeline.ORACLE_SQL is not None:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"), length=400, keep_bytes=False)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), components=8)
