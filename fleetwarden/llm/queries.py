@@ -16,6 +16,7 @@ from fleetwarden.llm.html_wrappers import extract_text
 from fleetwarden.llm.mixing import mix_sources
 from fleetwarden.llm.near_dedup import near_dedup
 from fleetwarden.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from fleetwarden.llm.repair import repair
 from fleetwarden.llm.sentencepiece_nbest import nbest_digests
 from fleetwarden.llm.suffix_dedup import remove_repeats
 from fleetwarden.llm.token_counts import token_counts
@@ -170,3 +171,8 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
+@query()
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(table(spark, sf_dir, "conversations"))
