@@ -13,6 +13,7 @@ from fleetwarden.llm.chat import link_tool_calls, turns_as_calls
 from fleetwarden.llm.exact_dedup import exact_dedup
 from fleetwarden.llm.fingerprints import edited_fingerprints
 from fleetwarden.llm.html_wrappers import extract_text
+from fleetwarden.llm.jaccard_join import jaccard_join
 from fleetwarden.llm.mixing import mix_sources
 from fleetwarden.llm.near_dedup import near_dedup
 from fleetwarden.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
@@ -176,3 +177,27 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(table(spark, sf_dir, "conversations"))
+
+
+@query("""
+    with recursive w as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+    s as (
+      select distinct doc_id, unnest(case when len(ws) >= 5
+        then list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+        when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as sh from w),
+    n as (select doc_id, count(*) as n from s group by doc_id),
+    c as (
+      select x.doc_id as a, y.doc_id as b, count(*) as c from s x join s y on x.sh = y.sh and x.doc_id <> y.doc_id
+      group by 1, 2),
+    links as (
+      select a, b from c join n x on a = x.doc_id join n y on b = y.doc_id where 100 * c >= 80 * (x.n + y.n - c)),
+    reach as (
+      select doc_id as id, doc_id as m from documents
+      union select links.a, reach.m from reach join links on links.b = reach.id),
+    comp as (select id, min(m) as m from reach group by id)
+    select d.doc_id, coalesce(n.n, 0) as n_shingles, comp.m as component_id
+    from documents d join comp on d.doc_id = comp.id left join n on n.doc_id = d.doc_id""")
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
