@@ -12,6 +12,7 @@ from fleetwarden.functions.text import contains_any, record_value
 from fleetwarden.functions.times import from_day_number, log_prefixes, midnight, time_literal
 from fleetwarden.operators.collect import BACKUP_COMPLETE
 from fleetwarden.operators.concat import MAX_CELL_BYTES, ordered_concat
+from fleetwarden.operators.grams import gram_index, holding
 from fleetwarden.operators.lookup import look_up
 
 # Limits and report texts.
@@ -47,9 +48,6 @@ HARMLESS_LOG_MESSAGES = [
     "[Note] Coordinator",
 ]
 
-# Characters of a piece by which long pattern lists are indexed.
-GRAM = 4
-
 
 def _yesterday(backups: DataFrame, as_of: str) -> Column:
     start = F.col("start")
@@ -136,45 +134,17 @@ def log_exclude(
 def log_exclude_table(lines: DataFrame, patterns: DataFrame, line: str = "line", pattern: str = "pattern") -> DataFrame:
     """:func:`log_exclude` with the patterns in a table, for lists of any length.
 
-    Each pattern is indexed by one of its grams, the one that fewest patterns have; a pattern
-    shorter than a gram is its own. Distinct texts of lines meet the patterns by equality of a gram,
-    and what meets is checked on the whole pattern. Whether a line goes depends on its text alone, so
-    lines need no identifier. An empty pattern matches every line.
+    Each pattern is indexed by one of its grams (:mod:`grams`), the one that fewest patterns have, of the
+    longest length that fits; lines are cut into grams of those lengths only that the patterns use, and
+    only grams in a bitmap of the index leave the task that cuts them. The join that follows is a semi join:
+    it can build the index, never the lines. What meets is checked on the whole pattern. Whether a line
+    goes depends on its text alone, so lines need no identifier. An empty pattern matches every line;
+    lines and patterns that are NULL match nothing. The index is made when the query is built.
     """
-    wanted = patterns.select(F.col(pattern).alias("_pattern")).filter(F.col("_pattern").isNotNull()).distinct()
-    grams = wanted.select("_pattern", F.explode(_grams(F.col("_pattern"))).alias("_gram"))
-    shared = grams.groupBy("_gram").agg(F.count("*").alias("_n"))
-    index = (
-        look_up(grams, shared, ["_gram"])
-        .groupBy("_pattern")
-        .agg(F.min(F.struct("_n", "_gram")).alias("_best"))
-        .select("_pattern", F.col("_best._gram").alias("_gram"))
-    )
-    texts = lines.select(F.col(line).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
-    pieces = texts.select("_text", F.explode(_line_grams(F.col("_text"))).alias("_piece"))
-    met = pieces.join(index, F.col("_piece") == F.col("_gram"), "inner")
-    hits = met.filter(F.contains("_text", "_pattern")).select("_text").distinct()
-    return lines.join(hits, F.col(line) == F.col("_text"), "left_anti")
-
-
-def _grams(text: Column) -> Column:
-    """Distinct pieces of GRAM characters; a shorter text is its own piece."""
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - GRAM + 1, F.lit(1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(GRAM))))
-
-
-def _line_grams(text: Column) -> Column:
-    """Distinct pieces of GRAM characters and of each shorter length, the empty one included."""
-    return F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(GRAM)),
-                lambda n: F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: F.substring(text, i, n)
-                ),
-            )
-        )
-    )
+    index = gram_index(patterns.select(F.col(pattern).alias("_pattern")), "_pattern")
+    texts = lines.select(F.col(line).alias("_text"))
+    hits = holding(texts, "_text", index, F.contains("_text", "_pattern"))
+    return look_up(lines.withColumn("_text", F.col(line)), hits, ["_text"], "left_anti").drop("_text")
 
 
 def log_size_alarm(
