@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # command-line client prints for it.
 FILE_NULL = "\\N"
 CLIENT_NULL = "NULL"
+# Stands for whatever in a pattern is not plain text.
+_GAP = "\x01"
 
 
 def sql_string(text: str) -> str:
@@ -73,6 +75,32 @@ def contains_any(line: Column, patterns: Sequence[str]) -> Column:
     return F.exists(F.lit(unique), lambda p: F.contains(line, p))
 
 
+def required_literals(pattern: Column) -> Column:
+    """Lower-case ASCII strings of which every match of a JVM pattern, in any case, holds at least one.
+
+    One string for each top-level alternative, its longest run of plain characters. NULL where an alternative has
+    none, or where the pattern has what this does not read (inline flags, quoting, coded characters,
+    classes in classes): such a pattern has to be tried on every text.
+    """
+    unread = r"\(\?|\\[QExuUcNk0]"
+    # Everything that is not plain becomes a gap. Escapes go first, so that no bracket or bar that is
+    # left is one that stands for itself.
+    left = F.regexp_replace(pattern, r"\\[pP]\{[^}]*\}|\\[0-9]+|(?s)\\.", _GAP)
+    left = F.regexp_replace(left, r"\[[^\[\]]*\]", _GAP)
+    for _ in range(4):  # groups, from the inside
+        left = F.regexp_replace(left, r"\([^()]*\)", _GAP)
+    # A character that may be absent goes with its quantifier; one that may be repeated stays.
+    left = F.regexp_replace(left, r"(?s).(?:[*?]|\{[^}]*\})[+?]?", _GAP)
+    left = F.regexp_replace(left, r"\+[+?]?|[^ -~]|[.^$]", _GAP)
+    runs = F.transform(
+        F.split(left, r"\|"),
+        lambda a: F.array_max(F.transform(F.split(a, _GAP), lambda r: F.struct(F.length(r).alias("n"), F.lower(r).alias("run")))),
+    )
+    runs = F.array_distinct(F.transform(runs, lambda r: r["run"]))
+    read = ~pattern.rlike(unread) & ~left.rlike(r"[\[\](){}\\]") & ~F.array_contains(runs, "")
+    return F.when(read, runs)
+
+
 def record_value(record: Column, key: str) -> Column:
     """Value of a ``Key: value`` line in a multi-line record; NULL where it is absent or NULL."""
     line = rf"(?m)^[ \t]*{key}:[ \t]*([^\n]*?)[ \t]*$"

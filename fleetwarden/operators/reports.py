@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwarden.functions.text import comment_markup, html_row, js_row, js_text
+from fleetwarden.functions.text import comment_markup, html_row, js_row, js_text, required_literals
 from fleetwarden.functions.times import REPORT_TIME_FORMAT
 from fleetwarden.operators.concat import MAX_CELL_BYTES, ordered_concat
+from fleetwarden.operators.grams import gram_hits, gram_index
 from fleetwarden.operators.inventory import display_name, job_filter
+from fleetwarden.session import stored
 
 # Labels, separators and colours of the site map.
 GATEWAY_TYPE = "Jumphost"
@@ -16,8 +18,6 @@ TOTAL_LABEL = "<b>TOTAL</b>"
 LINE_BREAK = "</br>"
 TOTAL_SORTS_AS = "zzzz"
 PINK_FROM = 10
-# Characters in front of a name by which dictionary patterns are joined.
-HEAD = 3
 # The database's word marks and POSIX classes, and what the JVM calls them.
 WORD_MARKS = {"[[:<:]]": r"\b(?=\w)", "[[:>:]]": r"(?<=\w)\b"}
 POSIX_CLASSES = {
@@ -151,13 +151,39 @@ def usable_entries(dictionary: DataFrame, column: str = "name_regexp") -> tuple[
     return dictionary.filter(fits), dictionary.filter(~fits)
 
 
-def plain_head(pattern: Column) -> Column:
-    """The letters, digits and underscores that every match of an anchored pattern starts with.
+def pattern_index(dictionary: DataFrame, column: str = "name_regexp") -> DataFrame:
+    """(``column``, literals) of the distinct patterns; ``literals`` as :func:`required_literals` finds them.
 
-    Empty for a pattern that is not anchored, has alternatives, or goes on with a quantifier.
+    Patterns with NULL there are tried on every name of their schema, and worth reporting.
     """
-    head = F.regexp_extract(pattern, r"^\^([A-Za-z0-9_]+)(?=$|[^A-Za-z0-9_*+?{])", 1)
-    return F.when(pattern.contains("|"), "").otherwise(head)
+    patterns = dictionary.select(column).filter(F.col(column).isNotNull()).distinct()
+    return patterns.withColumn("literals", required_literals(jvm_pattern(F.col(column))))
+
+
+def pattern_candidates(names: DataFrame, entries: DataFrame) -> DataFrame:
+    """``entries`` with the _schema and _table of each name that may match: all pairs that can, and few others.
+
+    ``names`` (_schema, _table) and ``entries`` (_entry_schema, name_regexp, ...), each once. Names meet a
+    pattern's literal over an index of grams, whatever the schema; only patterns without literal meet
+    all names of their schema.
+    """
+    known = entries.filter(F.col("name_regexp").isNotNull())
+    known = stored(known.withColumn("_literals", required_literals(jvm_pattern(F.col("name_regexp")))), "patterns")
+    spelled = names.select("_schema", "_table", F.lower("_table").alias("_lower"))
+    alternatives = known.withColumn("_literal", F.explode("_literals"))
+    index = gram_index(alternatives, "_literal")
+    hits = gram_hits(spelled, "_lower", index).withColumnRenamed("_gram", "_piece")
+    holds = (F.col("_piece") == F.col("_gram")) & F.contains("_lower", "_literal")
+    held = hits.join(index, holds, "inner").select("_lower", "_literal").distinct()
+    same_schema = F.col("_schema") == F.col("_entry_schema")
+    met = spelled.join(held, "_lower", "inner").join(
+        alternatives.withColumnRenamed("_literal", "_any"), same_schema & (F.col("_literal") == F.col("_any")), "inner"
+    )
+    columns = ["_schema", "_table", *entries.columns]
+    # A name may hold several alternatives of one pattern.
+    indexed = met.select(*columns).dropDuplicates(["_schema", "_table", "name_regexp"])
+    free = names.join(known.filter("_literals is null"), same_schema, "inner")
+    return indexed.unionByName(free.select(*columns))
 
 
 def dictionary_lines(objects: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -177,19 +203,12 @@ def dictionary_lines(objects: DataFrame, dictionary: DataFrame) -> DataFrame:
         F.bool_or(F.col("creation_date").isNull()).alias("_undated"),
         F.bool_or(F.col("modified_date").isNull()).alias("_unmodified"),
     )
-    # Most patterns start with plain text; comparing that first spares compiling the pattern.
-    entries = entries.withColumn("_head", F.lower(plain_head(F.col("name_regexp"))))
-    entries = entries.withColumn("_form", jvm_pattern(F.col("name_regexp")))
-    names = names.withColumn("_lower", F.lower("_table"))
-    same_schema = F.col("_schema") == F.col("_entry_schema")
-    fits = F.col("_lower").startswith(F.col("_head")) & F.expr("_table rlike concat('(?i)', _form)")
-    # A pattern with plain text in front meets only the names that begin like it, so that a schema of
-    # very many names and patterns is not paired as a whole; the few others meet all names.
-    begins = F.substring("_lower", 1, HEAD) == F.substring("_head", 1, HEAD)
-    plain = F.length("_head") >= HEAD
-    matched = names.join(entries.filter(plain), same_schema & begins & fits, "inner").unionByName(
-        names.join(entries.filter(~plain), same_schema & fits, "inner")
-    ).select("_schema", "_table", "name_regexp", "_undated", "_unmodified")
+    matched = (
+        pattern_candidates(names, entries)
+        .withColumn("_form", F.concat(F.lit("(?i)"), jvm_pattern(F.col("name_regexp"))))
+        .filter(F.expr("_table rlike _form"))
+        .select("_schema", "_table", "name_regexp", "_undated", "_unmodified")
+    )
     # A family of tables collapses to its entry here, before the entry's lines are attached; a
     # table's own name and dates are carried on only where the report shows them.
     free = F.col("name_regexp").isNull()

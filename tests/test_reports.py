@@ -4,7 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from fleetwarden import schemas
-from fleetwarden.functions.text import js_row, js_text
+from fleetwarden.functions.text import js_row, js_text, required_literals
 from fleetwarden.operators import reports as rep
 from fleetwarden.sources import sinks
 from tests.conftest import rows
@@ -86,16 +86,56 @@ def test_dictionary_report(table):
     assert value == f"['plain','<p>N/A</p>',new Date('{t1}'),new Date('{t1}')],"
 
 
-def test_plain_heads_never_lose_a_match(table):
-    patterns = ["^log_[0-9]+$", "^log", "log", "^lo*g", "^lo?", "^lo{0,1}", "^log$|x", "^(log)", "^LOG\\_x", "^", "^é"]
-    names = ["log_1", "log", "LOG_x", "lg", "l", "x", "élog", "lo"]
-    got = table([(p,) for p in patterns], "p string").select("p", rep.plain_head(F.col("p")).alias("h"))
-    heads = dict(rows(got))
-    assert heads["^log_[0-9]+$"] == "log_" and heads["^log"] == "log" and heads["^LOG\\_x"] == "LOG"
-    assert {heads[p] for p in patterns if p not in ("^log_[0-9]+$", "^log", "^LOG\\_x")} == {""}
-    for p in patterns:
-        for n in names:
-            assert not re.search(p, n, re.IGNORECASE) or n.lower().startswith(heads[p].lower())
+PATTERNS = [
+    "^log_[0-9]+$", "^log", "log", "^lo*g", "^lo?", "^lo{0,1}", "^log$|x", "^(log)", "^LOG\\_x", "^", "^é", "é_log",
+    "a(b|c)d", "(ab|cd)+", "x[[:digit:]]y_z", "[]a]b", "[^]x]log", "a\\|b|cd", "(?x) l o g", "(?i)LOG", "\\Qa.b\\E", "\\x41bc",
+    "lo+g", "lo+?g_", "a.b.cde", "[[:<:]]log[[:>:]]", "((a)|(b(c|d)))_x", "log|", "K_log", "a{2}bc", "\\d+_end", "tab\\.x", "(a|b)(c|d)",
+]
+NAMES = [
+    "log_1", "log", "LOG_x", "lg", "l", "x", "élog", "lo", "abd", "acd", "abab", "x7y_z", "ab", "]b", "xlog", "a|b", "cd", "É_LOG", "a.b",
+    "Abc", "loooog_", "a1b2cde", "my log x", "bc_x", "\u212a_log", "k_log", "aabc", "12_END", "tab.x", "tabox", "bd",
+]
+
+
+def test_required_literals_never_lose_a_match(table):
+    got = table([(p,) for p in PATTERNS], "p string").select("p", required_literals(rep.jvm_pattern(F.col("p"))).alias("l"))
+    found = dict((r["p"], r["l"]) for r in got.collect())
+    assert found["^log_[0-9]+$"] == ["log_"] and found["^LOG\\_x"] == ["log"] and found["log"] == ["log"]
+    assert sorted(found["a\\|b|cd"]) == ["b", "cd"] and found["lo+g"] == ["lo"] and found["a.b.cde"] == ["cde"]
+    assert found["x[[:digit:]]y_z"] == ["y_z"] and found["\\d+_end"] == ["_end"]
+    for p in ("^", "(ab|cd)+", "log|", "(?x) l o g", "\\Qa.b\\E", "\\x41bc", "[]a]b", "(a|b)(c|d)"):
+        assert found[p] is None, p
+    names = table([(n,) for n in NAMES], "n string")
+    forms = table([(p,) for p in PATTERNS], "p string").select("p", rep.jvm_pattern(F.col("p")).alias("form"))
+    for r in names.join(forms, F.expr("n rlike concat('(?i)', form)")).collect():
+        assert found[r["p"]] is None or any(x in r["n"].lower() for x in found[r["p"]]), r
+
+
+def test_patterns_meet_all_names_they_match(table):
+    objects = table(
+        [(1 + i % 2, "sS"[i % 2] if n != "cd" else "t", "table", n, 0, None, None, D1, D1) for i, n in enumerate(NAMES)],
+        schemas.OBJECTS,
+    )
+    entries = table([("s", f"e{i}", p, None, None, 1, None, None) for i, p in enumerate(PATTERNS)], schemas.DICTIONARY)
+    got = rep.dictionary_lines(objects, entries).select("dbserver_id", "name").distinct()
+    all_pairs = objects.filter("dbschema <> 't'").select("dbserver_id", F.col("name").alias("n")).join(
+        entries.select("name", rep.jvm_pattern(F.col("name_regexp")).alias("form")), F.expr("n rlike concat('(?i)', form)")
+    )
+    want = {tuple(r) for r in all_pairs.select("dbserver_id", "name").collect()}
+    assert {tuple(r) for r in got.filter("name like 'e%'").collect()} - {(1, "élog"), (2, "élog")} == want
+
+
+def test_many_unanchored_patterns_are_not_paired_with_all_names(spark):
+    names = spark.range(20_000).select(
+        F.lit("s").alias("_schema"), F.concat(F.lit("t_"), F.col("id").cast("string"), F.lit("_part")).alias("_table")
+    )
+    entries = spark.range(2_000).select(
+        F.lit("s").alias("_entry_schema"), F.concat(F.lit("_"), (F.col("id") + 3000).cast("string"), F.lit("_.+t$")).alias("name_regexp")
+    )
+    got = rep.pattern_candidates(names, entries)
+    assert got.count() == 2_000
+    free = spark.createDataFrame([("s", "^.+9_.*$")], "_entry_schema string, name_regexp string")
+    assert rep.pattern_candidates(names, entries.unionByName(free)).count() == 2_000 + names.filter("_table like '%9_part'").count()
 
 
 def test_bad_patterns_are_found(table):
