@@ -8,9 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetwarden.functions.text import sql_string
+from fleetwarden.operators.lookup import look_up
+from fleetwarden.session import stored
 
 # Largest cell: what a key holds beyond it goes to further rows.
 MAX_CELL_BYTES = 16 * 1024 * 1024
+# monotonically_increasing_id() counts the rows of a partition in its lower bits.
+_ROW_BITS = 33
 
 
 def ordered_concat(
@@ -29,25 +33,55 @@ def ordered_concat(
     One rule for every key: a row goes to the part that half a cell's worth of bytes before it in its
     key says, so a cell holds ``max_cell_bytes`` at most unless one row alone has more than half of
     that. Parts are numbered from 0 and, joined by ``sep`` in their order, are the whole text; gaps in
-    the numbers are allowed. The bytes before a row are a running sum, for which a key's rows are
-    sorted once (on disk, if there are many); no task holds more than a cell of them.
-    Columns named in ``last`` come from the last row of the part. ``head``, made of the keys, goes
-    once in front of the texts.
+    the numbers are allowed. For a key that fits half a cell the rule says part 0 for all rows. Only for
+    the others the bytes before each row are summed, see :func:`_parts`. Which keys these are is
+    found when the query is built. Columns named in ``last`` come from the last row of the part.
+    ``head``, made of the keys, goes once in front of the texts.
     """
     keys = list(keys)
     # Order columns of their own: listagg sorts by a struct several times slower.
     places = [f"_order{i}" for i in range(len(order))]
     order_columns = [c.alias(name) for c, name in zip(order, places)]
     rows = rows.select(*keys, text.alias("_text"), *order_columns, *last)
-    so_far = Window.partitionBy(*keys).orderBy(*places).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(F.octet_length("_text") + len(sep.encode())).over(so_far), F.lit(0))
-    part = F.floor(before / F.lit(max(1, max_cell_bytes // 2))).cast("bigint")
+    rows = rows.withColumn("_bytes", F.coalesce(F.octet_length("_text") + len(sep.encode()), F.lit(0)))
+    half = max(1, max_cell_bytes // 2)
+    # One struct, never NULL, so that NULL keys are keys like all others.
+    rows = rows.withColumn("_key", F.struct(*keys))
+    long_ = rows.groupBy("_key").agg(F.sum("_bytes").alias("_all")).filter(F.col("_all") > half).select("_key")
+    long_ = stored(long_, "long-keys")
+    short = look_up(rows, long_, ["_key"], "left_anti").withColumn("part_no", F.lit(0).cast("bigint"))
+    both = short.unionByName(_parts(look_up(rows, long_, ["_key"], "left_semi"), places, half))
     texts = F.expr(f"listagg(_text, {sql_string(sep)}) within group (order by {', '.join(places)})")
     cell = texts if head is None else F.when(F.col("part_no") == 0, F.concat_ws(sep, head, texts)).otherwise(texts)
     others = [F.max_by(c, F.struct(*places)).alias(c) for c in last]
-    return (
-        rows.withColumn("part_no", part)
-        .groupBy(*keys, "part_no")
-        .agg(cell.alias(out), *others)
-        .select(*keys, "part_no", out, *last)
-    )
+    return both.groupBy(*keys, "part_no").agg(cell.alias(out), *others).select(*keys, "part_no", out, *last)
+
+
+def ranged(rows: DataFrame, places: Sequence[str]) -> DataFrame:
+    """The rows range-partitioned and sorted by key and order, and stored, with _part and _row.
+
+    A key of any size is spread over as many partitions as it fills; they follow its order.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = rows.repartitionByRange(parts, "_key", *places, "_text").sortWithinPartitions("_key", *places, "_text")
+    held = stored(spread.withColumn("_id", F.monotonically_increasing_id()), "ranged")
+    row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return held.withColumns({"_part": F.shiftright("_id", _ROW_BITS), "_row": row}).drop("_id")
+
+
+def _parts(rows: DataFrame, places: Sequence[str], half: int) -> DataFrame:
+    """``part_no`` of each row by a prefix sum in two levels.
+
+    The bytes of a key in each partition are one row of a small table, whose running sum is the
+    offset of that partition; to it comes the running sum within the partition. No task holds more of
+    a key than one partition of the range.
+    """
+    held = ranged(rows, places)
+    before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = held.groupBy("_key", "_part").agg(F.sum("_bytes").alias("_sum"))
+    offsets = sums.select("_key", "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy("_key", "_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    here = F.coalesce(F.sum("_bytes").over(within), F.lit(0))
+    found = look_up(held, offsets, ["_key", "_part"])
+    found = found.withColumn("part_no", F.floor((F.col("_offset") + here) / F.lit(half)).cast("bigint"))
+    return found.drop("_part", "_row", "_offset")

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from fleetwarden.operators import concat as cc
 from fleetwarden.operators import health as hl
 from fleetwarden.operators import reconcile as rec
 from fleetwarden.operators import requests as rq
@@ -117,3 +118,30 @@ def test_exclusion_join_keeps_every_line_once(no_broadcast):
     got = hl.log_exclude_table(lines, patterns)
     want = [r["n"] for r in lines.collect() if not any(p in r["line"] for p in ("00", "abc", "a1b"))]
     assert sorted(r["n"] for r in got.collect()) == want
+
+
+def test_concatenation_spreads_the_hot_key(no_broadcast):
+    """A key with a third of all rows lies in many partitions, and its parts are its whole text."""
+    no_broadcast.conf.set("spark.sql.shuffle.partitions", "24")
+    rows = hot(no_broadcast, 30000)
+    lined = rows.withColumn("_key", F.struct("uid")).withColumn("_text", F.col("text")).withColumn("_order0", F.col("n"))
+    held = cc.ranged(lined, ["_order0"])
+    spread = held.filter("uid = 7").groupBy("_part").count().collect()
+    assert len(spread) > 5 and max(r["count"] for r in spread) < 5000
+    ends = held.filter("uid = 7").groupBy("_part").agg(F.min("n").alias("low"), F.max("n").alias("high")).orderBy("_part").collect()
+    assert all(a["high"] < b["low"] for a, b in zip(ends, ends[1:]))
+
+    no_broadcast.conf.set("spark.sql.shuffle.partitions", "8")
+    keyed = rows.withColumn("uid", F.when(F.col("uid") != 3, F.col("uid")))  # NULL is a key too
+    got = cc.ordered_concat(keyed, ["uid"], F.col("text"), [F.col("n")], ",", out="all", max_cell_bytes=20_000, last=["n"])
+    found, most = {}, {}
+    for r in sorted(got.collect(), key=lambda r: r["part_no"]):
+        found.setdefault(r["uid"], []).append(r["all"])
+        most[r["uid"]] = r["n"]
+        assert len(r["all"]) <= 20_000
+    want = {}
+    for r in sorted(keyed.collect(), key=lambda r: r["n"]):
+        want.setdefault(r["uid"], []).append(r)
+    assert {k: ",".join(v) for k, v in found.items()} == {k: ",".join(r["text"] for r in v) for k, v in want.items()}
+    assert most == {k: v[-1]["n"] for k, v in want.items()}
+    assert len(found[7]) > 50 and len(found[9]) == 1
