@@ -1,9 +1,10 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on what is novel in toxic texts, one of the same size on
-what is novel in ordinary texts, both above the same base of common ordinary material. A text is cut
-into windows of one word; a window's distance is its compressed length with the ordinary dictionary
-less that with the toxic one. Calibrated thresholds on these distances give the score.
+Two zstandard dictionaries are trained, one on the parts of words that are far more frequent in toxic
+texts than in ordinary ones, one of the same size on ordinary texts, both above the same base of common
+ordinary material. A text is cut into windows of one word; a window's distance is its compressed length
+with the ordinary dictionary less that with the toxic one. Calibrated thresholds on these distances give
+the score.
 
 Each window is compressed between two fixed strings that both dictionaries hold: a block needs some
 length before the compressor looks for matches, and it looks for none in its last bytes.
@@ -11,6 +12,7 @@ length before the compressor looks for matches, and it looks for none in its las
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -27,11 +29,14 @@ from fleetwarden.llm.common import packed, text_of, texts
 
 MAX_TOXIC, MAX_ORDINARY = 2_000, 8_000  # labelled texts that a model is fitted on, at most
 MAX_BYTES = 32 << 20  # and their total size
-GRAM = 5  # bytes; a fragment is novel if the reference texts hold none of its grams
-BASE, OWN = 32 << 10, 4 << 10  # bytes of the common and of each separate part
+AFFIX = range(4, 11)  # bytes of the beginnings and ends of words, the space beside them included
+# An affix is toxic if so many toxic texts have it, this share of them at least, and ODDS times as large a
+# share of the words of toxic texts as of ordinary ones.
+LEAST, SHARE, ODDS = 3, 0.01, 16
+BASE, OWN = 32 << 10, 8 << 10  # bytes of the common and, at most, of each separate part
 WINDOW = 64  # bytes of a word compressed at once: longer words make several windows
 STEPS = (2, 3, 4, 5, 6)  # thresholds on the distance, in bytes
-CACHE_SIZE = 1 << 18  # windows whose distance a worker remembers
+CACHE_SIZE = 1 << 17  # windows whose distance a worker remembers
 REJECT = 0.3  # texts from this score on are predicted toxic
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -44,31 +49,54 @@ def windows(text: str) -> list[bytes]:
     return found
 
 
-def _spaced(text: str) -> bytes:
-    return b" " + b" ".join(_WORD.findall(text.encode("utf-8", "replace").lower())) + b" "
-
+def _spread(texts_: Sequence[str]) -> Counter[bytes]:
+    """How many of the texts hold each window."""
+    found: Counter[bytes] = Counter()
+    for t in texts_:
+        found.update(set(windows(t)))
+    return found
 
-def _grams(text: bytes) -> set[bytes]:
-    return {text[i : i + GRAM] for i in range(len(text) - GRAM + 1)}
 
-
-def _fragments(text: bytes, known: set[bytes]) -> list[bytes]:
-    """The longest stretches of ``text`` of which ``known`` holds no gram."""
-    found, start = [], None
-    last = len(text) - GRAM + 1
-    for i in range(last + 1):
-        novel = i < last and text[i : i + GRAM] not in known
-        if novel and start is None:
-            start = i
-        elif not novel and start is not None:
-            found.append(text[start : i - 1 + GRAM])
-            start = None
-    return found
+def _affixes(word: bytes) -> set[bytes]:
+    spaced = b" " + word + b" "
+    ends = [n for n in AFFIX if n <= len(spaced)]
+    return {spaced[:n] for n in ends} | {spaced[-n:] for n in ends}
+
+
+def _stretches(word: bytes, toxic: set[bytes]) -> list[bytes]:
+    """The parts of a word that toxic affixes cover: its beginning, its end, or all of it."""
+    spaced = b" " + word + b" "
+    head = max((n for n in AFFIX if spaced[:n] in toxic), default=0)
+    tail = max((n for n in AFFIX if spaced[-n:] in toxic), default=0)
+    if head + tail >= len(spaced):
+        return [spaced]
+    return [part for part in (spaced[:head], spaced[len(spaced) - tail :]) if part]
+
+
+def _own(toxic: Sequence[str], ordinary: Counter[bytes], n_ordinary: int) -> bytes:
+    """Dictionary content for toxic texts, the most frequent parts last; ``ordinary`` counts affixes."""
+    words = _spread(toxic)
+    total = sum(words.values())
+    counts: Counter[bytes] = Counter()
+    for w, c in words.items():
+        for affix in _affixes(w):
+            counts[affix] += c
+    least, odds = max(LEAST, SHARE * len(toxic)), math.log(ODDS)
+    marks = {
+        g for g, c in counts.items()
+        if c >= least and math.log((c + 0.5) / total) - math.log((ordinary[g] + 0.5) / n_ordinary) >= odds
+    }
+    parts: Counter[bytes] = Counter()
+    for w, c in words.items():
+        for part in _stretches(w, marks):
+            parts[part] += c
+    ranked = sorted(parts, key=lambda p: (-parts[p], p))
+    return b"".join(reversed(ranked))[-OWN:]
 
 
 def _train(samples: Sequence[bytes], size: int, segment: int) -> bytes:
     """Dictionary content of ``size`` bytes at most; too few samples are taken as they are."""
-    usable = [s for s in samples if len(s) > GRAM]
+    usable = [s for s in samples if len(s) > 5]
     try:
         return zstandard.train_dictionary(size, usable, k=segment, d=6, level=3).as_bytes()[-size:]
     except zstandard.ZstdError:
@@ -187,21 +215,25 @@ def train(toxic: Sequence[str], ordinary: Sequence[str], share: float, cut: floa
     shuffle.shuffle(toxic)
     shuffle.shuffle(ordinary)
     half, quarter = len(toxic) // 2, len(ordinary) // 4
-    reference, contrast = ordinary[: 2 * quarter], ordinary[2 * quarter : 3 * quarter]
+    reference, contrast, rest = ordinary[: 2 * quarter], ordinary[2 * quarter : 3 * quarter], ordinary[3 * quarter :]
     words = [b" " + w for t in reference for w in windows(t) if len(w) > 2]
     base = _train(shuffle.sample(words, min(len(words), 300_000)), BASE, 48)
-    known: set[bytes] = set()
-    for t in reference + contrast:
-        known |= _grams(_spaced(t))
-    counts = Counter(f for t in toxic[:half] for f in set(_fragments(_spaced(t), known)))
-    samples = [f for f, c in sorted(counts.items()) for _ in range(c)]
-    shuffle.shuffle(samples)
-    own = _train(samples, OWN, 16)
+    del words
+    known = {g for w in _spread(toxic[:half]) for g in _affixes(w)}
+    affixes: Counter[bytes] = Counter()
+    common = _spread(reference + contrast)
+    for w, c in common.items():
+        for g in _affixes(w) & known:
+            affixes[g] += c
+    total = sum(common.values())
+    del known, common
     more = [w + b" " for t in contrast for w in windows(t) if len(w) > 4]
     more = shuffle.sample(more, min(len(more), 300_000))
-    other = (_train(more, len(own), 32) + b"".join(more))[: len(own)]
-    model = ToxicModel(base, own, other)
-    model.calibrate(toxic[half:], ordinary[3 * quarter :], share, cut)
+    other = _train(more, OWN, 32) + b"".join(more[: OWN // 5])
+
+    own = _own(toxic[:half], affixes, total)
+    model = ToxicModel(base, own, other[: len(own)])
+    model.calibrate(toxic[half:], rest, share, cut)
     return model
 
 

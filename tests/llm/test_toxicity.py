@@ -125,3 +125,30 @@ def test_odd_tables(tables, odd, none):
         assert len(got) == odd.count() and all(r.score == 0 for r in got if r.doc_id in (3, 4, 5))
     assert tox.toxicity(none, labels).count() == 0
     assert tox.drop_toxic(odd, labels.limit(0)).count() == odd.count()
+
+
+def test_held_out_labels_of_the_given_table(sf_dir):
+    """Labels that are never learnt, on the largest of the given tables."""
+    import pyarrow.parquet as pq
+
+    folder = sf_dir.replace("sf0.001", "sf0.1")
+    texts = dict(zip(*(c.to_pylist() for c in pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text"]).columns), strict=True))
+    marks = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{folder}/labels.parquet").to_pylist() if r["toxic"] is not None}
+    out = {i for i in marks if zlib.crc32(str(i).encode()) % 4 == 2}
+    learnt = {kind: [texts[i] or "" for i, m in marks.items() if m == kind and i not in out] for kind in (0, 1)}
+    model = tox.train(learnt[1], learnt[0], len(learnt[1]) / (len(learnt[0]) + len(learnt[1])))
+    said = {i: model.score(texts[i] or "") >= tox.REJECT for i in out}
+    hits = sum(said[i] and marks[i] == 1 for i in out)
+    assert 2 * hits / (sum(said.values()) + sum(marks[i] == 1 for i in out)) > 0.8
+
+
+def test_words_are_told_by_their_affixes():
+    """A made-up beginning that goes with ordinary endings is found, whatever follows it."""
+    generator = random.Random(9)
+    def bad(n):
+        return " ".join([*prose(generator, n).split(), *("grobnik" + generator.choice(SYLLABLES) for _ in range(4))])
+
+    model = tox.train([bad(40) for _ in range(100)], [prose(generator, 40) for _ in range(300)], 0.25)
+    assert b" grobnik" in model.toxic
+    assert sum(model.score(bad(40)) >= tox.REJECT for _ in range(50)) >= 48
+    assert sum(model.score(prose(generator, 44)) >= tox.REJECT for _ in range(100)) <= 5
