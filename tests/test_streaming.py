@@ -6,6 +6,7 @@ from fleetwarden.functions.times import log_time
 from fleetwarden.operators.requests import pending_requests
 from fleetwarden.plans import streams as plans
 from fleetwarden.session import scratch_dir
+from fleetwarden.sources import buckets as bk
 from fleetwarden.streaming import streams
 from tests.conftest import rows
 
@@ -82,6 +83,84 @@ def test_snapshot_stream_waits_for_the_end_of_a_run(spark, table, tmp_path):
     assert state(2) == both
 
 
+SNAPSHOT = "dbserver_id int, user_name string, n int, line int, run_id string, complete boolean"
+
+
+def merge_of(spark, base, initial):
+    """The function that the stream calls for each micro-batch."""
+    taken = {}
+
+    class Writer:
+        def foreachBatch(self, merge):
+            taken["merge"] = merge
+
+    streams.stream_snapshot(SimpleNamespace(writeStream=Writer()), base, initial, ["dbserver_id", "user_name"], ["n"], ["line"])
+    return taken["merge"]
+
+
+def test_snapshot_stream_reads_as_much_however_long_it_has_run(spark, table, tmp_path, monkeypatch):
+    base = str(tmp_path / "state")
+    initial = table([(i, "old", i, "r0") for i in range(40)], "dbserver_id int, user_name string, n int, run_id string")
+    merge = merge_of(spark, base, initial)
+    listed = []
+    real = bk.read_buckets
+
+    def counting(spark, folder, manifest, name, buckets, schema):
+        buckets = list(buckets)
+        listed[-1] += sum(len(manifest.get(b, {}).get(name, ())) for b in buckets)
+        return real(spark, folder, manifest, name, buckets, schema)
+
+    monkeypatch.setattr(bk, "read_buckets", counting)
+    for k in range(10):
+        listed.append(0)
+        run = f"r{k + 1:02d}"
+        batch = [(1, "a", k, 1, run, None), (2, "b", k, 1, run, None), (7, "late", k, 1, "r99", None), (1, None, None, None, run, True)]
+        merge(table(batch, SNAPSHOT), k)
+    # Server 7 never ends: its rows wait, in a bucket that no batch reads.
+    assert listed[0] <= max(listed[1:]) and max(listed[2:]) == listed[2] and listed[9] <= listed[2]
+    got = {r[0]: tuple(r)[1:] for r in rows_of(streams.snapshot_state(spark, base, 10))}
+    assert got[1] == ("a", 9, "r10") and got[2] == ("old", 2, "r0") and got[7] == ("old", 7, "r0") and len(got) == 40
+    merge(table([(7, None, None, None, "r99", True)], SNAPSHOT), 10)
+    assert {tuple(r) for r in rows_of(streams.snapshot_state(spark, base, 11).filter("dbserver_id = 7"))} == {(7, "late", 0, "r99")}
+
+
+def rows_of(df):
+    return df.select("dbserver_id", "user_name", "n", "run_id").collect()
+
+
+def test_snapshot_batches_run_again_change_nothing(spark, table, tmp_path):
+    base = str(tmp_path / "state")
+    initial = table([(1, "old", 5, "r0"), (2, "old", 6, "r0")], "dbserver_id int, user_name string, n int, run_id string")
+    merge = merge_of(spark, base, initial)
+    batches = [
+        [(1, "a", 1, 1, "r1", None), (2, "x", 1, 1, "r1", None)],
+        [(1, "b", 2, 2, "r1", None), (1, None, None, None, "r1", True)],
+        [(2, None, None, None, "r1", True), (1, "c", 3, 1, "r2", None)],
+        [(1, None, None, None, "r1", True), (1, None, None, None, "r0", True)],
+    ]
+    want = [
+        {(1, "old", 5, "r0"), (2, "old", 6, "r0")},
+        {(1, "a", 1, "r1"), (1, "b", 2, "r1"), (2, "old", 6, "r0")},
+        {(1, "a", 1, "r1"), (1, "b", 2, "r1"), (2, "x", 1, "r1")},
+        {(1, "a", 1, "r1"), (1, "b", 2, "r1"), (2, "x", 1, "r1")},  # an end told twice, and one long past
+    ]
+    for k, batch in enumerate(batches):
+        for _ in range(2):
+            merge(table(batch, SNAPSHOT), k)
+            assert {tuple(r) for r in rows_of(streams.snapshot_state(spark, base, k + 1))} == want[k]
+    assert {tuple(r) for r in rows_of(streams.snapshot_state(spark, base, 2))} == want[1]
+
+
+def test_snapshot_stream_from_nothing(spark, table, tmp_path):
+    base = str(tmp_path / "state")
+    initial = table([], "dbserver_id int, user_name string, n int, run_id string")
+    merge = merge_of(spark, base, initial)
+    merge(table([], SNAPSHOT), 0)
+    assert rows_of(streams.snapshot_state(spark, base, 1)) == []
+    merge(table([(1, "a", 1, 1, "r1", None), (1, None, None, None, "r1", True)], SNAPSHOT), 1)
+    assert [tuple(r) for r in rows_of(streams.snapshot_state(spark, base, 2))] == [(1, "a", 1, "r1")]
+
+
 def test_snapshot_query_keeps_the_partitions_of_its_rows(spark, sf_dir, tmp_path, monkeypatch):
     monkeypatch.setattr(plans, "scratch_dir", lambda *_: str(tmp_path))
     read = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("events", "customer")}
