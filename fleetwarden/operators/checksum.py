@@ -1,4 +1,4 @@
-"""Chunked table checksums: primary against replica."""
+"""Chunked table checksums, and trees of them: primary against replica."""
 
 from __future__ import annotations
 
@@ -8,6 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetwarden.session import stored
+
+# Children of a node of a hash tree, and nodes that a walk down the tree follows at once.
+FANOUT = 64
+FRONTIER = 64
+_WHOLE = {"byte": 8, "short": 16, "integer": 32, "long": 64}  # bits of whole-number keys
+
 # Fixed value: schemas that are never compared.
 IGNORED_DATABASES = ("mysql",)
 
@@ -36,7 +43,7 @@ def chunk_of(table: DataFrame, key: str, chunk_size: int) -> Column:
     Keys of another type are spread over ``chunk_size`` chunks by a digest. NULL keys are a chunk.
     """
     column = F.col(key)
-    if table.schema[key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+    if table.schema[key].dataType.typeName() not in _WHOLE:
         return F.when(column.isNotNull(), F.pmod(F.xxhash64(column.cast("string")), F.lit(chunk_size))).cast("bigint")
     return F.call_function("div", column - F.pmod(column, F.lit(chunk_size)), F.lit(chunk_size))
 
@@ -95,19 +102,101 @@ def checksum_diff(
     )
 
 
+def hash_tree(leaves: DataFrame, height: int) -> DataFrame:
+    """(level, node, row_count, digest, digest_sum): chunks as level 0, and digests of digests above.
+
+    A node of level n + 1 stands for the FANOUT nodes of level n that follow each other, whatever their
+    number in the table. The chunk of NULL keys is a node of its own on every level.
+    """
+    level = leaves.withColumnRenamed("chunk", "node")
+    levels = [level.withColumn("level", F.lit(0))]
+    for n in range(1, height + 1):
+        own = F.xxhash64("node", "row_count", "digest", "digest_sum")
+        level = level.groupBy(F.call_function("div", F.col("node") - F.pmod("node", F.lit(FANOUT)), F.lit(FANOUT)).alias("node")).agg(
+            F.sum("row_count").alias("row_count"),
+            F.bit_xor(own).alias("digest"),
+            F.sum(F.pmod(own, F.lit(1 << 31))).alias("digest_sum"),
+        )
+        levels.append(level.withColumn("level", F.lit(n)))
+    return reduce(DataFrame.unionByName, levels)
+
+
+def tree_height(*leaves: DataFrame) -> int:
+    """Levels above the chunks until the nodes of all tables fit one walk."""
+    ends = reduce(DataFrame.unionByName, [t.select("chunk") for t in leaves]).agg(F.min("chunk"), F.max("chunk")).first()
+    span, height = (ends[1] - ends[0] + 1 if ends[0] is not None else 1), 0
+    while span > FRONTIER:
+        span, height = -(-span // FANOUT) + 1, height + 1
+    return height
+
+
+def differing_nodes(primary: DataFrame, replica: DataFrame, height: int) -> tuple[int, list[int | None]]:
+    """(level, nodes) that differ: both trees walked from the top, children of differing nodes only.
+
+    The walk ends at the chunks, or a level before more than FRONTIER nodes differ; so what reaches the
+    driver is bounded, and the nodes always cover every difference.
+    """
+    found: tuple[int, list[int | None]] = (height, [])
+    parents: list[int | None] | None = None
+    for level in range(height, -1, -1):
+        sides = []
+        for tree in (primary, replica):
+            nodes = tree.filter(F.col("level") == level).drop("level")
+            if parents is not None:
+                low = [p * FANOUT for p in parents if p is not None]
+                inside = [F.col("node").between(x, x + FANOUT - 1) for x in low]
+                inside += [F.col("node").isNull()] if None in parents else []
+                nodes = nodes.filter(reduce(lambda a, b: a | b, inside))
+            sides.append(nodes)
+        here = [r["node"] for r in _differing(*sides, "node").select("node").limit(FRONTIER + 1).collect()]
+        if len(here) > FRONTIER:
+            # At the top all nodes count; further down, the parents that are known to differ.
+            return found if parents is not None else (level, [r[0] for r in sides[0].unionByName(sides[1]).select("node").distinct().collect()])
+        found = (level, here)
+        if not here:
+            break
+        parents = here
+    return found
+
+
+def _within(table: DataFrame, key: str, chunk_size: int, level: int, nodes: Sequence[int | None]) -> Column:
+    """The rows of some nodes: ranges of whole-number keys, which reach the scan, or else chunks."""
+    kind = table.schema[key].dataType.typeName()
+    width = FANOUT**level
+    ranges: list[list[int]] = []
+    for node in sorted(n for n in nodes if n is not None):
+        if ranges and ranges[-1][1] == node * width:
+            ranges[-1][1] += width
+        else:
+            ranges.append([node * width, (node + 1) * width])
+    found = F.col(key).isNull() if None in nodes else F.lit(False)
+    for low, high in ranges:
+        if kind in _WHOLE:
+            most = 1 << (_WHOLE[kind] - 1)
+            own = F.col(key).between(max(low * chunk_size, -most), min(high * chunk_size - 1, most - 1))
+        else:
+            own = chunk_of(table, key, chunk_size).between(low, high - 1)
+        found = found | own
+    return found
+
+
 def table_diff(
     primary: DataFrame, replica: DataFrame, key: str, columns: Sequence[str], chunk_size: int = 1000
 ) -> DataFrame:
     """Keys that differ, with missing (on the replica), extra or changed.
 
     Keys may be repeated, of any type, or NULL: the rows of a key are compared as a whole, in any
-    order. Only rows of differing chunks take part.
+    order. Both tables are read once for their trees of chunk digests (:func:`hash_tree`); then only the
+    key ranges of the nodes that differ are read again, by filters that reach the scans. The trees are
+    made and walked when the query is built.
     """
-    chunks = checksum_diff(primary, replica, key, columns, chunk_size).select(F.col("chunk").alias("_chunk"))
+    leaves = [stored(table_checksum(t, key, columns, chunk_size), "chunks") for t in (primary, replica)]
+    height = tree_height(*leaves)
+    trees = [stored(hash_tree(t, height), "hash-tree") if height else hash_tree(t, 0) for t in leaves]
+    level, nodes = differing_nodes(*trees, height)
 
     def rows(table: DataFrame) -> DataFrame:
-        own = table.withColumn("_own", chunk_of(table, key, chunk_size))
-        kept = own.join(chunks, F.col("_own").eqNullSafe(F.col("_chunk")), "left_semi")
+        kept = table.filter(_within(table, key, chunk_size, level, nodes))
         return kept.groupBy(key).agg(*_combined(row_digest([key, *columns])))
 
     state = (

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -234,6 +235,36 @@ def test_checksums_are_not_fooled(table):
     assert differ([(1, "k1", "a"), (1, "k2", "b")], [(1, "k1", "a"), (1, "k3", "b")], **text)[1] == [("k2", "missing"), ("k3", "extra")]
 
 
+def test_only_differing_leaves_are_read_again(spark, tmp_path):
+    """One changed row: both scans of the second pass name the 50 keys of its chunk."""
+    base = spark.range(40_000).withColumn("a", F.col("id") % 91)
+    changed = base.withColumn("a", F.when(F.col("id") == 12_345, -1).otherwise(F.col("a")))
+    for name, df in (("p", base), ("r", changed)):
+        df.write.parquet(str(tmp_path / name))
+    primary, replica = (spark.read.parquet(str(tmp_path / n)) for n in "pr")
+    got = chk.table_diff(primary, replica, "id", ["a"], 50)
+    pushed = re.findall(r"PushedFilters: \[([^]]*)\]", got._jdf.queryExecution().executedPlan().toString())
+    assert len(pushed) == 2 and all("GreaterThanOrEqual(id,12300), LessThanOrEqual(id,12349)" in f for f in pushed)
+    assert rows(got) == [(12_345, "changed")]
+
+
+def test_walks_of_any_width(spark, monkeypatch):
+    monkeypatch.setattr(chk, "FANOUT", 4)
+    monkeypatch.setattr(chk, "FRONTIER", 5)
+    base = spark.range(-3_000, 3_000).withColumn("a", F.col("id") * 3)
+    none = spark.sql("select cast(null as bigint) id, 1L a")
+    for wrong in ([], [7], [-3000, 2999], [5, 6, 7, 900], list(range(-2900, 2900, 7))):
+        other = base.withColumn("a", F.when(F.col("id").isin(wrong), -7).otherwise(F.col("a"))) if wrong else base
+        got = chk.table_diff(base.unionByName(none), other, "id", ["a"], 10)
+        assert rows(got) == [(None, "missing")] + [(i, "changed") for i in wrong]
+    leaves = chk.table_checksum(base, "id", ["a"], 10)
+    height = chk.tree_height(leaves)
+    trees = [chk.hash_tree(chk.table_checksum(t, "id", ["a"], 10), height) for t in (base, base.filter("id <> 1234"))]
+    assert chk.differing_nodes(*trees, height) == (0, [123])
+    empty = base.limit(0)
+    assert chk.table_diff(empty, empty, "id", ["a"]).count() == 0 and chk.table_diff(base, empty, "id", ["a"]).count() == 6_000
+
+
 def test_checksum_lists(spark):
     base = spark.range(10).withColumn("a", F.col("id"))
     other = base.filter("id <> 3")
