@@ -23,8 +23,6 @@ LOG_RETENTION_DAYS, REPORT_RETENTION_DAYS, ARCHIVE_RETENTION_DAYS = 90, 2, 5
 
 SECONDS_PER_DAY = 86_400
 CODES_PER_BLOCK = 10_000
-# Most shard folders that a lookup names in its scan; beyond that most are read anyway.
-MAX_NAMED_SHARDS = 10_000
 
 
 # --- cohorts ---------------------------------------------------------------------------------
@@ -169,19 +167,16 @@ def shard_lookup(
 ) -> DataFrame:
     """Profile and account of the requested ids, read from the shards that hold them.
 
-    ``profiles`` and ``accounts`` carry ``shard``. The shards asked for are listed first and named in
-    the scans, so that tables partitioned by ``shard`` on disk are read only there; a request over
-    more than MAX_NAMED_SHARDS shards reads all of them, with the same result.
+    ``profiles`` and ``accounts`` carry ``shard``. On tables partitioned by ``shard`` on disk the scans are
+    pruned at run time to the shards of the requested ids: where these are few enough to be broadcast,
+    the broadcast itself names the shards; otherwise all shards are read, with the same result.
     """
     wanted = with_shard(requested.select("uid").distinct(), width)
-    shards = [r[0] for r in wanted.select("shard").distinct().limit(MAX_NAMED_SHARDS + 1).collect()]
-    if len(shards) <= MAX_NAMED_SHARDS:
-        profiles, accounts = (t.filter(F.col("shard").isin(shards)) for t in (profiles, accounts))
-    return (
-        profiles.join(wanted, ["shard", "uid"], "left_semi")
-        .join(accounts.join(wanted, ["shard", "uid"], "left_semi"), ["shard", "uid"], "inner")
-        .drop("shard")
-    )
+    # Says no more than that the id is given; as a comparison it lets the optimiser prune by the join.
+    wanted = wanted.filter(F.col("uid") >= F.lit(-(1 << 63)))
+    found = profiles.join(wanted, ["shard", "uid"], "left_semi")
+    names = accounts.join(wanted, ["shard", "uid"], "left_semi")
+    return found.join(names, ["shard", "uid"], "inner").drop("shard")
 
 
 def updatable_columns(target: DataFrame, known: Sequence[str] = tuple(ENRICHABLE)) -> list[str]:
