@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden.sources.sinks import append_rows, read_state, state_path
 
-BUCKETS = 64
+BUCKETS = 16
 
 # bucket -> table name -> versions whose folders of this bucket make up the table, oldest first
 Manifest = dict[int, dict[str, list[int]]]

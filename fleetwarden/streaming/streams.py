@@ -54,6 +54,7 @@ def stream_snapshot(
     server: str = "dbserver_id",
     run_column: str = "run_id",
     complete: str = "complete",
+    buckets: int = bk.BUCKETS,
     **options,
 ) -> DataStreamWriter:
     """Reconcile staged rows into the state under ``base``, run by run of each server.
@@ -66,7 +67,8 @@ def stream_snapshot(
     finished last is ignored. Rows and state lie in buckets of servers (:mod:`buckets`): a batch adds its
     rows, and reads and rewrites only the buckets of servers that it finished, so it reads the
     same however many batches came before. A batch that is run again replaces its own folders.
-    ``options`` go to ``reconcile``.
+    ``buckets`` is for the life of the state: as many as servers' rows that one task should rewrite
+    together allow. ``options`` go to ``reconcile``.
     """
     keys = list(keys)
     state_columns = _ddl(initial)
@@ -75,12 +77,12 @@ def stream_snapshot(
         spark, version = batch.sparkSession, batch_id + 1
         if batch_id == 0:
             first: bk.Manifest = {}
-            bk.added(first, "state", 0, bk.write_buckets(initial.withColumn("_bucket", bk.bucket_of(server)), f"{base}/state", 0))
+            bk.added(first, "state", 0, bk.write_buckets(initial.withColumn("_bucket", bk.bucket_of(server, buckets=buckets)), f"{base}/state", 0))
             bk.write_manifest(spark, base, 0, first)
             append_rows(initial.limit(0).coalesce(1), f"{base}/layout", 0)  # its columns, even if it has no row
         manifest = bk.read_manifest(spark, base, batch_id)
         ended = F.coalesce(F.col(complete), F.lit(False))
-        batch = batch.withColumn("_bucket", bk.bucket_of(server))
+        batch = batch.withColumn("_bucket", bk.bucket_of(server, buckets=buckets))
         staged_columns = _ddl(batch.drop(complete, "_bucket"))
         bk.added(manifest, "staged", version, bk.write_buckets(batch.filter(~ended).drop(complete), f"{base}/staged", version))
         marks = batch.filter(ended).groupBy(server, "_bucket").agg(F.max(run_column).alias("_last"))
@@ -106,7 +108,7 @@ def stream_snapshot(
             named = F.when(F.col(run_column) == _THIS_RUN, F.col("_last")).otherwise(F.col(run_column))
             named_rows = look_up(merged, last, [server]).withColumn(run_column, named).drop("_last")
             others = look_up(current, last.select(server), [server], "left_anti").drop("_bucket")
-            new = others.unionByName(named_rows.select(*others.columns)).withColumn("_bucket", bk.bucket_of(server))
+            new = others.unionByName(named_rows.select(*others.columns)).withColumn("_bucket", bk.bucket_of(server, buckets=buckets))
             # Rows of the run that counts stay, in case its end is reported again; those before it go.
             kept = arrived.filter(F.col("_last").isNull() | (F.col(run_column) >= F.col("_last"))).drop("_last")
             ends = look_up(read("finished", ends_columns), last.select(server), [server], "left_anti").unionByName(done)
