@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fleetwarden.operators import requests as rq
 from fleetwarden.plans.registry import query
 from fleetwarden.session import scratch_dir, stored
-from fleetwarden.sources import readers, sinks
+from fleetwarden.sources import readers, retention, sinks
 
 AS_OF = "2001-08-02"
 LOW_DAY = "date_diff('day', date '1970-01-01', date '2001-08-02')"
@@ -223,6 +223,33 @@ def retention_plan(t):
     return rq.retention_plan(t.events, "ts", "2024-01-31", 5)
 
 
+def _orders_by_year(t) -> str:
+    """The orders as a table partitioned by year on disk."""
+    path = scratch_dir(t.spark, "orders-by-year")
+    rows = t.orders.select("o_orderkey", "o_orderdate", F.date_format("o_orderdate", "yyyy").alias("year"))
+    rows.repartition("year").write.partitionBy("year").parquet(path)
+    return path
+
+
+@query(
+    """
+    select strftime(o_orderdate, '%Y') as "partition", 1 as files,
+      case when strftime(o_orderdate, '%Y') < '1999' then 'drop' when strftime(o_orderdate, '%Y') = '1999' then 'trim'
+        else 'keep' end as action
+    from orders group by 1, 3"""
+)
+def retention_folders(t):
+    listing = readers.read_listing(t.spark, _orders_by_year(t), "*.parquet")
+    return retention.retention_folders(listing, "year", "1999-07-04", 100).select("partition", "files", "action")
+
+
+@query("select o_orderkey, o_orderdate from orders where o_orderdate >= timestamp '1999-03-26 00:00:00'")
+def retention_applied(t):
+    path = _orders_by_year(t)
+    retention.apply_retention(t.spark, path, "year", "o_orderdate", "1999-07-04", 100)
+    return t.spark.read.parquet(path).select("o_orderkey", "o_orderdate")
+
+
 @query(
     """
     select * from (with recursive o as (

@@ -175,3 +175,23 @@ def test_retention(table):
     )
     assert rows(rq.retained(logs, "at", AS_OF, 2), "id") == [(1,)]
     assert rows(rq.retention_plan(logs, "at", AS_OF, 2)) == [("2024-01-28", 1)]
+
+
+def test_retention_reads_the_listing_only(table, spark, tmp_path):
+    from fleetwarden.sources import readers, retention
+
+    path = str(tmp_path / "logs")
+    days = spark.range(0, 400).select("id", F.expr("timestamp '2023-06-01 12:00:00' + make_interval(0, 0, 0, cast(id as int))").alias("at"))
+    days.withColumn("month", F.date_format("at", "yyyy-MM")).write.partitionBy("month").parquet(path)
+    (tmp_path / "logs" / "month=other").mkdir()
+    (tmp_path / "logs" / "month=other" / "x.parquet").write_bytes((next((tmp_path / "logs").glob("month=2024-01/*.parquet"))).read_bytes())
+    plan = retention.retention_folders(readers.read_listing(spark, path, "*.parquet"), "month", "2024-02-20 10:00:00", 15)
+    assert "Parquet" not in plan._jdf.queryExecution().executedPlan().toString()
+    actions = dict(rows(plan, "partition", "action"))
+    assert actions["2024-01"] == "drop" and actions["2024-02"] == "trim" and actions["2024-03"] == actions["other"] == "keep"
+    kept = {p.name for p in (tmp_path / "logs" / "month=2024-03").glob("*.parquet")}
+    for _ in range(2):
+        retention.apply_retention(spark, path, "month", "at", "2024-02-20 10:00:00", 15)
+        left = spark.read.parquet(path).filter("month <> 'other'")
+        assert rows(left.select("id")) == rows(days.filter("at >= timestamp '2024-02-05 00:00:00'").select("id"))
+    assert {p.name for p in (tmp_path / "logs" / "month=2024-03").glob("*.parquet")} == kept
