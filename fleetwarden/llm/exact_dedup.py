@@ -8,7 +8,7 @@ salted stage as one row per map task, spread over the salts, and the last stage
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwarden.llm.common import packed, stored, text_of, texts
@@ -65,13 +65,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     :func:`combine_copies`. Other columns are not read.
     """
     rows = texts(docs, id_col, text_col).select("doc_id", content_digest(F.col("text")).alias("digest"))
-    # Numbers rows that repeat one id and text; a group is as large as one row was repeated.
-    again = F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy("digest"))
-    return look_up(rows.withColumn("_again", again), winners(docs, id_col, text_col, salts), ["digest"]).select(
+    # The place of each row, written so that it stays the same. Of rows that repeat one id and text the first
+    # stays: its place is a minimum, taken in each task before anything is shuffled.
+    rows = stored(rows.withColumn("_place", F.monotonically_increasing_id()), "places")
+    rows = rows.withColumn("_pair", F.struct("doc_id", "digest"))
+    firsts = rows.groupBy("_pair").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_times"))
+    rows = look_up(rows, firsts.filter("_times > 1").drop("_times"), ["_pair"])
+    first = F.col("_first").isNull() | (F.col("_first") == F.col("_place"))
+    return look_up(rows, winners(docs, id_col, text_col, salts), ["digest"]).select(
         "doc_id",
         "keep_id",
         "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_again") == 1)).alias("kept"),
+        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & first).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 

@@ -30,6 +30,10 @@ def test_groups(spark):
     check(spark, [(i, f"text {i % 7}" if i % 3 else "hot") for i in range(300)])
 
 
+def test_one_row_repeated_very_often(spark):
+    check(spark, [(7, "hot")] * 200 + [(i, f"text {i}") for i in range(20)] + [(None, "hot")] * 50)
+
+
 def test_ties_and_nulls(spark):
     check(spark, [(1, "a"), (1, "a"), (2, None), (3, ""), (None, "a"), (None, "only"), (4, "A"), (5, "a "), (6, " a")])
 
