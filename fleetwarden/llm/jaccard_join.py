@@ -38,7 +38,7 @@ from fleetwarden.operators.lookup import look_up
 THRESHOLD = 80  # percent
 RATIO = 2.0  # of the ends of a band of sizes
 # Signatures that a task gathers before it deals them out.
-GATHERED = 1 << 21
+GATHERED = 1 << 20
 # From this many equal signatures of one task on, they are settled there; also the highest cost.
 FREQUENT = 16
 # Text for which one task compares all signatures.
