@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwarden.functions.text import sql_string
 from fleetwarden.operators.lookup import look_up
+from fleetwarden.operators.prefix import ranged, sums_before
 from fleetwarden.session import stored
 
 # Largest cell: what a key holds beyond it goes to further rows.
 MAX_CELL_BYTES = 16 * 1024 * 1024
-# monotonically_increasing_id() counts the rows of a partition in its lower bits.
-_ROW_BITS = 33
 
 
 def ordered_concat(
@@ -57,31 +56,8 @@ def ordered_concat(
     return both.groupBy(*keys, "part_no").agg(cell.alias(out), *others).select(*keys, "part_no", out, *last)
 
 
-def ranged(rows: DataFrame, places: Sequence[str]) -> DataFrame:
-    """The rows range-partitioned and sorted by key and order, and stored, with _part and _row.
-
-    A key of any size is spread over as many partitions as it fills; they follow its order.
-    """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = rows.repartitionByRange(parts, "_key", *places, "_text").sortWithinPartitions("_key", *places, "_text")
-    held = stored(spread.withColumn("_id", F.monotonically_increasing_id()), "ranged")
-    row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return held.withColumns({"_part": F.shiftright("_id", _ROW_BITS), "_row": row}).drop("_id")
-
-
 def _parts(rows: DataFrame, places: Sequence[str], half: int) -> DataFrame:
-    """``part_no`` of each row by a prefix sum in two levels.
-
-    The bytes of a key in each partition are one row of a small table, whose running sum is the
-    offset of that partition; to it comes the running sum within the partition. No task holds more of
-    a key than one partition of the range.
-    """
-    held = ranged(rows, places)
-    before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = held.groupBy("_key", "_part").agg(F.sum("_bytes").alias("_sum"))
-    offsets = sums.select("_key", "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_key", "_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-    here = F.coalesce(F.sum("_bytes").over(within), F.lit(0))
-    found = look_up(held, offsets, ["_key", "_part"])
-    found = found.withColumn("part_no", F.floor((F.col("_offset") + here) / F.lit(half)).cast("bigint"))
-    return found.drop("_part", "_row", "_offset")
+    """``part_no`` of each row by the bytes before it, a sum in two levels (:mod:`prefix`)."""
+    held = sums_before(ranged(rows, ["_key", *places, "_text"]), "_key", "_bytes", "_before")
+    part = F.floor(F.col("_before") / F.lit(half)).cast("bigint")
+    return held.withColumn("part_no", part).drop("_part", "_row", "_before")

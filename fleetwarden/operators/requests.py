@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden.functions.times import epoch_seconds, midnight, time_literal
 from fleetwarden.operators.lookup import look_up
+from fleetwarden.operators.prefix import ranged, sums_before
 from fleetwarden.operators.reconcile import update_from
 from fleetwarden.session import stored
 
@@ -237,29 +238,49 @@ def quota_in_order(
     """:func:`quota_check` for a whole sheet worked off in ``order``: each request also sees the codes
     of the accepted ones before it in its batch.
 
-    The requests of a batch pass through one task in order, which keeps a single running number.
+    The requests are range-partitioned by batch and order once. Rounds of running sums follow: of what is
+    undecided in a batch, all before the first that does not fit are accepted, that one is refused,
+    and so is whatever is larger than the room now left. A batch of any size is spread over tasks.
+    The rounds run when the query is built. Requests without batch or amount are refused.
     """
     rows = _with_stock(requests, batches, codes, order)
-    fields = ["batch_id", *order]
-
-    def fold(frames):
-        current, used = None, 0  # no batch is None here
-        for frame in frames:
-            accepted, seen = [], []
-            for batch, known, existing, amount in zip(frame["batch_id"], frame["_known"], frame["existing"], frame["amount"]):
-                if batch != current:
-                    current, used = batch, existing
-                ok = bool(known) and used + amount <= limit
-                seen.append(used)
-                accepted.append(ok)
-                used += amount if ok else 0
-            yield frame.assign(existing=seen, accepted=accepted)
-
-    dealt = rows.filter(F.col("batch_id").isNotNull()).repartition("batch_id").sortWithinPartitions(*fields)
-    schema = rows.select("*", F.lit(True).alias("accepted")).schema
-    checked = dealt.mapInPandas(fold, schema)
-    nameless = rows.filter(F.col("batch_id").isNull()).withColumn("accepted", F.lit(False))
-    return _with_status(checked.unionByName(nameless), limit)
+    countable = F.coalesce(F.col("_known") & F.col("batch_id").isNotNull(), F.lit(False))
+    held = ranged(rows.filter(countable), ["batch_id", *order])
+    place = ["batch_id", "_part", "_row"]
+    asked = held.filter("amount is not null")
+    taken = _accepted(asked.select(*place, "amount", (F.lit(limit) - F.col("existing")).alias("_room")))
+    held = look_up(held, taken.withColumn("_taken", F.lit(True)), place)
+    held = held.withColumn("accepted", F.coalesce("_taken", F.lit(False)))
+    held = held.withColumn("_counts", F.when(F.col("accepted"), F.col("amount")).otherwise(0))
+    held = sums_before(held, "batch_id", "_counts", "_before")
+    seen = (F.col("existing") + F.col("_before")).cast(rows.schema["existing"].dataType)
+    checked = held.withColumn("existing", seen).select(*rows.columns, "accepted")
+    others = rows.filter(~countable).withColumn("accepted", F.lit(False))
+    return _with_status(checked.unionByName(others), limit)
+
+
+def _accepted(open_: DataFrame) -> DataFrame:
+    """(batch_id, _part, _row) of the requests (with amount and _room) that are accepted in their order."""
+    taken = []
+    here = F.struct("_part", "_row")
+    while True:
+        rows = sums_before(open_, "batch_id", "amount", "_before")
+        misses = rows.filter(F.col("_before") + F.col("amount") > F.col("_room"))
+        rows = look_up(rows, misses.groupBy("batch_id").agg(F.min(here).alias("_first")), ["batch_id"])
+        rows = rows.withColumn("_state", F.when(F.col("_first").isNull() | (here < F.col("_first")), 0).when(here > F.col("_first"), 1))
+        rows = rows.filter("_state is not null")  # the first that does not fit is refused
+        spent = rows.groupBy("batch_id").agg(
+            F.sum(F.when(F.col("_state") == 0, F.col("amount")).otherwise(0)).alias("_spent"),
+            F.min(F.when(F.col("_state") == 1, F.col("amount"))).alias("_least"),
+        )
+        rows = look_up(rows, spent, ["batch_id"]).withColumn("_left", F.col("_room") - F.col("_spent"))
+        # With a negative amount to come, the room may grow again.
+        fits = (F.col("_state") == 0) | (F.col("amount") <= F.col("_left")) | (F.col("_least") < 0)
+        rows = stored(rows.filter(fits).select("batch_id", "_part", "_row", "amount", "_left", "_state"), "round")
+        taken.append(rows.filter("_state = 0").select("batch_id", "_part", "_row"))
+        open_ = rows.filter("_state = 1").select("batch_id", "_part", "_row", "amount", F.col("_left").alias("_room"))
+        if open_.isEmpty():
+            return reduce(DataFrame.unionByName, taken)
 
 
 def _with_stock(requests: DataFrame, batches: DataFrame, codes: DataFrame, order: Sequence[str] = ()) -> DataFrame:

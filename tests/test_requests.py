@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import re
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden import schemas
 from fleetwarden.operators import requests as rq
+from fleetwarden.operators.prefix import ranged
 from tests.conftest import rows
 
 DAY = 86400
@@ -136,6 +138,50 @@ def test_quota(table):
     assert rows(rq.first_per_batch(requests, ["request_id"]), "request_id") == [(1,), (3,), (4,)]
 
 
+def in_order(requests, known, stock, limit):
+    """{request_id: (existing, accepted)} by one running number per batch."""
+    used, out = dict(stock), {}
+    for i, batch, amount in sorted(requests, key=lambda r: r[0]):
+        seen = used.get(batch, 0)
+        ok = batch in known and amount is not None and seen + amount <= limit
+        out[i] = (seen if batch is not None else 0, ok)
+        if ok:
+            used[batch] = seen + amount
+    return out
+
+
+@pytest.mark.parametrize("low", [0, -40])
+def test_quota_in_order_of_any_sheet(table, low):
+    generator = random.Random(low)
+    requests = [
+        (i, generator.choice(["hot", "hot", "hot", "b", "c", "no such", None]), generator.choice([None, 1, generator.randrange(low, 120)]))
+        for i in range(300)
+    ] + [(1000 + k, "stairs", amount) for k, amount in enumerate([1, 50, 1, 49, 1, 48, 60, 47, 2])]
+    stock = {"hot": 3, "b": 200, "stairs": 0, "full": 7}
+    batches = table([("hot",), ("b",), ("c",), ("stairs",)], "id string")
+    codes = table([(str(i), b) for b, n in stock.items() for i in range(n)], "id string, promo_batch_id string")
+    df = table(requests, "request_id int, batch_id string, amount int")
+    got = rq.quota_in_order(df, batches, codes, limit=250 if low else 50)
+    found = {r["request_id"]: (r["existing"], r["accepted"]) for r in got.collect()}
+    assert found == in_order(requests, {"hot", "b", "c", "stairs"}, stock, 250 if low else 50)
+    assert rq.quota_in_order(df.limit(0), batches, codes).count() == 0
+
+
+def test_quota_in_order_spreads_the_hot_batch(spark):
+    sheet = spark.range(6000).select(
+        F.col("id").alias("request_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("b"), F.col("id") % 50)).alias("batch_id"),
+        F.lit(1).alias("amount"),
+    )
+    held = ranged(sheet, ["batch_id", "request_id"])
+    assert held.filter("batch_id = 'hot'").select("_part").distinct().count() > 2
+    batches = sheet.select(F.col("batch_id").alias("id")).distinct()
+    none = spark.createDataFrame([], "id string, promo_batch_id string")
+    got = rq.quota_in_order(sheet, batches, none, limit=1500)
+    taken = got.filter("accepted and batch_id = 'hot'")
+    assert taken.count() == 1500 and taken.agg(F.max("request_id")).first()[0] == 3 * 1499
+    assert got.filter("not accepted and batch_id <> 'hot'").count() == 0
+
+
 def test_codes(table):
     requests = table([(1, "b", 25000), (2, "c", 3)], "request_id int, batch_id string, amount int")
     none = table([], "id string")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden.operators import concat as cc
 from fleetwarden.operators import health as hl
+from fleetwarden.operators import prefix as px
 from fleetwarden.operators import reconcile as rec
 from fleetwarden.operators import requests as rq
 
@@ -125,7 +126,7 @@ def test_concatenation_spreads_the_hot_key(no_broadcast):
     no_broadcast.conf.set("spark.sql.shuffle.partitions", "24")
     rows = hot(no_broadcast, 30000)
     lined = rows.withColumn("_key", F.struct("uid")).withColumn("_text", F.col("text")).withColumn("_order0", F.col("n"))
-    held = cc.ranged(lined, ["_order0"])
+    held = px.ranged(lined, ["_key", "_order0", "_text"])
     spread = held.filter("uid = 7").groupBy("_part").count().collect()
     assert len(spread) > 5 and max(r["count"] for r in spread) < 5000
     ends = held.filter("uid = 7").groupBy("_part").agg(F.min("n").alias("low"), F.max("n").alias("high")).orderBy("_part").collect()
