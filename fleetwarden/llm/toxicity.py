@@ -36,7 +36,7 @@ LEAST, SHARE, ODDS = 3, 0.01, 16
 BASE, OWN = 32 << 10, 8 << 10  # bytes of the common and, at most, of each separate part
 WINDOW = 64  # bytes of a word compressed at once: longer words make several windows
 STEPS = (2, 3, 4, 5, 6)  # thresholds on the distance, in bytes
-CACHE_SIZE = 1 << 17  # windows whose distance a worker remembers
+CACHE_SIZE = 1 << 18  # windows whose distance a worker remembers
 REJECT = 0.3  # texts from this score on are predicted toxic
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -49,6 +49,16 @@ def windows(text: str) -> list[bytes]:
     return found
 
 
+def _some(texts_: Sequence[str], longer: int, most: int = 300_000) -> list[bytes]:
+    """The windows of more than ``longer`` bytes of the first texts, about ``most`` of them at most."""
+    found: list[bytes] = []
+    for t in texts_:
+        if len(found) >= most:
+            break
+        found.extend(w for w in windows(t) if len(w) > longer)
+    return found
+
+
 def _spread(texts_: Sequence[str]) -> Counter[bytes]:
     """How many of the texts hold each window."""
     found: Counter[bytes] = Counter()
@@ -216,9 +226,7 @@ def train(toxic: Sequence[str], ordinary: Sequence[str], share: float, cut: floa
     shuffle.shuffle(ordinary)
     half, quarter = len(toxic) // 2, len(ordinary) // 4
     reference, contrast, rest = ordinary[: 2 * quarter], ordinary[2 * quarter : 3 * quarter], ordinary[3 * quarter :]
-    words = [b" " + w for t in reference for w in windows(t) if len(w) > 2]
-    base = _train(shuffle.sample(words, min(len(words), 300_000)), BASE, 48)
-    del words
+    base = _train([b" " + w for w in _some(reference, 2)], BASE, 48)
     known = {g for w in _spread(toxic[:half]) for g in _affixes(w)}
     affixes: Counter[bytes] = Counter()
     common = _spread(reference + contrast)
@@ -227,8 +235,7 @@ def train(toxic: Sequence[str], ordinary: Sequence[str], share: float, cut: floa
             affixes[g] += c
     total = sum(common.values())
     del known, common
-    more = [w + b" " for t in contrast for w in windows(t) if len(w) > 4]
-    more = shuffle.sample(more, min(len(more), 300_000))
+    more = [w + b" " for w in _some(contrast, 4)]
     other = _train(more, OWN, 32) + b"".join(more[: OWN // 5])
 
     own = _own(toxic[:half], affixes, total)
