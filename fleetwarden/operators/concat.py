@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetwarden.functions.text import sql_string
 from fleetwarden.operators.lookup import look_up
-from fleetwarden.operators.prefix import ranged, sums_before
-from fleetwarden.session import stored
 
 # Largest cell: what a key holds beyond it goes to further rows.
 MAX_CELL_BYTES = 16 * 1024 * 1024
@@ -29,13 +27,13 @@ def ordered_concat(
 ) -> DataFrame:
     """Texts of each key joined by ``sep`` in ``order``: (keys, part_no, out).
 
-    One rule for every key: a row goes to the part that half a cell's worth of bytes before it in its
-    key says, so a cell holds ``max_cell_bytes`` at most unless one row alone has more than half of
-    that. Parts are numbered from 0 and, joined by ``sep`` in their order, are the whole text; gaps in
-    the numbers are allowed. For a key that fits half a cell the rule says part 0 for all rows. Only for
-    the others the bytes before each row are summed, see :func:`_parts`. Which keys these are is
-    found when the query is built. Columns named in ``last`` come from the last row of the part.
-    ``head``, made of the keys, goes once in front of the texts.
+    A key of at most half a cell's bytes is one part, number 0. The rows of a longer key are spread
+    over as many range partitions as they fill (:func:`_parts`), and a row goes to the part that half a
+    cell's worth of bytes before it in its partition say; so a cell holds ``max_cell_bytes`` at most unless one
+    row alone has more than half of that. Parts, joined by ``sep`` in the order of their numbers, are the whole
+    text; gaps in the numbers are allowed, and a long key's parts may be cut and numbered otherwise in another
+    run. Columns named in ``last`` come from the last row of the part.
+    ``head``, made of the keys, goes once in front of the texts. NULL keys are keys like all others.
     """
     keys = list(keys)
     # Order columns of their own: listagg sorts by a struct several times slower.
@@ -46,18 +44,31 @@ def ordered_concat(
     half = max(1, max_cell_bytes // 2)
     # One struct, never NULL, so that NULL keys are keys like all others.
     rows = rows.withColumn("_key", F.struct(*keys))
-    long_ = rows.groupBy("_key").agg(F.sum("_bytes").alias("_all")).filter(F.col("_all") > half).select("_key")
-    long_ = stored(long_, "long-keys")
-    short = look_up(rows, long_, ["_key"], "left_anti").withColumn("part_no", F.lit(0).cast("bigint"))
-    both = short.unionByName(_parts(look_up(rows, long_, ["_key"], "left_semi"), places, half))
+    place = F.struct(*places, "_text")
+    long_ = rows.groupBy("_key").agg(F.sum("_bytes").alias("_all"), F.min(place).alias("_least"))
+    long_ = long_.filter(F.col("_all") > half).select("_key", "_least")
+    short = look_up(rows, long_.select("_key"), ["_key"], "left_anti")
+    short = short.withColumns({"part_no": F.lit(0).cast("bigint"), "_begins": F.lit(True)})
+    more = _parts(look_up(rows, long_, ["_key"]).filter("_least is not null"), places, half)
+    more = more.withColumn("_begins", place == F.col("_least")).drop("_least")
+    both = short.unionByName(more)
     texts = F.expr(f"listagg(_text, {sql_string(sep)}) within group (order by {', '.join(places)})")
-    cell = texts if head is None else F.when(F.col("part_no") == 0, F.concat_ws(sep, head, texts)).otherwise(texts)
+    cell = texts if head is None else F.when(F.bool_or("_begins"), F.concat_ws(sep, head, texts)).otherwise(texts)
     others = [F.max_by(c, F.struct(*places)).alias(c) for c in last]
     return both.groupBy(*keys, "part_no").agg(cell.alias(out), *others).select(*keys, "part_no", out, *last)
 
 
 def _parts(rows: DataFrame, places: Sequence[str], half: int) -> DataFrame:
-    """``part_no`` of each row by the bytes before it, a sum in two levels (:mod:`prefix`)."""
-    held = sums_before(ranged(rows, ["_key", *places, "_text"]), "_key", "_bytes", "_before")
-    part = F.floor(F.col("_before") / F.lit(half)).cast("bigint")
-    return held.withColumn("part_no", part).drop("_part", "_row", "_before")
+    """``part_no`` of each row of long keys: its range partition, and the cell within it.
+
+    The partitions follow the order of a key, so their numbers and the running sum of bytes within
+    (key, partition) say all; no task holds more of a key than one partition of the range.
+    """
+    columns = ["_key", *places, "_text"]
+    held = rows.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    # Counts partitions in its upper 31 bits, and the rows of a partition below.
+    held = held.withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_id", 33))
+    within = Window.partitionBy("_key", "_part").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+    here = F.floor(F.coalesce(F.sum("_bytes").over(within), F.lit(0)) / F.lit(half)).cast("bigint")
+    part = F.col("_part") * (1 << 31) + here
+    return held.withColumn("part_no", part).drop("_part", "_id")
