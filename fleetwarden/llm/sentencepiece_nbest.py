@@ -28,7 +28,9 @@ from pyspark.sql import types as T
 
 from fleetwarden.llm.common import packed, slices, text_of
 
-CACHE_SIZE = 1 << 17  # units in each of a worker's two generations of remembered units: 90 MB in all
+CACHE_SIZE = 1 << 18  # units in each of a worker's two generations of remembered units: 180 MB in all
+# Where whole rows go through the worker it remembers this part of them.
+BESIDE_ROWS = 2
 SPACE = "▁"
 
 
@@ -42,10 +44,10 @@ class Path(NamedTuple):
 class Pieces:
     """The pieces of a model file as a lattice, with this worker's remembered units."""
 
-    def __init__(self, path: str, nbest: int):
+    def __init__(self, path: str, nbest: int, part: int = 1):
         from sentencepiece import SentencePieceProcessor
 
-        self.nbest = nbest
+        self.nbest, self.part = nbest, part
         self.processor = sp = SentencePieceProcessor(model_file=path)
         skip = [sp.is_control, sp.is_unknown, sp.is_unused, sp.is_byte]
         usual = [i for i in range(sp.get_piece_size()) if not any(f(i) for f in skip)]
@@ -170,7 +172,7 @@ class Pieces:
                     at = back[at]
                 ids.reverse()
                 found = (best[-1], struct.pack(f"<{len(ids)}i", *ids), loss)
-            if len(self.new) >= CACHE_SIZE:
+            if len(self.new) >= CACHE_SIZE // self.part:
                 self.old, self.new = self.new, {}
             self.new[unit] = found
         return found
@@ -223,8 +225,8 @@ class Pieces:
 
 
 @lru_cache(maxsize=4)
-def pieces(path: str, nbest: int) -> Pieces:
-    return Pieces(path, nbest)
+def pieces(path: str, nbest: int, part: int = 1) -> Pieces:
+    return Pieces(path, nbest, part)
 
 
 def encode_nbest(docs: DataFrame, path: str, nbest: int = 3, text_col: str = "text") -> DataFrame:
@@ -246,7 +248,7 @@ def encode_nbest(docs: DataFrame, path: str, nbest: int = 3, text_col: str = "te
         return pa.RecordBatch.from_arrays([row, row.flatten()[place]], ["row", "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = pieces(path, nbest)
+        own = pieces(path, nbest, BESIDE_ROWS)
         for batch in slices(map(with_text, batches), "text"):
             scores, ids, sizes, decoded = [], [], [], []
             for text in batch.column("text"):
