@@ -11,6 +11,7 @@ from fleetwarden.plans import health_jobs as hj
 from fleetwarden.plans.registry import query
 from fleetwarden.plans.snapshots import _doc_lines
 from fleetwarden.session import scratch_dir
+from fleetwarden.sources.sinks import write_packed
 
 AS_OF = "1999-07-04"
 
@@ -256,10 +257,10 @@ def table_diff(t):
 
 
 def _captured(t, rows, name: str) -> str:
-    """Text files, one folder per server, as a collection leaves them: (dbserver_id, value)."""
-    folder = scratch_dir(t.spark, name)
-    rows.write.partitionBy("dbserver_id").text(folder)
-    return folder
+    """A file per server, as a collection leaves them, of (dbserver_id, value); packed, since servers are many."""
+    server = F.coalesce(F.col("dbserver_id").cast("string"), F.lit("unknown"))
+    file = F.concat(F.lit("dbserver_id="), server, F.lit("/captured.txt"))
+    return write_packed(rows.select(file.alias("file"), "value"), scratch_dir(t.spark, name))
 
 
 JOB_SERVERS = """s as (select id as dbserver_id, contact_id,

@@ -2,6 +2,10 @@
 
 Each ``read_*`` opens files; the ``parse_*`` it uses works on a DataFrame with a ``line`` column,
 so the same code serves text that is already in a table or a stream.
+
+A folder that ends in PACKED holds many captured files in a few (:func:`sinks.write_packed`); lines,
+records, reports and listings are read from it as from the files themselves, and their ``file`` or
+``path`` is that of the captured file.
 """
 
 from __future__ import annotations
@@ -16,6 +20,9 @@ from fleetwarden.functions.text import client_null, decode_field
 
 # Fixed value: the mark before each record of vertical client output.
 RECORD_MARK = "*************************** "
+# The end of a folder's name that tells captured files packed into a few.
+PACKED = ".packed"
+_PACKED_SCHEMA = "file string, place bigint, length bigint, text string"
 # Where the client's output of each object type holds the definition.
 DEFINITION_COLUMN = {"table": 2, "view": 2, "event": 4, "trigger": 3, "procedure": 3}
 
@@ -59,12 +66,39 @@ def read_tsv(
     return parse_tsv(lines, schema, escapes=escapes, **constants)
 
 
+def _packed(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame | None:
+    """The rows of packed captured files; None where ``path`` holds the files themselves."""
+    if not path.rstrip("/").endswith(PACKED):
+        return None
+    rows = spark.read.schema(_PACKED_SCHEMA).parquet(path)
+    return rows.filter(F.regexp_extract("file", "[^/]*$", 0).rlike(_glob_pattern(glob))) if glob else rows
+
+
+def _glob_pattern(glob: str) -> str:
+    """A file name pattern of ``*`` and ``?`` as a JVM pattern."""
+    if set(glob) & set("[]{}\\"):
+        raise ValueError(f"packed files are chosen by * and ? only, not by {glob!r}")
+    wild = {"*": ".*", "?": "."}
+    return "(?s)^" + "".join(wild.get(c, rf"\Q{c}\E") for c in glob) + "$"
+
+
+def _packed_lines(rows: DataFrame) -> DataFrame:
+    """(file, line_no, line) of packed rows; a line ends as in a text file, by CR, LF or both."""
+    pieces = F.split("text", "\r\n|\r|\n")  # the last one, after the last line end, is no line
+    rows = rows.select("file", "place", F.posexplode(F.slice(pieces, F.lit(1), F.size(pieces) - 1)).alias("_at", "line"))
+    line_no = F.struct(F.col("place").alias("block"), F.col("_at").cast("bigint").alias("id"))
+    return rows.select("file", line_no.alias("line_no"), "line")
+
+
 def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Lines of text files with (file, line_no). ``line_no`` orders the lines of one file.
 
     It is (offset of the file split, running id within the task), so a file of any size is read
     by many tasks and never whole. It is for ordering only and does not count lines.
     """
+    packed = _packed(spark, path, glob)
+    if packed is not None:
+        return _packed_lines(packed)
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     return reader.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -100,13 +134,20 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     The record mark is the reader's line separator, so records of several lines are still read in
     parallel.
     """
-    raw = spark.read.option("lineSep", RECORD_MARK).text(path)
-    raw = raw.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("record"))
+    packed = _packed(spark, path)
+    if packed is not None:
+        raw = packed.select("file", F.explode(F.split("text", rf"\Q{RECORD_MARK}\E")).alias("record"))
+    else:
+        raw = spark.read.option("lineSep", RECORD_MARK).text(path)
+        raw = raw.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("record"))
     return parse_records(raw.filter(F.col("record").contains(":")))
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a delimited report (file, line); see ``replication_subscriptions``."""
+    packed = _packed(spark, path)
+    if packed is not None:
+        return _packed_lines(packed).select("file", "line")
     return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")
     )
@@ -116,6 +157,13 @@ def read_listing(
     spark: SparkSession, path: str, glob: str = "*", modified_after: str | None = None
 ) -> DataFrame:
     """Files under ``path`` as (path, length, modified); their content is not read."""
+    if path.rstrip("/").endswith(PACKED):
+        since = {"modifiedAfter": modified_after} if modified_after else {}
+        rows = spark.read.options(**since).schema(_PACKED_SCHEMA).parquet(path)
+        rows = rows.filter(F.regexp_extract("file", "[^/]*$", 0).rlike(_glob_pattern(glob)))
+        return rows.groupBy(F.col("file").alias("path")).agg(
+            F.sum("length").alias("length"), F.max("_metadata.file_modification_time").alias("modified")
+        )
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     reader = reader.option("recursiveFileLookup", "true")
     if modified_after:

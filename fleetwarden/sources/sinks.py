@@ -1,10 +1,12 @@
-"""Writers: request results, report rows and pages, versioned state."""
+"""Writers: request results, report rows and pages, captured files, versioned state."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetwarden.sources.readers import PACKED
+
 
 def write_csv(rows: DataFrame, path: str, by: str | None = None) -> None:
     """CSV with a header; values are quoted where needed. ``by`` gives one folder per value."""
@@ -40,6 +42,25 @@ def write_page(page: DataFrame, path: str) -> None:
     page.orderBy("section", "line_no", "value").select("value").write.mode("overwrite").text(path)
 
 
+def write_packed(rows: DataFrame, path: str) -> str:
+    """Captured files, as many as there may be, in a few files; returns the folder, for ``read_*``.
+
+    rows: (file, value), where a value is one or more whole lines or records of a file, without its last
+    line end, and NULL an empty line. One file per server costs the same time for each server, however
+    little it holds; here the number of files is that of the partitions of ``rows``. No row is moved.
+    ``place`` keeps the order of a file's rows.
+    """
+    folder = f"{path.rstrip('/')}{PACKED}"
+    value = F.coalesce("value", F.lit(""))
+    rows.select(
+        "file",
+        F.monotonically_increasing_id().alias("place"),
+        (F.octet_length(value) + 1).cast("bigint").alias("length"),
+        F.concat(value, F.lit("\n")).alias("text"),
+    ).write.parquet(folder)
+    return folder
+
+
 def state_path(base: str, version: int) -> str:
     return f"{base.rstrip('/')}/version={version:012d}"
 

@@ -1,6 +1,10 @@
+from pathlib import Path
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from fleetwarden.plans import health_jobs as hj
+from fleetwarden.plans.health import _captured
 from tests.conftest import rows
 from tests.test_inventory import fleet
 
@@ -49,3 +53,14 @@ def test_replication(spark, table, tmp_path):
     put(mssql, 4, "status,warning,subscriber\n2,0,sub,p,db,6,7,8,99999,10,11,12,13,14,now,agent\n2,0,sub,p,ok,6,7,8,1,10,11,12,13,14,now,agent\n")
     got = hj.replication_findings(spark, str(mssql), servers, "replication_mssql")
     assert rows(got, "dbserver_id", "channel", "lag") == [(4, "sub.db", "99999")]
+
+
+def test_captures_of_many_servers_are_few_files(spark, table):
+    """Queries that capture a file per server do not write one each."""
+    t = SimpleNamespace(spark=spark)
+    lines = spark.range(3000, numPartitions=4).selectExpr("cast(id as int) as dbserver_id", "'2,0,sub,p,db,6,7,8,99999' as value")
+    path = _captured(t, lines, "many")
+    assert len(list(Path(path).rglob("part-*"))) <= 4
+    servers, *_ = fleet(table)
+    got = hj.replication_findings(spark, path, servers, "replication_mssql")
+    assert rows(got, "dbserver_id", "channel", "lag") == [(4, "sub.db", "99999")]

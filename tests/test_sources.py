@@ -110,3 +110,32 @@ def test_catalog_columns(spark, table):
     assert rows(readers.catalog_columns(spark, "catalog_probe")) == [
         ("uid", "bigint"), ("username", "string"),
     ]
+
+
+def test_packed_files_read_like_files(spark, table, tmp_path):
+    """Captured files packed into a few give what the files give, and no file per captured file."""
+    mark = readers.RECORD_MARK
+    captured = [(f"dbserver_id={i}/f.txt", text) for i in range(60) for text in (f"a{i}\nb\r", "", None, f"{mark}1. row\n K: {i}\n\tL: x")]
+    for file, text in captured:
+        (tmp_path / "plain" / file).parent.mkdir(parents=True, exist_ok=True)
+        with (tmp_path / "plain" / file).open("a", newline="") as out:
+            out.write((text or "") + "\n")
+    packed = sinks.write_packed(table(captured, "file string, value string").coalesce(3), str(tmp_path / "few"))
+    assert len(list((tmp_path / "few.packed").glob("part-*"))) <= 3
+    plain = str(tmp_path / "plain")
+    server = F.regexp_extract("file", r"dbserver_id=(\d+)", 1).cast("int").alias("server")
+
+    def both(read, *columns):
+        return [rows(read(spark, path), *columns) for path in (plain, packed)]
+
+    for read, columns in ((readers.read_lines, [server, "line"]), (readers.read_report, [server, "line"]),
+                          (readers.read_records, [server, F.to_json("fields")])):
+        wanted, got = both(read, *columns)
+        assert got == wanted and len(got) >= 60
+    path = F.regexp_extract("path", "dbserver_id=.*", 0)
+    wanted, got = both(readers.read_listing, path, "length")
+    assert got == wanted and len(got) == 60
+    assert readers.read_listing(spark, packed, "*.log").count() == 0
+    assert readers.read_lines(spark, packed, "f.?xt").count() == readers.read_lines(spark, packed).count()
+    order = readers.read_lines(spark, packed).filter(server == 7).orderBy("line_no").select("line").collect()
+    assert [r["line"] for r in order][:4] == ["a7", "b", "", ""]
