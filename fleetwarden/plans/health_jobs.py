@@ -12,6 +12,7 @@ from fleetwarden import schemas
 from fleetwarden.operators import health as hl
 from fleetwarden.operators.inventory import display_name, job_filter
 from fleetwarden.operators.lookup import look_up
+from fleetwarden.session import stored
 from fleetwarden.sources import readers
 
 REPLICATION_FORMS = ("replication_mysql", "replication_mariadb", "replication_mssql")
@@ -91,16 +92,21 @@ def replication_findings(
 
     ``job`` is one of REPLICATION_FORMS: status records of replicas, the same with named channels, or
     the comma-separated report of a distributor, where a channel is a subscriber's database. A
-    checked server without any status counts as an error.
+    checked server without any status counts as an error. Only what checked servers left is parsed, once:
+    the states are stored when the query is built, since both kinds of finding read them.
     """
     if job not in REPLICATION_FORMS:
         raise ValueError(f"unknown form {job!r}")
+    wanted = _targets(servers, job)
+    checked = wanted.select("dbserver_id")
     if job == "replication_mssql":
         lines = readers.read_report(spark, path).withColumn("dbserver_id", server_of(F.col("file"), pattern))
+        lines = look_up(lines, checked, ["dbserver_id"], "left_semi")
         status = hl.replication_subscriptions(lines.select("dbserver_id", "line"), max_lag=max_lag)
         status = status.withColumn("channel", F.concat_ws(".", "subscriber", "publisher_db"))
     else:
         records = readers.read_records(spark, path).withColumn("dbserver_id", server_of(F.col("file"), pattern))
+        records = look_up(records, checked, ["dbserver_id"], "left_semi")
         field = F.col("fields")
         status = records.select(
             "dbserver_id",
@@ -108,8 +114,7 @@ def replication_findings(
             field["Seconds_Behind_Master"].alias("lag"),
         )
         status = hl.replication_health(status, max_lag=max_lag)
-    wanted = _targets(servers, job)
-    seen = status.select("dbserver_id", "channel", "lag", "state")
+    seen = stored(status.select("dbserver_id", "channel", "lag", "state"), "replication-status")
     found = look_up(seen, wanted.withColumn("_good", F.lit(True)), ["dbserver_id"]).filter("_good and state <> 'ok'")
     silent = look_up(wanted, seen.select("dbserver_id", F.lit(True).alias("_seen")).distinct(), ["dbserver_id"]).filter("_seen is null")
     columns = ["contact_id", "dbserver_id", "name", "channel", "lag", "state"]
