@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import re
 import struct
 from collections import Counter
 from collections.abc import Iterator
@@ -32,6 +33,20 @@ CACHE_SIZE = 1 << 18  # units in each of a worker's two generations of remembere
 # Where whole rows go through the worker it remembers this part of them.
 BESIDE_ROWS = 2
 SPACE = "▁"
+LETTER = r"\p{L}\p{M}"
+_NOTHING: dict = {}
+
+
+@lru_cache(maxsize=1)
+def _letters() -> str:
+    """LETTER up to U+FFFF as ranges, for the standard library's patterns, which know no properties."""
+    chars = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+    runs = [m.span() for m in regex.finditer(f"[{LETTER}]+", chars)]
+    ranges: list[str] = []
+    for start, end in runs:
+        cuts = [start, *(i for i in range(start + 1, end) if ord(chars[i]) != ord(chars[i - 1]) + 1), end]
+        ranges.extend(f"\\u{ord(chars[a]):04x}-\\u{ord(chars[b - 1]):04x}" for a, b in zip(cuts, cuts[1:], strict=False))
+    return "".join(ranges)
 
 
 class Path(NamedTuple):
@@ -54,15 +69,20 @@ class Pieces:
         self.arcs: dict[str, tuple[float, int]] = {sp.id_to_piece(i): (sp.get_score(i), i) for i in usual}
         # What some piece begins with, so that a search knows where no longer piece can follow.
         # Minus infinity: no piece itself. Likewise what some piece ends with, for the way back.
-        self.heads = {p[:i]: -np.inf for p in self.arcs for i in range(1, len(p))}
+        heads = {p[:i]: -np.inf for p in self.arcs for i in range(1, len(p))}
         self.tails = {p[i:] for p in self.arcs for i in range(len(p))}
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.bytes_known = all(sp.is_byte(i) for i in self.byte_ids)
         # A character without a piece costs more than any that has one, as in the library.
         # (Scores of -1e9 mark placeholders for runs of spaces.)
         self.unknown = min(s for p, (s, _) in self.arcs.items() if len(p) == 1 and s > -1e8) - 10
-        self.heads.update((p, self.unknown) for p in [h for h in self.heads if len(h) == 1])
-        self.heads.update((p, score) for p, (score, _) in self.arcs.items())
+        heads.update((p, self.unknown) for p in [h for h in heads if len(h) == 1])
+        heads.update((p, score) for p, (score, _) in self.arcs.items())
+        # As a tree: character -> (score, the tree of what follows).
+        follow: dict[str, dict[str, tuple[float, dict]]] = {}
+        for p in sorted(heads, key=len, reverse=True):
+            follow.setdefault(p[:-1], {})[p[-1]] = (heads[p], follow.pop(p, _NOTHING))
+        self.heads = follow.get("", _NOTHING)
         self.raw = [sp.id_to_piece(i).replace(SPACE, " ").encode() for i in range(sp.get_piece_size())]
         for value, i in enumerate(self.byte_ids if self.bytes_known else []):
             self.raw[i] = bytes([value])
@@ -70,6 +90,8 @@ class Pieces:
             if sp.is_control(i):
                 self.raw[i] = b""
         self.unit = self._unit_pattern()
+        # The same for texts without characters above U+FFFF: takes less than half the time.
+        self.short_unit = re.compile(self.unit.pattern.replace(LETTER, _letters()))
         self.new: dict[str, tuple[float, bytes, float]] = {}
         self.old: dict[str, tuple[float, bytes, float]] = {}
 
@@ -87,7 +109,7 @@ class Pieces:
         glued = {m for p in longer for m in regex.findall(r"(?<=[\p{L}\p{M}])[^\p{L}\p{M}]", p)}
         if glued:  # what follows a letter in some piece may be followed by anything
             return regex.compile(f"(?s){SPACE}*[^{SPACE}]+|{SPACE}+")
-        letter, single = "\\p{L}\\p{M}", f"[{alone}]|" if alone else ""
+        letter, single = LETTER, f"[{alone}]|" if alone else ""
         return regex.compile(f"(?s){single}{SPACE}*[^{SPACE}{letter}{alone}]*[{letter}]+|{SPACE}*[^{SPACE}{letter}{alone}]+|{SPACE}+")
 
     def _fallback(self, char: str) -> tuple[int, ...]:
@@ -96,21 +118,24 @@ class Pieces:
     def _forward(self, unit: str) -> tuple[list[float], list[float], list[int]]:
         """Viterbi: for each position the best score there, that of the best other last piece, and
         where the best one's last piece begins."""
-        n, get, unknown = len(unit), self.heads.get, self.unknown
+        n, heads, lone = len(unit), self.heads, (self.unknown, _NOTHING)
         best, other, back = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1), [0] * (n + 1)
         for begin in range(n):
-            so_far = best[begin]
-            for end in range(begin + 1, n + 1):
-                score = get(unit[begin:end])
-                if score is None:
-                    if end > begin + 1:
+            so_far, follow, end = best[begin], heads, begin
+            for char in unit[begin:]:
+                found = follow.get(char)
+                if found is None:
+                    if end > begin:
                         break
-                    score = unknown
+                    found = lone
+                score, follow = found
+                end += 1
                 way = so_far + score
-                if way > best[end]:
-                    other[end], best[end], back[end] = best[end], way, begin
-                elif way > other[end]:
-                    other[end] = way
+                if way > other[end]:
+                    if way > best[end]:
+                        other[end], best[end], back[end] = best[end], way, begin
+                    else:
+                        other[end] = way
         return best, other, back
 
     def search(self, unit: str, nbest: int) -> list[Path]:
@@ -177,9 +202,14 @@ class Pieces:
             self.new[unit] = found
         return found
 
+    def units(self, text: str) -> list[str]:
+        """The units of a normalised text, in order."""
+        short = len(text.encode("utf-16-le")) == 2 * len(text)
+        return (self.short_unit if short else self.unit).findall(text)
+
     def encode(self, text: str) -> list[Path]:
         """The N best segmentations of a whole text; equal scores: earlier changes first."""
-        units = self.unit.findall(self.processor.normalize(text)) if text else []
+        units = self.units(self.processor.normalize(text)) if text else []
         counts = Counter(units)
         spare, total = self.nbest - 1, 0.0
         ids: dict[str, bytes] = {}

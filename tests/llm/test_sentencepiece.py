@@ -84,3 +84,12 @@ def test_odd_tables(odd, none):
     assert all(r.decoded == (r.text or "") for r in decode_ids(best, PATH).collect())
     assert all(r.round_trip for r in nbest_digests(odd, PATH).collect())
     assert encode_nbest(none, PATH).count() == nbest_digests(none, PATH).count() == 0
+
+
+def test_units_are_the_same_by_both_patterns(pieces):
+    """Texts without characters above U+FFFF are cut by the standard library's pattern."""
+    every_ = "".join(chr(c) for c in (*range(0xD800), *range(0xE000, 0x10000)))
+    words = "".join(f"{c}a b{c}▁" for c in every_)
+    assert pieces.short_unit.findall(words) == pieces.unit.findall(words) == pieces.units(words)
+    high = "".join(f"a{chr(c)}b▁" for c in range(0x10000, 0x20000))
+    assert pieces.units(high) == pieces.unit.findall(high) != pieces.short_unit.findall(high)
