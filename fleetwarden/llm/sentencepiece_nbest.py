@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from fleetwarden.llm.common import packed, slices, text_of
 
 CACHE_SIZE = 1 << 18  # units in each of a worker's two generations of remembered units: 180 MB in all
-# Where whole rows go through the worker it remembers this part of them.
-BESIDE_ROWS = 2
+# Where whole rows go through the worker it remembers this part of them: 25 MB.
+BESIDE_ROWS = 8
 SPACE = "▁"
 LETTER = r"\p{L}\p{M}"
 _NOTHING: dict = {}

@@ -74,3 +74,14 @@ def corpus_pipeline_path():
     import public_tokenizers
 
     return public_tokenizers.path(corpus_pipeline.MODEL)
+
+
+def test_pipeline_hands_few_rows_to_python_at_once(spark, sf_dir):
+    """Batches of 10,000 rows beside whole rows took more memory than an executor has."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for stage in ("toxicity", "near dedup", "sentencepiece"):
+        spark.conf.unset(name)
+        dict(corpus_pipeline.STAGES)[stage](spark, docs, sf_dir)
+        assert int(spark.conf.get(name)) == corpus_pipeline.BATCH_ROWS <= 1_000
+    spark.conf.unset(name)

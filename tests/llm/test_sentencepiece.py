@@ -93,3 +93,10 @@ def test_units_are_the_same_by_both_patterns(pieces):
     assert pieces.short_unit.findall(words) == pieces.unit.findall(words) == pieces.units(words)
     high = "".join(f"a{chr(c)}b▁" for c in range(0x10000, 0x20000))
     assert pieces.units(high) == pieces.unit.findall(high) != pieces.short_unit.findall(high)
+
+
+def test_units_remembered_beside_rows_are_few():
+    """An executor of the pipeline holds two workers beside the rows: neither may remember much."""
+    from fleetwarden.llm import sentencepiece_nbest as own
+
+    assert own.CACHE_SIZE // own.BESIDE_ROWS <= 1 << 15
