@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "6g",
+            # Plans name whole filters; by default each is cut after 100 characters, and identifiers grow.
+            "spark.sql.maxMetadataStringLength": "1000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
