@@ -1,12 +1,16 @@
 import hashlib
 import random
+import re
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from fleetwarden.llm import positions, suffix_dedup
 from fleetwarden.llm.suffix_dedup import merged, remove_repeats
+from fleetwarden.session import CLEANUP_CONF
 
 
 def plain(texts, length):
@@ -123,6 +127,39 @@ def test_equal_windows_have_equal_places():
     assert all(len(v) == 1 for v in rel.values())
 
 
+def _shuffle_files(spark):
+    found = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in found.split("\n") if "/shuffle_" in f}
+
+
+def test_finished_rounds_leave_only_what_is_repeated(spark):
+    generator = random.Random(7)
+    part = noise(generator, 300)
+    texts = [noise(generator, 200) + part[i:] + noise(generator, 90) for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    files, tables = _shuffle_files(spark), set(shared.rglob("*.parquet"))
+    setting = spark.conf.get(CLEANUP_CONF, None)
+    lazy = remove_repeats(docs, length=64)
+    assert spark.conf.get(CLEANUP_CONF, None) == setting
+    left = {re.match("[a-z]+", f.parent.name)[0] for f in set(shared.rglob("*.parquet")) - tables}
+    for _ in range(60):  # files are removed beside the driver's work
+        if not _shuffle_files(spark) - files:
+            break
+        time.sleep(0.5)
+    assert (left, len(_shuffle_files(spark) - files)) == ({"repeated"}, 0)
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in lazy.collect()}
+    assert got == {i: (removed, len(spans)) for i, (_, removed, spans, _) in enumerate(plain(texts, 64))}
+
+
+def test_runs_that_share_a_gram_stay_open(spark):
+    generator = random.Random(8)
+    part = noise(generator, 150)
+    ends = [noise(generator, 80) for _ in range(6)]
+    texts = [a + part + b for a in ends[:3] for b in ends[3:]] + [ends[0] + part[:70] + ends[5], part[40:]]
+    check(spark, texts, 100)
+
+
 def test_merging():
     assert merged([5, 0, 20], [6, 2, 20], 4) == [(0, 10), (20, 24)]
     assert merged([0, 4], [0, 4], 4) == [(0, 8)]
